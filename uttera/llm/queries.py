@@ -12,6 +12,7 @@ from uttera.llm.language import op6_language_id
 from uttera.llm.packing import op2_packing
 from uttera.llm.privacy import op7_pii
 from uttera.llm.quality import op4_quality_rules
+from uttera.llm.substrings import op1_suffix_dedup
 from uttera.llm.token_shards import op8_token_shards
 from uttera.llm.urls import op10_url_filter
 from uttera.llm.warc import op5_warc
@@ -25,6 +26,7 @@ def _pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_suffix_dedup": op1_suffix_dedup,
         "op2_packing": op2_packing,
         "op3_ngram_jaccard": op3_ngram_jaccard,
         "op4_quality_rules": op4_quality_rules,
