@@ -10,6 +10,7 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from uttera.config import ONE_IS_I
 
@@ -91,7 +92,7 @@ def ratio(current: str, anchor: str) -> float:
     return difflib.SequenceMatcher(None, current, anchor).ratio()
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def matching_ratio(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     """``ratio`` of two columns, in Arrow batches; null if either is."""
     for current, anchor in pairs:

@@ -35,7 +35,7 @@ def member_scores(members: DataFrame, group: str, member: str, embedding: str, c
         own.select(group, member, "e", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("a"), F.col("block").alias("b"), F.lit(False).alias("asks"))
     )
 
-    def distances(key, table: pa.Table) -> pa.Table:
+    def distances(_, table):
         asks = table.column("asks").to_numpy(zero_copy_only=False).astype(bool)
         flat = table.column("e").combine_chunks()
         e = flat.flatten().to_numpy(zero_copy_only=False).reshape(len(flat), -1)
