@@ -1,0 +1,113 @@
+"""Trained operators: held-out accuracy, defined results for awkward input, and the pipeline's stages."""
+
+import hashlib
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from uttera.llm import language, privacy, quality
+from uttera.llm.queries import oracle_sql, queries
+
+MEDIUM = "/root/testdata/sf0.01"
+EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
+PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+
+
+def digits(s):
+    return re.sub("[^0-9]", "", s)
+
+
+def by_regex(t):
+    return {
+        "email": [m.span() for m in EMAIL.finditer(t)], "ip": [m.span() for m in IP.finditer(t) if all(int(p) <= 255 for p in m[0].split("."))],
+        "card": [m.span() for m in CARD.finditer(t) if 16 <= len(digits(m[0])) <= 19 and privacy.luhn(digits(m[0]))], "phone": [m.span() for m in PHONE.finditer(t) if 8 <= len(digits(m[0])) <= 15],
+    }
+
+
+def test_patterns():
+    rng = random.Random(3)
+    for _ in range(20000):
+        t = "".join(rng.choices("ab@.@.1234567890+-() 0é%", k=rng.randint(0, 60)))
+        assert privacy.patterns(t) == by_regex(t), t
+    assert privacy.patterns("x" * 200_000 + "1" * 200_000)["card"] == []
+
+
+def test_private_query(spark):
+    docs = spark.read.parquet(f"{MEDIUM}/documents.parquet")
+    rows = {r.doc_id: r for r in queries()["op7_pii"](spark, MEDIUM).collect()}
+    for d in docs.select("doc_id", "text").collect():
+        f, r = by_regex(d.text or ""), rows[d.doc_id]
+        base = [f"{k}:{a}:{b}" for k in f for a, b in f[k]]
+        assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == tuple(len(f[k]) for k in f)
+        assert r.base_sha256 == hashlib.sha256(",".join(base).encode()).hexdigest()
+        assert set(base) <= set(r.spans.split(",")) | {""}
+
+
+def test_field_keeps_repeats_consistent(spark):
+    model = privacy.fit(spark.read.parquet("/root/testdata/sf0.1/documents.parquet"))
+    _, added = privacy.spans_of(["server 10.0.0.999 and 10.0.0.9", "only words here 2024 and 3.0", ""], model)
+    assert added == [[("ip", 7, 17)], [], []]
+    assert privacy.replaced("a bb c", [("ip", 2, 4), ("card", 3, 4)]) == "a [IP] c"
+
+
+def test_private_awkward(spark):
+    df = spark.createDataFrame([(1, None, 5), (1, "", 5), (None, "é jo@x.org", 5), (2, "jo@x.org", 5)], "doc_id long, text string, n_email long")
+    got = privacy.find_private(df, redact=True).select("doc_id", "text", "n_email", "spans", "redacted").collect()
+    assert sorted(map(tuple, got), key=repr) == sorted([(1, None, 0, "", None), (1, "", 0, "", None), (None, "é jo@x.org", 1, "email:2:10", "é [EMAIL]"), (2, "jo@x.org", 1, "email:0:8", "[EMAIL]")], key=repr)
+
+
+def test_language(spark):
+    rows = queries()["op6_language_id"](spark, MEDIUM).join(spark.read.parquet(f"{MEDIUM}/documents.parquet").select("doc_id", "lang"), "doc_id")
+    r = rows.where("held_out").agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("double")), F.count(F.lit(1)), F.min("score"), F.max("score")).first()
+    assert r[0] > 0.98 and r[1] > 200 and 0 <= r[2] <= r[3] <= 1
+    import zlib
+
+    assert all(x.held_out == (zlib.crc32(str(x.doc_id).encode()) % 4 == 2) for x in rows.select("doc_id", "held_out").collect())
+
+
+def test_language_awkward(spark):
+    docs = spark.createDataFrame([(i, t, lang) for i, (t, lang) in enumerate([("the cat sat on the mat", "en"), ("der hund und die katze", "de")] * 12)] + [(900, None, "en"), (901, "", "en"), (902, "12 -", "en"), (903, "É", None), (None, "the mat", "en")], "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in language.identify(docs).collect()}
+    assert [got[k].lang_pred for k in (900, 901, 902)] == ["und"] * 3 and got[903].lang_pred in ("en", "de") and got[None].held_out is False
+    assert got[0].lang_pred == "en" and got[1].lang_pred == "de"
+    assert {r.lang_pred for r in language.identify(docs.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
+
+
+def test_quality(spark):
+    sf = "/root/testdata/sf0.1"
+    rows = queries()["op4_quality_rules"](spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").where("not base_failed")
+    keep = {(r.quality, r.toxic): r.k for r in rows.groupBy("quality", "toxic").agg(F.avg(F.col("kept").cast("double")).alias("k")).collect()}
+    assert keep[1, 0] > 0.97 and keep[0, 0] < 0.1 and keep[1, 1] < 0.25
+
+
+def test_quality_awkward(spark):
+    docs = spark.createDataFrame([(1, None, True), (1, "", True), (None, "word " * 60, True), (2, " ".join(f"w{k}" for k in range(60)), True)], "doc_id long, text string, kept boolean")
+    labels = spark.createDataFrame([(1, None, 1), (None, 1, 1), (77, 0, 0)], "doc_id long, quality int, toxic int")
+    got = sorted((tuple(r) for r in quality.score(docs, labels).select("doc_id", "n_words", "base_failed", "kept").collect()), key=repr)
+    assert got == sorted([(1, 0, True, False), (1, 0, True, False), (None, 60, True, False), (2, 60, False, True)], key=repr)
+    assert quality.score(docs.limit(0), labels.limit(0)).count() == 0
+
+
+def test_pipeline(spark, sf):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    columns, ids = docs.columns, {r.doc_id for r in docs.select("doc_id").collect()}
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        out = stage(spark, docs, sf)
+        if k < len(corpus_pipeline.STAGES) - 1:
+            assert out.columns == columns and dict(out.dtypes) == dict(docs.dtypes)
+            now = {r.doc_id for r in out.select("doc_id").collect()}
+            assert now <= ids
+            ids, docs = now, spark.createDataFrame(out.collect(), out.schema)
+    assert {r.doc_id for r in out.collect()} == ids
+
+
+def test_registry():
+    names = queries()
+    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10 and "pipeline" in names
+    assert set(oracle_sql()) <= set(names)
