@@ -6,12 +6,15 @@ cluster share; a folder of our own is chosen only where that setting is unset (l
 
 from __future__ import annotations
 
-import gc
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; a temporary one only if that is unset."""
@@ -23,6 +26,17 @@ def shared_dir(spark: SparkSession) -> str:
     return shared_dir.own
 
 
+@contextlib.contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of the queries that run inside are removed when they end: what they made has been written by then."""
+    old = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(_CLEANUP) if old is None else spark.conf.set(_CLEANUP, old)
+
+
 class Scratch:
     """Named tables of one operator run. ``save`` cuts lineage: what is read back is a plain file scan."""
 
@@ -33,8 +47,8 @@ class Scratch:
         return f"{self.root}/{name}"
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
-        df.write.mode("overwrite").option("compression", "zstd").parquet(self.path(name))
-        self.release()
+        with shuffles_removed(self.spark):
+            df.write.mode("overwrite").option("compression", "zstd").parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def drop(self, *names: str) -> None:
@@ -43,9 +57,3 @@ class Scratch:
         for name in names:
             at = jvm.org.apache.hadoop.fs.Path(self.path(name))
             at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
-        self.release()
-
-    def release(self) -> None:
-        """Let the context cleaner remove shuffle files of finished phases now, not at some later collection."""
-        gc.collect()
-        self.spark.sparkContext._jvm.System.gc()

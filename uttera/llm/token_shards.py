@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from uttera.llm import bytesops as B
-from uttera.llm.scratch import Scratch
+from uttera.llm.scratch import Scratch, shuffles_removed
 from uttera.llm.tokens import Encoder, with_end
 from uttera.llm.wavelet import WaveletMatrix
 
@@ -92,7 +92,8 @@ def encode_shards(path: str, shard: int = SHARD):
 def write_shards(docs: DataFrame, tokenizer: str, folder: str) -> None:
     ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id")
     shards = ordered.mapInArrow(encode_shards(tokenizer), "shard binary")
-    shards.select(F.col("shard").cast("string").alias("value")).write.option("lineSep", "\n").text(folder)
+    with shuffles_removed(docs.sparkSession):
+        shards.select(F.col("shard").cast("string").alias("value")).write.option("lineSep", "\n").text(folder)
 
 
 def decode_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,5 +136,4 @@ def op8_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark, "token-shards")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     write_shards(docs, public_tokenizers.path("word_bpe_49k.json"), scratch.path("shards"))
-    scratch.release()
     return read_documents(spark, scratch.path("shards"), scratch)

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from uttera.llm.scratch import Scratch
+from uttera.llm.scratch import Scratch, shuffles_removed
 
 MAGIC = b"\x1f\x8b\x08"
 RANGE = 4 << 20
@@ -68,7 +68,8 @@ def write_archives(pages: DataFrame, folder: str, scratch: Scratch) -> None:
     groups = scratch.save(keyed.groupBy("sha", "size").agg(F.max("page_id").alias("top"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "groups")
     joined = keyed.join(groups, ["sha", "size"], "left").withColumn("revisit", F.coalesce(F.col("top").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("top")), F.lit(False)))
     members = joined.select("page_id", "url", "html", "top", "revisit").mapInArrow(write_rows, "member binary")
-    members.select(F.col("member").cast("string").alias("value")).write.option("lineSep", "\0").text(folder)
+    with shuffles_removed(pages.sparkSession):
+        members.select(F.col("member").cast("string").alias("value")).write.option("lineSep", "\0").text(folder)
 
 
 def open_file(uri: str):
@@ -150,5 +151,4 @@ def read_archives(spark: SparkSession, folder: str, size: int = RANGE) -> DataFr
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark, "warc")
     write_archives(spark.read.parquet(f"{sf_dir}/pages.parquet"), scratch.path("archives"), scratch)
-    scratch.release()
     return read_archives(spark, scratch.path("archives")).drop("url")
