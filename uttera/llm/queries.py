@@ -1,7 +1,12 @@
-"""Queries of this subpackage, and DuckDB SQL for those that SQL can express."""
+"""Queries of this subpackage, and DuckDB SQL for those that SQL can express.
+
+Without SQL: models (4, 6, 7), token ids (2, 8), iterated propagation (10), 50-byte strings at every position (1, too
+slow on whole tables) and the pipeline; tests compare those with brute force, exact round trips or held-out accuracy.
+"""
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,5 +45,32 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
+_LOWER = f"translate(text, '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
+
+_JACCARD = f"""WITH RECURSIVE t AS (SELECT doc_id, regexp_extract_all(coalesce({_LOWER}, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[k : k + 4], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS k FROM t WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+o AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM o JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * o >= 80 * (x.n + y.n - o)),
+r AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a)
+SELECT t.doc_id, coalesce(n.n, 0) AS n_shingles, least(t.doc_id, (SELECT min(b) FROM r WHERE a = t.doc_id)) AS component_id FROM t LEFT JOIN n ON n.doc_id = t.doc_id"""
+
+_WARC = """WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages), g AS (SELECT page_id, strlen(h) AS n, sha1(h) AS x, max(page_id) OVER (PARTITION BY h) AS top FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(((CAST('0x' || substr(x, CAST(k // 4 AS INTEGER) * 5 + 1, 5) AS INTEGER) >> CAST(15 - 5 * (k % 4) AS INTEGER)) & 31) + 1 AS INTEGER), 1)), '') AS payload_digest,
+  CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> top THEN top END AS refers_to FROM g"""
+
+_WORDS = f"regexp_extract_all(coalesce({_LOWER}, ''), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+_CONTAMINATION = f"""WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents), i AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+iw AS (SELECT DISTINCT item_id, z, array_to_string(w[k : k + z - 1], ' ') AS s FROM (SELECT item_id, w, least(13, len(w)) AS z, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS k FROM i WHERE len(w) > 0)),
+dw AS (SELECT doc_id, z, k, array_to_string(w[k : k + z - 1], ' ') AS s FROM (SELECT doc_id, w, z, unnest(range(1, len(w) - z + 2)) AS k FROM d, (SELECT DISTINCT z FROM iw) WHERE len(w) >= z)),
+m AS (SELECT doc_id, item_id, dw.z, k FROM dw JOIN iw ON dw.s = iw.s AND dw.z = iw.z),
+h AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(k, k + z)) AS p FROM m) GROUP BY doc_id),
+t AS (SELECT doc_id, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS x FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS x FROM m) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(x, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN h ON h.doc_id = d.doc_id LEFT JOIN t ON t.doc_id = d.doc_id"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_ngram_jaccard": _JACCARD, "op5_warc": _WARC, "op9_decontamination": _CONTAMINATION}
