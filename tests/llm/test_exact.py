@@ -114,16 +114,16 @@ def near_copies():
         base = [rng.choice(words) for _ in range(rng.randint(1, 60))]
         for _ in range(rng.randint(1, 12)):
             w = list(base)
-            for _ in range(rng.randint(0, 3)):
+            for _ in range(rng.randint(0, 3) if len(base) > 3 else 0):
                 k = rng.randrange(len(w))
                 w[k : k + 1] = rng.choice([[rng.choice(words)], [], [w[k], "zz"]])
             rows.append((len(rows), " ".join(w)))
     return [*rows, (5000, None), (5001, ""), (5002, "\n "), (5003, "One"), (5004, "one ")]
 
 
-@pytest.mark.parametrize(("light", "docs", "block"), [(64, 4000, 1500), (2, 4000, 1500), (64, 4, 3)])
-def test_jaccard(spark, near_copies, monkeypatch, light, docs, block):
-    for k, v in (("LIGHT", light), ("CLUSTER_DOCS", docs), ("BLOCK_DOCS", block), ("LEAST_BUCKETS", 4)):
+@pytest.mark.parametrize(("most", "docs", "block"), [(255, 4000, 1500), (3, 4000, 1500), (255, 4, 3)])
+def test_jaccard(spark, near_copies, monkeypatch, most, docs, block):
+    for k, v in (("MOST", most), ("CLUSTER_DOCS", docs), ("BLOCK_DOCS", block), ("LEAST_BUCKETS", 4)):
         monkeypatch.setattr(jaccard, k, v)
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.components(documents(spark, near_copies), Scratch(spark, "t")).collect()}
     assert got == components_by_brute_force(near_copies)
