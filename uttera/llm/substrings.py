@@ -41,6 +41,7 @@ GRAM = 24
 BLOCK_BYTES = 8 << 20
 BUCKET_BYTES = 32 << 20
 LEAST = 32
+PARTS = 8  # context buckets for one of anchors: contexts weigh more
 _U = np.uint64
 _POSITION = _U((1 << 24) - 1)
 
@@ -170,7 +171,7 @@ def answer_anchors(table: pa.Table) -> pa.Table:
     return pa.table({"block": table.column("block"), "bucket": table.column("bucket"), "bits": pa.array(bits, pa.binary())})
 
 
-def send_contexts(buckets: int):
+def send_contexts(buckets: int, parts: int):
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
         B.keep_heap()
         empty = pa.table({"bucket": pa.array([], pa.int32()), "block": pa.array([], pa.int64()), "payload": pa.array([], pa.binary())})
@@ -184,7 +185,7 @@ def send_contexts(buckets: int):
         for b, bits in zip(answers.column("bucket").to_pylist(), answers.column("bits").to_pylist(), strict=True):
             repeated[edge[b] : edge[b + 1]] = np.unpackbits(np.frombuffer(bits, np.uint8), count=edge[b + 1] - edge[b])
         some = np.flatnonzero(repeated[place])
-        row, first, size, owner = row[some], first[some], (last - first)[some] + LENGTH, bucket[place[some]]
+        row, first, size, owner = row[some], first[some], (last - first)[some] + LENGTH, bucket_of(h[some], buckets * parts)
         key = np.empty(len(some), _U)
         for a, b, data, _ in block.slices():
             lo, hi = np.searchsorted(row, [a, b])
@@ -196,7 +197,7 @@ def send_contexts(buckets: int):
         number = np.cumsum(new) - 1
         lead = order[new]
         out_bucket, out = [], []
-        cut = np.searchsorted(o, np.arange(buckets + 1))
+        cut = np.searchsorted(o, np.arange(buckets * parts + 1))
         for b in np.flatnonzero(np.diff(cut)).tolist():
             mine = order[cut[b] : cut[b + 1]]
             num = number[cut[b] : cut[b + 1]]
@@ -361,7 +362,7 @@ def deduplicate(docs: DataFrame, scratch: Scratch, with_bytes: bool = False) ->
     texts = texts.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)))
     sent = texts.groupBy("block").applyInArrow(send_anchors(buckets), "bucket int, block long, payload binary")
     answers = scratch.save(sent.groupBy("bucket").applyInArrow(answer_anchors, "block long, bucket int, bits binary"), "anchors")
-    contexts = texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(send_contexts(buckets), "bucket int, block long, payload binary")
+    contexts = texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(send_contexts(buckets, PARTS), "bucket int, block long, payload binary")
     repeats = scratch.save(contexts.groupBy("bucket").applyInArrow(answer_contexts, "block long, payload binary"), "repeats")
     return texts.groupBy("block").cogroup(repeats.groupBy("block")).applyInArrow(cut_bytes(with_bytes), RESULT)
 
