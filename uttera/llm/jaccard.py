@@ -7,10 +7,10 @@ A document's set holds 64-bit hashes of its distinct five-word shingles. Two set
    ``need`` of them (overlap bound plus ``1 + alpha // 10``), to hash buckets. A class survives if as
    many of them occur in another class of fitting size. This drops all but near duplicates and texts
    that are mostly shared passages, without building a pair.
-2. Survivors that share such a hash are joined to candidate clusters: over hashes of up to
-   ``LIGHT`` classes, and over more frequent ones only between classes that could be linked by
-   frequent ones alone. Every link lies within a cluster.
-3. A cluster's sets, in one global order (frequent first), are put into a path-compressed trie one
+2. Survivors learn from the buckets how many of them have each of their hashes. In the global order
+   (rare first, then by hash) the first ``n - alpha + 1`` hashes of two linked sets share one; survivors
+   that share such a hash and fit in size are joined to candidate clusters. Every link lies within one.
+3. A cluster's sets, in one order (the cluster's frequent hashes first), are put into a path-compressed trie one
    after the other. Before that, each looks for partners: the traversal shares the overlap of common
    paths, and leaves a subtree when the remaining lengths cannot reach the bound or when all of it is
    already connected with the set. Only links that connect something new are kept.
@@ -37,7 +37,7 @@ from uttera.llm.components import connected_components
 from uttera.llm.scratch import Scratch
 
 SHINGLE = 5
-LIGHT = 64
+MOST = 255
 SEND = 8 << 20
 BUCKET_BYTES = 32 << 20
 LEAST_BUCKETS = 32
@@ -155,14 +155,15 @@ def send_documents(buckets: int):
 
 
 def send_sets(buckets: int):
+    """All hashes of the surviving sets to the buckets."""
+
     def sets(batches):
         B.keep_heap()
         for batch in batches:
             if batch.num_rows:
                 tokens = [np.frombuffer(x, _U) for x in batch.column("tokens").to_pylist()]
                 bounds = np.concatenate([[0], np.cumsum([len(t) for t in tokens])])
-                size = np.diff(bounds) * 2 + batch.column("heavy").to_numpy(zero_copy_only=False).astype(np.int64)
-                yield (batch.column("k1").to_numpy().view(_U), size, *heads(np.concatenate(tokens), bounds), 8 * int(bounds[-1]))
+                yield (batch.column("k1").to_numpy().view(_U), np.diff(bounds), np.concatenate(tokens), bounds, 8 * int(bounds[-1]))
 
     return lambda batches: to_buckets(sets(batches), buckets)
 
@@ -188,47 +189,96 @@ def received(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     return head[once, 0], head[once, 1], tokens[keep], number[owner[keep]]
 
 
-def by_token(tokens: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Order by (token, size); whether each stands beside its successor within a token and a fitting size; sets of its token."""
+def by_token(tokens: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order by (token, size), and whether each stands beside its successor within a token and a fitting size."""
     order = np.argsort(tokens << _U(24) | np.minimum(sizes, (1 << 24) - 1).astype(_U))
     t, s = tokens[order], sizes[order]
-    joined = (t[1:] == t[:-1]) & (5 * s[:-1] >= 4 * s[1:])
-    edge = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]]))
-    run = np.diff(np.append(edge, len(t)))
-    return order, joined, np.repeat(run, run)
+    return order, (t[1:] == t[:-1]) & (5 * s[:-1] >= 4 * s[1:])
 
 
 def count_shared(table: pa.Table) -> pa.Table:
-    """Per bucket: for each class, how many of its hashes another class of fitting size has, and how many of those are frequent."""
+    """Per bucket: for each class, how many of its hashes another class of fitting size has."""
     key, size, tokens, owner = received(table)
-    order, joined, run = by_token(tokens, size[owner])
+    order, joined = by_token(tokens, size[owner])
     hit = np.zeros(len(order), bool)
     hit[1:] |= joined
     hit[:-1] |= joined
     o = owner[order]
-    shared, heavy = np.bincount(o[hit], minlength=len(key)), np.bincount(o[hit & (run > LIGHT)], minlength=len(key))
+    shared = np.bincount(o[hit], minlength=len(key))
     some = np.flatnonzero(shared)
-    return pa.table({"k1": key[some], "n": size[some], "shared": shared[some], "heavy": heavy[some]})
+    return pa.table({"k1": key[some], "n": size[some], "shared": shared[some]})
+
+
+def frequencies(groups: int):
+    """Per bucket: how many sets (at most ``MOST``) have each hash, sent back to the group of each set, in its order of hashes."""
+
+    def run(table: pa.Table) -> pa.Table:
+        key, _, tokens, owner = received(table)
+        order = np.argsort(tokens)
+        edge = np.flatnonzero(np.concatenate([[True], tokens[order][1:] != tokens[order][:-1]]))
+        often = np.empty(len(tokens), np.uint8)
+        often[order] = np.repeat(np.minimum(np.diff(np.append(edge, len(tokens))), MOST), np.diff(np.append(edge, len(tokens)))).astype(np.uint8)
+        count = np.bincount(owner, minlength=len(key))
+        at = np.concatenate([[0], np.cumsum(count)])
+        group = key % groups
+        by_group = np.argsort(group, kind="stable")
+        cut = np.searchsorted(group[by_group], np.arange(groups + 1))
+        out, ids = [], []
+        for g in np.flatnonzero(np.diff(cut)).tolist():
+            mine = by_group[cut[g] : cut[g + 1]]
+            n = count[mine]
+            places = np.repeat(at[mine] - np.concatenate([[0], np.cumsum(n)])[:-1], n) + np.arange(n.sum())
+            ids.append(g)
+            out.append(np.int64(len(mine)).tobytes() + key[mine].tobytes() + n.astype(np.int64).tobytes() + often[places].tobytes())
+        return pa.table({"grp": pa.array(ids, pa.int64()), "bucket": pa.array([table.column("bucket")[0].as_py()] * len(ids), pa.int32()), "payload": pa.array(out, pa.binary())})
+
+    return run
+
+
+def rare_heads(buckets: int):
+    """The hashes by which each set of a group is a candidate: the first ``n - alpha + 1``, rare first, that another set has as well."""
+
+    def run(sets: pa.Table, answers: pa.Table) -> pa.Table:
+        empty = pa.table({"bucket": pa.array([], pa.int32()), "payload": pa.array([], pa.binary())})
+        if not sets.num_rows or not answers.num_rows:
+            return empty
+        sets = sets.sort_by("k1")
+        key = sets.column("k1").to_numpy()
+        once = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        key, raw = key[once], sets.column("tokens").take(pa.array(once)).to_pylist()
+        size = np.array([len(x) // 8 for x in raw], np.int64)
+        bounds = np.concatenate([[0], np.cumsum(size)])
+        tokens, owner = np.frombuffer(b"".join(raw), _U), np.repeat(np.arange(len(key)), size)
+        bucket = ((tokens & _U(0xFFFFFF)) % _U(buckets)).astype(np.int64)
+        place = np.lexsort((bucket, owner))
+        theirs, where, often = [], [], []
+        for b, x in zip(answers.column("bucket").to_pylist(), answers.column("payload").to_pylist(), strict=True):
+            n = int(np.frombuffer(x, np.int64, 1)[0])
+            count = np.frombuffer(x, np.int64, n, 8 + 8 * n)
+            theirs.append(np.repeat(np.searchsorted(key, np.frombuffer(x, np.int64, n, 8)), count))
+            where.append(np.full(len(theirs[-1]), b, np.int64))
+            often.append(np.frombuffer(x, np.uint8, offset=8 + 16 * n))
+        df = np.empty(len(tokens), np.uint8)
+        df[place] = np.concatenate(often)[np.lexsort((np.concatenate(where), np.concatenate(theirs)))]
+        order = np.lexsort((tokens, df, owner))
+        first = np.arange(len(tokens)) - bounds[owner] < (size - (4 * size + 4) // 5 + 1)[owner]  # owner is ascending in both orders
+        chosen = order[first & (df[order] > 1)]
+        n = np.bincount(owner[chosen], minlength=len(key))
+        rows = list(to_buckets(iter([(key.view(_U), size, tokens[chosen], np.concatenate([[0], np.cumsum(n)]), 0)]), buckets))
+        return pa.Table.from_batches(rows) if rows else empty
+
+    return run
 
 
-def stars(tokens: np.ndarray, owner: np.ndarray, size: np.ndarray, key: np.ndarray, frequent: bool | None) -> np.ndarray:
-    """Pairs (least key of a run of fitting sizes, other member) over light or frequent hashes."""
-    order, joined, run = by_token(tokens, size[owner])
+def candidate_edges(table: pa.Table) -> pa.Table:
+    """Pairs (least key of a run of fitting sizes with one hash, other member)."""
+    key, size, tokens, owner = received(table)
+    order, joined = by_token(tokens, size[owner])
     o = owner[order]
-    cut = np.flatnonzero(np.concatenate([[True], ~joined]))
+    cut = np.flatnonzero(np.concatenate([[True], ~joined]))[: len(o)]
     least = np.minimum.reduceat(key[o], cut) if len(o) else np.zeros(0, np.int64)
     a, b = np.repeat(least, np.diff(np.append(cut, len(o)))), key[o]
-    keep = (a != b) & ((run > LIGHT) == frequent if frequent is not None else True)
-    return np.unique(np.stack([a[keep], b[keep]], 1), axis=0)
-
-
-def candidate_edges(table: pa.Table) -> pa.Table:
-    key, packed, tokens, owner = received(table)
-    size, heavy = packed >> 1, (packed & 1).astype(bool)
-    light = stars(tokens, owner, size, key, False)
-    some = heavy[owner]
-    rest = stars(tokens[some], owner[some], size, key, None)
-    both = np.concatenate([light, rest])
+    both = np.unique(np.stack([a[a != b], b[a != b]], 1), axis=0)
     return pa.table({"a": both[:, 0], "b": both[:, 1]})
 
 
@@ -241,7 +291,7 @@ def kept_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         some = np.flatnonzero(k1 == rows.column("k1").to_numpy())
         raw = tokens.view(np.uint8)
         out = [raw[8 * bounds[r] : 8 * bounds[r + 1]].tobytes() for r in some.tolist()]
-        yield pa.RecordBatch.from_arrays([pa.array(k1[some]), pa.array(np.diff(bounds)[some]), rows.column("heavy").take(pa.array(some)), pa.array(out, pa.binary())], ["k1", "n", "heavy", "tokens"])
+        yield pa.RecordBatch.from_arrays([pa.array(k1[some]), pa.array(np.diff(bounds)[some]), pa.array(out, pa.binary())], ["k1", "n", "tokens"])
 
 
 class _Node:
@@ -401,13 +451,16 @@ def components(docs: DataFrame, scratch: Scratch) -> DataFrame:
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(LEAST_BUCKETS, -(-size // BUCKET_BYTES))
     need = F.expr("1 + ((4 * ((4 * n + 4) div 5) + 4) div 5) div 10")
-    shared = texts.mapInArrow(send_documents(buckets), "bucket int, payload binary").groupBy("bucket").applyInArrow(count_shared, "k1 long, n long, shared long, heavy long")
-    alive = shared.groupBy("k1", "n").agg(F.sum("shared").alias("shared"), F.sum("heavy").alias("heavy")).where(F.col("shared") >= need).select("k1", (F.col("heavy") >= need).alias("heavy"))
+    shared = texts.mapInArrow(send_documents(buckets), "bucket int, payload binary").groupBy("bucket").applyInArrow(count_shared, "k1 long, n long, shared long")
+    alive = shared.groupBy("k1", "n").agg(F.sum("shared").alias("shared")).where(F.col("shared") >= need).select("k1")
     alive = scratch.save(alive.join(classes.select("k1", "least"), "k1").where("least is not null"), "alive")
     picked = F.broadcast(alive) if alive.count() <= BROADCAST_ROWS else alive
-    sets = texts.join(picked.withColumnRenamed("least", "doc_id"), "doc_id").select("text", "k1", "heavy").mapInArrow(kept_sets, "k1 long, n long, heavy boolean, tokens binary")
+    sets = texts.join(picked.withColumnRenamed("least", "doc_id"), "doc_id").select("text", "k1").mapInArrow(kept_sets, "k1 long, n long, tokens binary")
     sets = scratch.save(sets, "sets")
-    edges = sets.mapInArrow(send_sets(buckets), "bucket int, payload binary").groupBy("bucket").applyInArrow(candidate_edges, "a long, b long")
+    answers = sets.mapInArrow(send_sets(buckets), "bucket int, payload binary").groupBy("bucket").applyInArrow(frequencies(buckets), "grp long, bucket int, payload binary")
+    group = F.pmod("k1", F.lit(buckets))
+    heads_ = sets.withColumn("grp", group).groupBy("grp").cogroup(answers.groupBy("grp")).applyInArrow(rare_heads(buckets), "bucket int, payload binary")
+    edges = heads_.groupBy("bucket").applyInArrow(candidate_edges, "a long, b long")
     clusters = connected_components(edges, scratch, "clusters")
     sized = scratch.save(sets.join(clusters.withColumnRenamed("node", "k1"), "k1").select("root", "k1", "n", "tokens"), "clustered")
     of = scratch.save(sized.groupBy("root").agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("total")), "cluster-sizes")
