@@ -107,6 +107,18 @@ def test_pipeline(spark, sf):
     assert {r.doc_id for r in out.collect()} == ids
 
 
+def test_stages_keep_clashing_columns(spark, sf):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet").limit(40).select("doc_id", "text", "n_chars", F.lit("x").alias("kept"), F.lit(3).alias("spans"), F.lit(4).alias("n_words"), F.lit(None).cast("string").alias("redacted"), F.lit(1).alias("k1"))
+    docs = docs.unionByName(docs.limit(2).withColumn("text", F.lit(None).cast("string")).withColumn("doc_id", F.lit(None).cast("long")))
+    docs = spark.createDataFrame(docs.collect(), docs.schema)
+    for _, stage in corpus_pipeline.STAGES[:4]:
+        out = stage(spark, docs, sf)
+        assert out.schema.names == docs.schema.names and dict(out.dtypes) == dict(docs.dtypes)
+        assert out.where("kept <> 'x' or spans <> 3 or n_words <> 4 or redacted is not null or k1 <> 1").isEmpty()
+
+
 def test_registry():
     names = queries()
     assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10 and "pipeline" in names

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from uttera.llm import bytesops as B
+from uttera.llm.columns import shielded
 from uttera.llm.wavelet import WaveletMatrix
 
 WINDOW = 13
@@ -258,4 +259,5 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents that are not contaminated."""
-    return decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).where(~F.col("contaminated")).select(*docs.columns)
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return shielded(docs, lambda d: decontaminate(d, items).where(~F.col("contaminated")))

@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from uttera.llm import bytesops as B
+from uttera.llm.columns import shielded
 
 KINDS = ("email", "ip", "card", "phone")
 TRAIN_ROWS = 2000
@@ -332,7 +333,13 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: every document, its personal data replaced by ``[KIND]``, n_chars to match."""
-    found = find_private(docs, redact=True).withColumn("text", F.coalesce("redacted", "text"))
-    if "n_chars" in docs.columns:
-        found = found.withColumn("n_chars", F.when(F.col("redacted").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
-    return found.select(*docs.columns)
+    size = "n_chars" in docs.columns
+
+    def redacted(d: DataFrame) -> DataFrame:
+        found = find_private(d, redact=True)
+        if size:
+            own = f"__own_{docs.columns.index('n_chars')}"
+            found = found.withColumn(own, F.when(F.col("redacted").isNull(), F.col(own)).otherwise(F.length("redacted")).cast(docs.schema["n_chars"].dataType))
+        return found.withColumn("text", F.coalesce("redacted", "text"))
+
+    return shielded(docs, redacted)
