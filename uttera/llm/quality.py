@@ -24,12 +24,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from uttera.llm import bytesops as B
+from uttera.llm.columns import shielded
 
 TRAIN_ROWS = 4000
 BITS = 18
 CAUTION = 4.0
 MIN_QUALITY = 0.5
-MAX_TOXIC = 0.5
+MAX_TOXIC = 0.3
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 SYMBOLS = B.lut(b"#*$%&|<>")
@@ -124,14 +125,15 @@ def logistic(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, steps: in
     Each feature is first scaled by its log odds between the classes, less ``CAUTION`` standard
     errors, so that what could be chance has weight 0; the regression then learns on the rest.
     """
-    idx, val = np.concatenate([r[0] for r in rows]), np.concatenate([r[1] for r in rows]).astype(np.float32)
-    row = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r[0]) for r in rows])
-    good = np.bincount(idx, y[row], 1 << BITS) + 1
-    bad = np.bincount(idx, minlength=1 << BITS) + 2 - good
+    good, bad = np.ones(1 << BITS), np.ones(1 << BITS)
+    for (i, _), label in zip(rows, y, strict=True):
+        (good if label > 0 else bad)[i] += 1
     odds = np.log(good / (y.sum() + 2)) - np.log(bad / ((1 - y).sum() + 2))
     odds = (np.sign(odds) * np.maximum(np.abs(odds) - CAUTION * np.sqrt(1 / good + 1 / bad), 0)).astype(np.float32)
-    keep = odds[idx] != 0
-    idx, val, row = idx[keep], val[keep] * odds[idx[keep]], row[keep]
+    told = [odds[i] != 0 for i, _ in rows]  # only what is left is ever held for all rows together
+    row = np.repeat(np.arange(len(rows), dtype=np.int32), [int(t.sum()) for t in told])
+    idx = np.concatenate([i[t] for (i, _), t in zip(rows, told, strict=True)])
+    val = np.concatenate([v[t] for (_, v), t in zip(rows, told, strict=True)]).astype(np.float32) * odds[idx]
     used = np.unique(idx)
     col = np.searchsorted(used, idx).astype(np.int32)
     w, b = np.zeros(len(used), np.float32), 0.0
@@ -232,4 +234,5 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the documents that pass, with the columns of ``documents``."""
-    return score(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")).where("kept").select(*docs.columns)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return shielded(docs, lambda d: score(d, labels).where("kept"))
