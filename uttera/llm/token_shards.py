@@ -63,12 +63,12 @@ def read_shards(raw: bytes) -> Iterator[tuple[np.ndarray, np.ndarray, WaveletMat
         at += size + 1
 
 
-def encode_shards(path: str, shard: int = SHARD):
+def encode_shards(path: str, shard: int, fold: bool):
     """mapInArrow function: sorted documents in, shards out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         B.keep_heap()
-        encoder = Encoder.of(path)
+        encoder = Encoder.of(path, fold)
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         count = 0
 
@@ -89,9 +89,10 @@ def encode_shards(path: str, shard: int = SHARD):
     return run
 
 
-def write_shards(docs: DataFrame, tokenizer: str, folder: str) -> None:
+def write_shards(docs: DataFrame, tokenizer: str, folder: str, fold: bool = True) -> None:
+    """Shards of all documents in ``folder``. ``fold`` is for vocabularies that drop white space and case."""
     ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id")
-    shards = ordered.mapInArrow(encode_shards(tokenizer), "shard binary")
+    shards = ordered.mapInArrow(encode_shards(tokenizer, SHARD, fold), "shard binary")
     with shuffles_removed(docs.sparkSession):
         shards.select(F.col("shard").cast("string").alias("value")).write.option("lineSep", "\n").text(folder)
 

@@ -5,6 +5,9 @@ follow an ASCII letter, always between characters that are not white space. Neit
 vocabularies has a token across such a cut and neither normaliser looks across it, so the ids of
 the whole text are the ids of its pieces in order. Pieces repeat a lot, so each worker keeps the
 ids of up to ``CACHE`` distinct pieces (then starts afresh) and looks them up by a 64-bit hash.
+
+For a vocabulary whose normaliser drops white space and case (``fold``), pieces that differ in a leading
+space or in ASCII case are the same piece; a letter before a combining mark is left alone, as composition comes first.
 """
 
 from __future__ import annotations
@@ -21,7 +24,7 @@ _MARKS = B.lut(b".,;:!?")
 _LETTER = B.lut([*range(65, 91), *range(97, 123)])
 _PLAIN = ~B.lut(range(0x21))  # anything but controls and space
 _LEADS = B.lut([0xE1, 0xE2, 0xE3])  # of three-byte characters that may be white space
-_loaded: dict[str, Encoder] = {}
+_loaded: dict[tuple[str, bool], Encoder] = {}
 
 
 def cuts(data: np.ndarray, off: np.ndarray) -> np.ndarray:
@@ -45,7 +48,8 @@ def cuts(data: np.ndarray, off: np.ndarray) -> np.ndarray:
 
 
 class Encoder:
-    def __init__(self, path: str):
+    def __init__(self, path: str, fold: bool = False):
+        self.fold = fold
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -54,11 +58,11 @@ class Encoder:
         self._reset()
 
     @classmethod
-    def of(cls, path: str) -> Encoder:
+    def of(cls, path: str, fold: bool = False) -> Encoder:
         """The worker's encoder of a vocabulary file."""
-        if path not in _loaded:
-            _loaded[path] = cls(path)
-        return _loaded[path]
+        if (path, fold) not in _loaded:
+            _loaded[path, fold] = cls(path, fold)
+        return _loaded[path, fold]
 
     def _reset(self) -> None:
         self.known: dict[int, int] = {}
@@ -81,6 +85,12 @@ class Encoder:
         """Ids of a block's texts in order, and their len+1 bounds."""
         starts = cuts(data, off)
         ends = np.append(starts[1:], len(data))[: len(starts)]
+        first_piece = np.searchsorted(starts, off)
+        if self.fold and len(data):
+            capital = (data >= 65) & (data <= 90)
+            capital[:-1] &= (data[1:] != 0xCC) & (data[1:] != 0xCD)
+            data = np.where(capital, data + np.uint8(32), data)
+            starts = starts + ((data[starts] == 0x20) & (ends > starts + 1))
         h = B.range_hash(B.prefix_hash(data), starts, ends)
         order = np.argsort(h)
         new = np.concatenate([[True], h[order[1:]] != h[order[:-1]]])[: len(h)]
@@ -99,7 +109,7 @@ class Encoder:
         size = self.size[slot]
         total = np.concatenate([[0], np.cumsum(size)])
         ids = self.flat[np.repeat(self.at[slot] - total[:-1], size) + np.arange(total[-1])]
-        return ids, total[np.searchsorted(starts, off)]
+        return ids, total[first_piece]
 
 
 def with_end(ids: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
