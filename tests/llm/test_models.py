@@ -84,6 +84,18 @@ def test_quality(spark):
     assert keep[1, 0] > 0.97 and keep[0, 0] < 0.1 and keep[1, 1] < 0.25
 
 
+def test_toxic_found_in_each_language(spark):
+    sf = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    weights = quality.fit(docs, labels.where("doc_id % 4 <> 1"))  # a quarter is kept out of training and calibration
+    out = docs.join(labels.where("doc_id % 4 = 1"), "doc_id").select("doc_id", "text")
+    rows = out.mapInArrow(quality.judge(weights), "doc_id long, text string" + quality.JUDGED).where("not base_failed").join(docs.select("doc_id", "lang"), "doc_id").join(labels, "doc_id")
+    found = {r.lang: r.f for r in rows.where("toxic = 1").groupBy("lang").agg(F.avg((F.col("toxic_score") >= quality.MAX_TOXIC).cast("double")).alias("f")).collect()}
+    kept = {r.lang: r.k for r in rows.where("toxic = 0 and quality = 1").groupBy("lang").agg(F.avg(F.col("kept").cast("double")).alias("k")).collect()}
+    assert found["en"] > 0.85 and found["fr"] > 0.85 and found["de"] > 0.6 and found["es"] > 0.35, found
+    assert min(kept.values()) > 0.95, kept
+
+
 def test_quality_awkward(spark):
     docs = spark.createDataFrame([(1, None, True), (1, "", True), (None, "word " * 60, True), (2, " ".join(f"w{k}" for k in range(60)), True)], "doc_id long, text string, kept boolean")
     labels = spark.createDataFrame([(1, None, 1), (None, 1, 1), (77, 0, 0)], "doc_id long, quality int, toxic int")

@@ -3,8 +3,9 @@
 Two linear models share one hashed feature space of word unigrams, word bigrams and character
 4-grams: one is trained on the label ``quality``, one on ``toxic``. Both are fitted by full-batch
 adaptive gradient steps on a bounded sample of labelled rows (``TRAIN_ROWS``, the smallest hashes
-of doc_id, so the choice does not depend on input order), and Platt-calibrated on a further
-quarter of that sample. A document is kept if it passes the base rules, its calibrated quality is
+of doc_id, so the choice does not depend on input order). How much evidence a feature needs is
+chosen for each model by cross-validation (``CAUTIONS``), whose scores of left-out rows also give
+the Platt calibration. A document is kept if it passes the base rules, its calibrated quality is
 at least ``MIN_QUALITY`` and its calibrated toxicity below ``MAX_TOXIC``.
 
 Defined results: null or empty text has no words, so it fails the base rules. Labels that are
@@ -28,7 +29,8 @@ from uttera.llm.columns import shielded
 
 TRAIN_ROWS = 4000
 BITS = 18
-CAUTION = 4.0
+CAUTIONS = (4.0, 3.0, 2.0, 1.0, 0.0)  # tried in this order until the loss grows
+FOLDS = 4
 MIN_QUALITY = 0.5
 MAX_TOXIC = 0.3
 MIN_WORDS = 50
@@ -119,17 +121,17 @@ def sparse_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(packed, pa.binary())], ["doc_id", "packed"])
 
 
-def logistic(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, steps: int = 60, rate: float = 0.3, l2: float = 1e-4) -> np.ndarray:
+def logistic(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, steps: int = 60, rate: float = 0.3, l2: float = 1e-4, caution: float = CAUTIONS[0]) -> np.ndarray:
     """Weights of a class-balanced logistic regression, the bias last.
 
-    Each feature is first scaled by its log odds between the classes, less ``CAUTION`` standard
+    Each feature is first scaled by its log odds between the classes, less ``caution`` standard
     errors, so that what could be chance has weight 0; the regression then learns on the rest.
     """
     good, bad = np.ones(1 << BITS), np.ones(1 << BITS)
     for (i, _), label in zip(rows, y, strict=True):
         (good if label > 0 else bad)[i] += 1
     odds = np.log(good / (y.sum() + 2)) - np.log(bad / ((1 - y).sum() + 2))
-    odds = (np.sign(odds) * np.maximum(np.abs(odds) - CAUTION * np.sqrt(1 / good + 1 / bad), 0)).astype(np.float32)
+    odds = (np.sign(odds) * np.maximum(np.abs(odds) - caution * np.sqrt(1 / good + 1 / bad), 0)).astype(np.float32)
     told = [odds[i] != 0 for i, _ in rows]  # only what is left is ever held for all rows together
     row = np.repeat(np.arange(len(rows), dtype=np.int32), [int(t.sum()) for t in told])
     idx = np.concatenate([i[t] for (i, _), t in zip(rows, told, strict=True)])
@@ -165,6 +167,36 @@ def platt(z: np.ndarray, y: np.ndarray, steps: int = 60) -> tuple[float, float]:
     return float(a), float(b)
 
 
+def linear(w: np.ndarray, rows: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """Scores of packed rows under weights with the bias last."""
+    return np.array([(w[i] * v.astype(np.float32)).sum() + w[-1] for i, v in rows])
+
+
+def validate(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray) -> tuple[float, float, float]:
+    """The caution of least calibrated log loss on rows left out in turn, and the slope and offset there.
+
+    If a class has fewer rows than there are folds, the first caution, uncalibrated.
+    """
+    fold = np.zeros(len(y), np.int64)
+    for label in (0, 1):
+        of = np.flatnonzero(y == label)
+        if len(of) < FOLDS:
+            return CAUTIONS[0], 1.0, 0.0
+        fold[of] = np.arange(len(of)) % FOLDS
+    best, least = (CAUTIONS[0], 1.0, 0.0), np.inf
+    for caution in CAUTIONS:
+        z = np.zeros(len(y))
+        for f in range(FOLDS):
+            rest, out = np.flatnonzero(fold != f), np.flatnonzero(fold == f)
+            z[out] = linear(logistic([rows[i] for i in rest], y[rest], caution=caution), [rows[i] for i in out])
+        a, b = platt(z, y)
+        loss = np.logaddexp(0, np.where(y > 0, -1, 1) * (a * z + b)).mean()
+        if not loss < least:
+            break
+        best, least = (caution, a, b), loss
+    return best
+
+
 def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> np.ndarray:
     """Calibrated weights (2**BITS + 1, 2) of the quality and toxicity models."""
     neutral = np.zeros(((1 << BITS) + 1, 2), np.float32)
@@ -180,19 +212,15 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> np.
         n = len(p) // 6
         rows.append((np.frombuffer(p, np.int32, n), np.frombuffer(p, np.float16, n, 4 * n)))
     out = neutral.copy()
-    held = np.arange(len(rows)) % 4 == 3
     for m, name in enumerate(("quality", "toxic")):
         y = truth[name].reindex(packed["doc_id"]).to_numpy(float) if len(rows) else np.zeros(0)
-        known = np.isfinite(y)
-        y = (np.nan_to_num(y) >= 0.5).astype(np.float64)
-        train, rest = np.flatnonzero(known & ~held), np.flatnonzero(known & held)
-        if not (0 < y[train].sum() < len(train)):
+        known = np.flatnonzero(np.isfinite(y))
+        y = (y[known] >= 0.5).astype(np.float64)
+        if not (0 < y.sum() < len(y)):
             continue
-        w = logistic([rows[i] for i in train], y[train])
-        a, b = 1.0, 0.0
-        if 0 < y[rest].sum() < len(rest):
-            z = np.array([(w[rows[i][0]] * rows[i][1].astype(np.float32)).sum() + w[-1] for i in rest])
-            a, b = platt(z, y[rest])
+        learn = [rows[i] for i in known]
+        caution, a, b = validate(learn, y)
+        w = logistic(learn, y, caution=caution)
         out[:, m] = w * a
         out[-1, m] += b
     return out
