@@ -45,7 +45,11 @@ def decide_native(obs: DataFrame, similarity: Callable[[Column, Column], Column]
         d1 = o["speaker_invalid"] | no_sp
         d2 = d1 | o["text_invalid"]
         early = no_sp | acc["sp"].isNull() | (acc["sp"] != s) | no_tx
-        r = F.when(early, F.lit(0.0)).otherwise(similarity(t, acc["tx"]))
+        r = F.when(early, F.lit(0.0)).when(t == acc["tx"], F.lit(1.0)).otherwise(similarity(t, acc["tx"]))
+        # bound by a lambda: each mention of the column would compute the similarity again
+        return F.get(F.transform(F.array(r), lambda r: decide(acc, o, s, t, no_sp, no_tx, d1, d2, early, r)), F.lit(0))
+
+    def decide(acc: Column, o: Column, s: Column, t: Column, no_sp: Column, no_tx: Column, d1: Column, d2: Column, early: Column, r: Column) -> Column:
         new = early | (r <= threshold)
         differs = ~new & (r <= 1 - deviation)
         banned = ~no_sp & ~o["allowed"]
