@@ -59,3 +59,10 @@ def test_folds_read_whole_texts(spark, sf, turns, small):
     for name in ("clip_names", "utterance_transcripts"):
         assert max(len(r["text" if name == "clip_names" else "content"]) for r in queries()[name](spark, d).collect()) > 200
     assert queries()["utterance_status"](spark, d).where("is_new").count() == len(folded(d, levenshtein)) and queries()["utterance_stats"](spark, d).count() > 0
+
+
+def test_similarity_of_whole_texts(spark, tmp_path):
+    a, b = "WORD " * 60 + "ALPHA", "WORD " * 60 + "OMEGA" + " OX" * 90
+    pq.write_table(pa.table({"conv_id": [1, 1], "turn": [0, 1], "role": ["user", "user"], "text": [a, b]}), tmp_path / "conversations.parquet")
+    (row,) = queries()["similarity_levenshtein"](spark, str(tmp_path)).collect()
+    assert row.turn == 1 and row.similarity == pytest.approx(levenshtein(a, b)) and row.similarity < 0.6
