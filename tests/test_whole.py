@@ -66,3 +66,13 @@ def test_similarity_of_whole_texts(spark, tmp_path):
     pq.write_table(pa.table({"conv_id": [1, 1], "turn": [0, 1], "role": ["user", "user"], "text": [a, b]}), tmp_path / "conversations.parquet")
     (row,) = queries()["similarity_levenshtein"](spark, str(tmp_path)).collect()
     assert row.turn == 1 and row.similarity == pytest.approx(levenshtein(a, b)) and row.similarity < 0.6
+
+
+def test_alignment_lines_hold_every_word(spark, tmp_path):
+    words = [f"w{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(70)]
+    pq.write_table(pa.table({"conv_id": [1], "turn": [0], "role": ["user"], "text": [", ".join(words)]}), tmp_path / "conversations.parquet")
+    (row,) = queries()["alignment_lines"](spark, str(tmp_path)).collect()
+    ends = ["0.12"] + [str(k * 0.25) for k in range(1, 72)]
+    assert row.line == f'C-1-0000 ",{",".join(words).upper()}," "{",".join(ends)}"'
+    (row,) = queries()["interval_array_repair"](spark, str(tmp_path)).collect()
+    assert row.n == 72 and row.texts == "|" + "|".join(words) + "|" and row.ends_silent and row.total == pytest.approx(sum(map(float, ends)))

@@ -115,7 +115,7 @@ SQL_SEGMENTS = """segments AS (
 def grids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A grid text for two thirds of the turns: a word an interval, the last one silent, and a second tier."""
     t = table(spark, sf_dir, "conversations").where("text is not null and (conv_id + turn) % 3 <> 0")
-    words = F.slice(F.split(F.trim(F.regexp_replace("text", "[^A-Za-z ]+", "")), " +"), 1, 5)
+    words = F.split(F.trim(F.regexp_replace("text", "[^A-Za-z ]+", "")), " +")
     item = lambda w, i: F.format_string('        intervals [%d]:\n            xmin = %s \n            xmax = %s \n            text = "%s" \n', i + 1, (i * F.lit(0.25)).cast("string"), ((i + 1) * F.lit(0.25)).cast("string"), w)
     body = F.array_join(F.transform(F.concat("w", F.array(F.lit(""))), item), "")
     head = 'File type = "ooTextFile"\nxmin = 0 \nxmax = 9 \nitem []: \n    item [1]:\n        name = "words" \n        xmin = 0 \n        xmax = 9 \n        intervals: size = '
