@@ -121,7 +121,7 @@ def near_copies():
     return [*rows, (5000, None), (5001, ""), (5002, "\n "), (5003, "One"), (5004, "one ")]
 
 
-@pytest.mark.parametrize(("most", "docs", "block"), [(255, 4000, 1500), (3, 4000, 1500), (255, 4, 3)])
+@pytest.mark.parametrize(("most", "docs", "block"), [(255, 4000, 1500), (3, 4000, 1500), (255, 4, 3), (255, 1, 1)])
 def test_jaccard(spark, near_copies, monkeypatch, most, docs, block):
     for k, v in (("MOST", most), ("CLUSTER_DOCS", docs), ("BLOCK_DOCS", block), ("LEAST_BUCKETS", 4)):
         monkeypatch.setattr(jaccard, k, v)
@@ -182,11 +182,14 @@ def test_decontamination(spark, monkeypatch):
         want.append((i, len(w), len(hit), sorted(map(str, found)), bool(hit) and 20 * len(hit) >= len(w)))
     bench = spark.createDataFrame(items, "item_id long, text string").withColumn("doc_id", F.lit(1))
     for block in (contamination.ITEM_BLOCK, 300):
-        got = contamination.decontaminate(documents(spark, docs).withColumn("spans", F.lit(1)), bench, block).collect()
+        got = contamination.decontaminate(documents(spark, docs).withColumn("spans", F.lit(1)), bench, Scratch(spark, "t"), block).collect()
         assert sorted(((r.doc_id, r.n_words, r.n_hit, r["items"], r.contaminated) for r in got), key=repr) == sorted(want, key=repr)
-    assert contamination.decontaminate(documents(spark, docs), bench.limit(0)).where("n_hit > 0").isEmpty()
+    assert contamination.decontaminate(documents(spark, docs), bench.limit(0), Scratch(spark, "t")).where("n_hit > 0").isEmpty()
+    twice = spark.createDataFrame([(1, items[5][1], "en"), (1, items[5][1], "de"), (None, items[5][1], None)], "doc_id long, text string, lang string")
+    kept = contamination.decontaminate(twice, bench, Scratch(spark, "t"), 300).collect()
+    assert collections.Counter((r.doc_id, r.lang) for r in kept) == {(1, "en"): 1, (1, "de"): 1, (None, None): 1} and len({tuple(r["items"]) for r in kept}) == 1
     monkeypatch.setattr(contamination, "SAMPLE", 3)
-    stage = contamination.decontaminate(documents(spark, docs), bench)
+    stage = contamination.decontaminate(documents(spark, docs), bench, Scratch(spark, "t"))
     text = dict(docs)
     for r in stage.where("n_hit > 0").collect():
         raw = text[r.doc_id].encode()
@@ -208,12 +211,42 @@ def test_suffix_order_with_separators():
 
 def test_wavelet_matrix():
     a = np.random.default_rng(0).integers(0, 37, 1000).astype(np.int32)
-    w = WaveletMatrix.from_bytes(WaveletMatrix(a, 6).to_bytes())
+    w = WaveletMatrix.of_planes(WaveletMatrix(a, 6).planes, len(a))
     assert (w.decode() == a).all() and (w.access(np.arange(1000)) == a).all()
     for s in (0, 5, 36):
         assert (w.positions(s) == np.flatnonzero(a == s)).all() and w.count(s) == (a == s).sum()
         assert all(w.rank(np.array([s]), np.array([i]))[0] == (a[:i] == s).sum() for i in (0, 1, 63, 64, 65, 999, 1000))
     assert WaveletMatrix(np.zeros(0, np.uint32), 1).decode().size == 0
+    wide = np.array([1 << 19, 5, 1 << 19, 0])
+    assert WaveletMatrix(wide, 20).decode().tolist() == wide.tolist()
+
+
+def test_shard_file_answers_from_chunks(monkeypatch, tmp_path):
+    monkeypatch.setattr(token_shards, "CHUNK", 512)
+    rng = np.random.default_rng(4)
+    path = tmp_path / "shards"
+    shards = []
+    with open(path, "wb") as file:
+        for n in (1, 511, 512, 5000):
+            ids = rng.integers(0, 90, n).astype(np.uint32)
+            sizes = np.array([n // 3, n - n // 3])
+            shards.append((ids, sizes))
+            file.write(token_shards.shard_bytes(np.array([7, 8]), sizes, ids) + b"\n")
+    with open(path, "rb") as file:
+        for (ids, sizes), shard in zip(shards, token_shards.shards_of(file), strict=True):
+            assert shard.doc_ids.tolist() == [7, 8] and shard.sizes.tolist() == sizes.tolist()
+            at = rng.integers(0, len(ids), 60)
+            assert (shard.access(at) == ids[at]).all()
+            assert len(shard.kept) <= shard.bits * shard.chunks
+            for s in (0, 33, 89, 5000):
+                assert shard.count(s) == (ids == s).sum() and (shard.positions(s) == np.flatnonzero(ids == s)).all()
+            ends = rng.integers(0, len(ids) + 1, 40)
+            assert shard.rank(np.full(40, 33), ends).tolist() == [int((ids[:e] == 33).sum()) for e in ends]
+            assert (shard.decode() == ids).all()
+    with open(path, "rb") as file:  # one lookup reads one chunk a level
+        last = list(token_shards.shards_of(file))[-1]
+        last.access(np.array([4321]))
+        assert len(last.kept) <= 2 * last.bits
 
 
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
@@ -243,6 +276,7 @@ def test_token_shards(spark, awkward, monkeypatch):
     from tokenizers import Tokenizer
 
     monkeypatch.setattr(token_shards, "SHARD", 500)
+    monkeypatch.setattr(token_shards, "PER_FILE", 2)
     path = public_tokenizers.path("word_bpe_49k.json")
     scratch = Scratch(spark, "t")
     rows = sorted(awkward, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
@@ -253,6 +287,11 @@ def test_token_shards(spark, awkward, monkeypatch):
     assert [g[0] for g in got] == [i for i, _ in rows]
     assert sorted((g[0] or -1, g[2], g[3]) for g in got) == sorted((i or -1, len(x), crc(x)) for (i, _), x in zip(rows, ids, strict=True))
     assert [g[1] for g in got] == np.concatenate([[0], np.cumsum([g[2] for g in got])])[:-1].tolist()
+    word = ids[-1][0]
+    total = sum(x.count(word) for x in ids)
+    assert {r.token: r.n for r in token_shards.token_counts(spark, scratch.path("s"), [word, 1, 40000]).collect()} == {word: total, 1: len(rows), 40000: 0}
+    where = [(r.doc_id, r.position) for r in token_shards.occurrences(spark, scratch.path("s"), word).collect()]
+    assert collections.Counter(where) == collections.Counter((i, k) for (i, _), x in zip(rows, ids, strict=True) for k, y in enumerate(x) if y == word)
     empty = scratch.path("e")
     token_shards.write_shards(documents(spark, []), path, empty)
     assert token_shards.read_documents(spark, empty, Scratch(spark, "t")).count() == 0

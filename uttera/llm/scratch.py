@@ -17,10 +17,13 @@ _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one only if that is unset."""
+    """The folder named by ``spark.checkpoint.dir``; a temporary one only if that is unset and executors share the driver's disk."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
         return named.rstrip("/")
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not hasattr(shared_dir, "own"):
         shared_dir.own = "file://" + tempfile.mkdtemp(prefix="uttera-")
     return shared_dir.own
@@ -37,6 +40,16 @@ def shuffles_removed(spark: SparkSession) -> Iterator[None]:
         spark.conf.unset(_CLEANUP) if old is None else spark.conf.set(_CLEANUP, old)
 
 
+def open_file(uri: str):
+    """A seekable file of the shared store: a local path, or whatever pyarrow's file systems open."""
+    if uri.startswith("file:"):
+        return open("/" + uri[5:].lstrip("/"), "rb")  # noqa: SIM115
+    from pyarrow import fs
+
+    system, path = fs.FileSystem.from_uri(uri)
+    return system.open_input_file(path)
+
+
 class Scratch:
     """Named tables of one operator run. ``save`` cuts lineage: what is read back is a plain file scan."""
 

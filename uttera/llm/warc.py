@@ -26,11 +26,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from uttera.llm.scratch import Scratch, shuffles_removed
+from uttera.llm.scratch import Scratch, open_file, shuffles_removed
 
 MAGIC = b"\x1f\x8b\x08"
 RANGE = 4 << 20
 LOOK = 1 << 16
+TASKS = 10_000
 LEVEL = 3
 RECORDS = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string"
 
@@ -72,16 +73,6 @@ def write_archives(pages: DataFrame, folder: str, scratch: Scratch) -> None:
         members.select(F.col("member").cast("string").alias("value")).write.option("lineSep", "\0").text(folder)
 
 
-def open_file(uri: str):
-    """A seekable file of the shared store: a local path, or whatever pyarrow's file systems open."""
-    if uri.startswith("file:"):
-        return open("/" + uri[5:].lstrip("/"), "rb")  # noqa: SIM115
-    from pyarrow import fs
-
-    system, path = fs.FileSystem.from_uri(uri)
-    return system.open_input_file(path)
-
-
 def starts_record(raw: bytes) -> bool:
     """Whether a member that begins here inflates to a WARC header."""
     try:
@@ -144,7 +135,8 @@ def read_archives(spark: SparkSession, folder: str, size: int = RANGE) -> DataFr
     """Every record of the folder's archives, read by byte ranges of ``size``."""
     files = spark.read.format("binaryFile").load(folder).where("length > 0").select("path", "length")
     ranges = files.select("path", F.explode(F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(size).cast("long"))).alias("start"), "length")
-    ranges = ranges.select("path", "start", F.least(F.col("start") + size, F.col("length")).alias("end")).repartition("path", "start")
+    ranges = ranges.select("path", "start", F.least(F.col("start") + size, F.col("length")).alias("end"))
+    ranges = ranges.repartition(max(1, min(ranges.count(), TASKS)), "path", "start")  # a count that is given is not coalesced
     return ranges.mapInArrow(read_rows, RECORDS)
 
 

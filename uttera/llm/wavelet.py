@@ -1,46 +1,29 @@
-"""Wavelet matrix in numpy: bit planes with rank and select, batch queries, and a file format.
+"""Wavelet matrix in numpy: bit planes with rank and select, batch queries.
 
 Level l holds bit ``bits-1-l`` of every symbol, in the order left by stable partitions on the
-higher bits. Planes are packed to bytes; a rank query counts whole 64-byte blocks from a
-directory and the rest by a popcount of the bytes up to the position.
+higher bits. Planes are packed to bytes; a rank query takes the ones before its 64-bit word from a
+directory and the rest by a popcount up to the position; a select query searches the directory.
 """
 
 from __future__ import annotations
 
-import struct
-
 import numpy as np
 
-_MAGIC = b"UWM1"
-_BLOCK = 8  # bytes, so a directory entry for every 64 bits
+SELECT = 1 << 16  # positions looked up at a time
 
 
-class WaveletMatrix:
-    def __init__(self, symbols: np.ndarray, bits: int):
-        self.n, self.bits = len(symbols), bits
-        self.planes: list[np.ndarray] = []
-        a = symbols
-        for level in range(bits):
-            b = (a >> (bits - 1 - level)) & 1 != 0
-            self.planes.append(np.packbits(b, bitorder="little"))
-            a = np.concatenate([a[~b], a[b]])
-        self._index()
+def bit_at(words: np.ndarray, k: np.ndarray) -> np.ndarray:
+    """Position of the k-th (from 0) one in each 64-bit word."""
+    bits = np.unpackbits(np.ascontiguousarray(words).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    return (np.cumsum(bits, axis=1) > k[:, None]).argmax(1)
 
-    def _index(self) -> None:
-        self.words, self.ones, self.zeros = [], [], []
-        for p in self.planes:
-            w = np.zeros(self.n // 64 + 1, np.uint64)
-            w.view(np.uint8)[: len(p)] = p
-            self.words.append(w)
-            count = np.concatenate([[0], np.cumsum(np.bitwise_count(w), dtype=np.int64)])
-            self.ones.append(count)
-            self.zeros.append(self.n - int(count[-1]))
 
-    def _rank1(self, level: int, i: np.ndarray) -> np.ndarray:
-        """Ones of a plane before each position."""
-        block = i >> 6
-        below = (np.uint64(1) << (i & 63).astype(np.uint64)) - np.uint64(1)
-        return self.ones[level][block] + np.bitwise_count(self.words[level][block] & below)
+class Queries:
+    """Batch queries over levels that answer ``_rank1``, ``_bit`` and ``_select``; ``n``, ``bits`` and ``zeros`` are set."""
+
+    n: int
+    bits: int
+    zeros: list[int]
 
     def rank(self, symbols: np.ndarray, i: np.ndarray) -> np.ndarray:
         """Occurrences of each symbol before each position."""
@@ -55,54 +38,90 @@ class WaveletMatrix:
         """Symbols at positions."""
         i, out = np.asarray(i, np.int64), np.zeros(len(i), np.int64)
         for level in range(self.bits):
-            a = self._rank1(level, i)
-            one = (self.words[level][i >> 6] >> (i & 63).astype(np.uint64)) & np.uint64(1) != 0
+            a, one = self._rank1(level, i), self._bit(level, i)
             out = out << 1 | one
             i = np.where(one, self.zeros[level] + a, i - a)
         return out
 
     def count(self, symbol: int) -> int:
-        return int(self.rank(np.array([symbol]), np.array([self.n]))[0])
+        """Occurrences of a symbol; one that needs more bits has none."""
+        return 0 if symbol < 0 or symbol >> self.bits else int(self.rank(np.array([symbol]), np.array([self.n]))[0])
 
     def select(self, symbol: int, k: np.ndarray) -> np.ndarray:
         """Positions of the k-th (from 0) occurrences of a symbol."""
-        lo = 0
-        starts = []
+        lo, ones = 0, []
         for level in range(self.bits):
-            starts.append(lo)
             a = int(self._rank1(level, np.array([lo]))[0])
-            lo = self.zeros[level] + a if symbol >> (self.bits - 1 - level) & 1 else lo - a
+            ones.append(symbol >> (self.bits - 1 - level) & 1)
+            lo = self.zeros[level] + a if ones[-1] else lo - a
         pos = lo + np.asarray(k, np.int64)
         for level in reversed(range(self.bits)):
-            bit = np.unpackbits(self.planes[level], count=self.n, bitorder="little").astype(bool)
-            pos = np.flatnonzero(bit)[pos - self.zeros[level]] if symbol >> (self.bits - 1 - level) & 1 else np.flatnonzero(~bit)[pos]
+            at = pos - self.zeros[level] if ones[level] else pos
+            parts = [self._select(level, at[x : x + SELECT], bool(ones[level])) for x in range(0, len(at), SELECT)]
+            pos = np.concatenate(parts) if parts else at
         return pos
 
     def positions(self, symbol: int) -> np.ndarray:
         """Every position of a symbol, ascending."""
         return self.select(symbol, np.arange(self.count(symbol)))
 
-    def decode(self) -> np.ndarray:
-        """All symbols in order, by undoing the partitions from the last level."""
-        a = np.zeros(self.n, np.uint32)
-        for level in reversed(range(self.bits)):
-            b = np.unpackbits(self.planes[level], count=self.n, bitorder="little").astype(bool)
-            out = np.empty(self.n, np.uint32)
-            out[~b] = a[: self.zeros[level]]
-            out[b] = a[self.zeros[level] :] | np.uint32(1 << (self.bits - 1 - level))
-            a = out
-        return a
 
-    def to_bytes(self) -> bytes:
-        return _MAGIC + struct.pack("<QI", self.n, self.bits) + b"".join(p.tobytes() for p in self.planes)
+class WaveletMatrix(Queries):
+    def __init__(self, symbols: np.ndarray, bits: int):
+        self.n, self.bits = len(symbols), bits
+        self.planes: list[np.ndarray] = []
+        a = symbols.astype(np.uint16 if bits <= 16 else np.uint32)
+        out = np.empty_like(a)
+        for level in range(bits):
+            b = (a & a.dtype.type(1 << (bits - 1 - level))) != 0
+            self.planes.append(np.packbits(b, bitorder="little"))
+            high = a[b]
+            zeros = self.n - len(high)
+            out[:zeros], out[zeros:] = a[~b], high
+            a, out = out, a
 
     @classmethod
-    def from_bytes(cls, raw: bytes) -> WaveletMatrix:
-        if raw[:4] != _MAGIC:
-            raise ValueError("not a wavelet matrix")
+    def of_planes(cls, planes: list[np.ndarray], n: int) -> WaveletMatrix:
         self = cls.__new__(cls)
-        self.n, self.bits = struct.unpack_from("<QI", raw, 4)
-        size, at = -(-self.n // 8), 16
-        self.planes = [np.frombuffer(raw, np.uint8, size, at + level * size) for level in range(self.bits)]
-        self._index()
+        self.n, self.bits, self.planes = n, len(planes), planes
         return self
+
+    def __getattr__(self, name: str):
+        if name not in ("words", "ones", "zeros"):
+            raise AttributeError(name)
+        self.words, self.ones, self.zeros = [], [], []  # the directory, made when it is first asked for
+        for p in self.planes:
+            w = np.zeros(self.n // 64 + 1, np.uint64)
+            w.view(np.uint8)[: len(p)] = p
+            self.words.append(w)
+            count = np.concatenate([[0], np.cumsum(np.bitwise_count(w), dtype=np.int64)])
+            self.ones.append(count)
+            self.zeros.append(self.n - int(count[-1]))
+        return getattr(self, name)
+
+    def _rank1(self, level: int, i: np.ndarray) -> np.ndarray:
+        """Ones of a plane before each position."""
+        below = (np.uint64(1) << (i & 63).astype(np.uint64)) - np.uint64(1)
+        return self.ones[level][i >> 6] + np.bitwise_count(self.words[level][i >> 6] & below)
+
+    def _bit(self, level: int, i: np.ndarray) -> np.ndarray:
+        return (self.words[level][i >> 6] >> (i & 63).astype(np.uint64)) & np.uint64(1) != 0
+
+    def _select(self, level: int, k: np.ndarray, one: bool) -> np.ndarray:
+        before = self.ones[level] if one else 64 * np.arange(len(self.ones[level])) - self.ones[level]
+        at = np.searchsorted(before, k, "right") - 1
+        words = self.words[level][at]
+        return 64 * at + bit_at(words if one else ~words, k - before[at])
+
+    def decode(self) -> np.ndarray:
+        """All symbols in order, by undoing the partitions from the last level."""
+        kind = np.uint16 if self.bits <= 16 else np.uint32
+        a = np.zeros(self.n, kind)
+        for level in reversed(range(self.bits)):
+            b = np.unpackbits(self.planes[level], count=self.n, bitorder="little").view(bool)
+            out = np.empty(self.n, kind)
+            zeros = self.n - int(np.count_nonzero(b))
+            out[~b] = a[:zeros]
+            out[b] = a[zeros:] | kind(1 << (self.bits - 1 - level))
+            a = out
+        return a.astype(np.uint32)
