@@ -194,3 +194,52 @@ def test_islands(spark):
     df = spark.createDataFrame([(1, 1, "a"), (1, 2, "a"), (1, 3, "b"), (1, 4, None), (1, 5, None), (1, 6, "a"), (2, 1, None)], "k int, o int, v string")
     got = sorted(tuple(r) for r in utterance.islands(df, "k", ["o"], "v").select("k", "island", "n", "first", "last").collect())
     assert got == [(1, 1, 2, 1, 2), (1, 2, 1, 3, 3), (1, 3, 2, 4, 5), (1, 4, 1, 6, 6), (2, 1, 1, 1, 1)]
+
+
+def test_native_fold_is_linear_and_equals_the_scan(spark):
+    rng = random.Random(6)
+    rows, text = [], "start here"
+    for k in range(3000):
+        if rng.random() < 0.3:
+            text = rng.choice(["go on now", "go on no", "wait", "", "go away then", text + "x"])
+        rows.append((k % 3, k, 0, 1, rng.choice(["A", "A", "A", "A", "B", ""]) if rng.random() < 0.2 else "A", text, rng.random() < 0.03, rng.random() < 0.03, rng.random() < 0.9))
+    df = spark.createDataFrame(rows, "video_id long, seg_idx long, start_ms long, end_ms long, speaker string, text string, speaker_invalid boolean, text_invalid boolean, allowed boolean")
+
+    def distance(a, b):
+        p = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            c = [i]
+            for j, y in enumerate(b, 1):
+                c.append(min(p[j] + 1, c[-1] + 1, p[j - 1] + (x != y)))
+            p = c
+        return p[-1]
+
+    want, folds = {}, {}
+    for v, k, _, _, s, t, si, ti, ok in rows:
+        fold = folds.setdefault(v, utterance.Fold(similarity=lambda a, b: 1 - distance(a, b) / max(len(a), len(b))))
+        want[v, k] = fold.step(s, t, si, ti, ok)
+    got = {(r.video_id, r.seg_idx): (r.is_new, r.bad, r.no_speaker, r.no_transcript, r.discrepancy, r.blacklisted, r.cleaner, r.status) for r in utterance.decide_native(df).collect()}
+    assert got == want
+    one = spark.range(16_000).selectExpr("1 as video_id", "id as seg_idx", "0 as start_ms", "1 as end_ms", "'A' as speaker", "concat('some text ', id div 2) as text", "true as allowed")
+    assert utterance.decide_native(one).count() == 16_000
+
+
+def test_outliers_with_nulls_and_repeats(spark):
+    rows = [("g", 1, [0.0, 0.0]), ("g", 2, [3.0, 4.0]), ("g", 2, [3.0, 4.0]), ("g", 3, None), ("h", 4, [1.0, 1.0]), ("h", 5, [1.0 + 1e-9, 1.0])]
+    df = spark.createDataFrame(rows, "label string, member int, e array<double>")
+    got = {r.member: r.score for r in outliers.member_scores(df, "label", "member", "e").collect()}
+    assert set(got) == {1, 2, 4, 5} and got[1] == got[2] == 5.0 and got[4] == pytest.approx(1e-9, rel=1e-3)
+
+
+def test_clip_samples_meet_only_near_clips(spark):
+    samples = spark.range(500).selectExpr("1 as k", "id as idx", "double(id) as value")
+    clips = spark.createDataFrame([(1, 0, 3), (1, 99, 207), (1, 499, 600), (1, 5, 5), (2, 0, 9)], "k int, start long, end long")
+    got = sorted((r.start, r.idx) for r in intervals.clip_samples(samples, clips, "k", step=50).collect())
+    assert got == [(0, i) for i in range(3)] + [(99, i) for i in range(99, 207)] + [(499, 499)]
+
+
+def test_level_and_first_silence(spark):
+    samples = spark.createDataFrame([("a", i, v) for i, v in enumerate([9.0, 0.0, 0.0, 9.0, 0.0, 0.0])] + [("b", i, 5.0) for i in range(4)] + [("c", 0, 0.0)], "k string, idx long, value double")
+    assert {r.k: (r.start, r.end) for r in intervals.first_silence(samples, "k", 2, 3.0).collect()} == {"a": (1, 3), "b": (None, None), "c": (None, None)}
+    level = {r.k: (r.n, r.rms, r.db) for r in intervals.signal_level(samples, "k").collect()}
+    assert level["b"] == (4, 5.0, pytest.approx(13.979400)) and level["c"] == (1, 0.0, None)

@@ -48,3 +48,9 @@ def test_names_and_paths(spark):
         T.last_part(T.normal_path(F.lit("a\\b\\c.wav"))).alias("last"), T.parent_part(F.lit("a/b/c")).alias("parent"), T.strip_suffix(F.lit("c.wav")).alias("stem"), T.python_float(F.lit(0.49)).alias("f"), T.db_factor(F.lit(20.0)).alias("db"),
     ).first()
     assert tuple(r) == ("YURI-1-0007", "xillia 2", None, "c.wav", "b", "c", "0.49", 10.0)
+
+
+def test_python_float(spark):
+    values = [0.0, -0.0, 0.5, 1.0, -2.75, 0.0005, 0.00012345, 0.0001, 0.00001, 1.5e-7, 12345678.5, 1e7, 1.2345e10, 123456789012345.6, 1e15, 1e16, 1.5e16, -3e200, 1e-300, 0.12, float("inf"), float("-inf"), None]
+    df = spark.createDataFrame([(v,) for v in values], "x double").select("x", T.python_float(F.col("x")).alias("s"))
+    assert [r.s for r in df.collect()] == [None if v is None else repr(v) for v in values]

@@ -39,11 +39,11 @@ ROI = (
 
 #: Allowed speakers by category, 52 in all.
 ALLOWED = {
-    "berseria": "VELVET LAPHICET ROKUROU EIZEN ELEANOR MAGILOU BIENFU ZAVEID GRIMOIRH DYLE KAMOANA KUROGANE BENWICK TERESA MEDISSA ARTORIUS SERES".split(),
-    "zestiria": "SOREY MIKLEO EDNA DEZEL ROSE ALISHA LAILAH ZAVEID".split(),
-    "xillia 1": "JUDE MILLA ALVIN ELIZE ROWEN LEIA MUZET GAIUS TEEPO DRISELLE".split(),
-    "xillia 2": "JUDE ALVIN ELIZE ROWEN LEIA MUZET GAIUS TEEPO ELLE".split(),
-    "vesperia": "YURI ESTELLE KAROL RAVEN JUDITH RITA PATTY FLYNN".split(),
+    "berseria": ["VELVET", "LAPHICET", "ROKUROU", "EIZEN", "ELEANOR", "MAGILOU", "BIENFU", "ZAVEID", "GRIMOIRH", "DYLE", "KAMOANA", "KUROGANE", "BENWICK", "TERESA", "MEDISSA", "ARTORIUS", "SERES"],
+    "zestiria": ["SOREY", "MIKLEO", "EDNA", "DEZEL", "ROSE", "ALISHA", "LAILAH", "ZAVEID"],
+    "xillia 1": ["JUDE", "MILLA", "ALVIN", "ELIZE", "ROWEN", "LEIA", "MUZET", "GAIUS", "TEEPO", "DRISELLE"],
+    "xillia 2": ["JUDE", "ALVIN", "ELIZE", "ROWEN", "LEIA", "MUZET", "GAIUS", "TEEPO", "ELLE"],
+    "vesperia": ["YURI", "ESTELLE", "KAROL", "RAVEN", "JUDITH", "RITA", "PATTY", "FLYNN"],
 }
 
 #: Categories, in matching order, and those whose font confuses 1 and I.

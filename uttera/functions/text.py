@@ -122,8 +122,19 @@ def parent_part(path: Column) -> Column:
 
 
 def python_float(c: Column) -> Column:
-    """A double as Python prints it, for magnitudes that both write without an exponent (1e-3 to 1e7)."""
-    return c.cast("string")
+    """A double as Python prints it: plainly from 1e-4 to under 1e16, else with an exponent of two digits or more (subnormals as Java prints them)."""
+    text = c.cast("string")
+    sign = F.when(text.startswith("-"), "-").otherwise("")
+    mantissa = F.regexp_extract(text, r"^-?([0-9.]+)E", 1)
+    power = F.regexp_extract(text, r"E(-?[0-9]+)$", 1).cast("int")
+    digits = F.regexp_replace(F.regexp_replace(mantissa, r"\.0$", ""), r"\.", "")
+    n = F.length(digits)
+    high = F.when(n > power + 1, F.concat(F.substring(digits, F.lit(1), power + 1), F.lit("."), F.substring(digits, power + 2, n))).otherwise(F.concat(F.rpad(digits, power + 1, F.lit("0")), F.lit(".0")))
+    low = F.concat(F.lit("0."), F.repeat(F.lit("0"), -power - 1), digits)
+    exponent = F.concat(F.regexp_replace(mantissa, r"\.0$", ""), F.when(power < 0, "e-").otherwise("e+"), F.lpad(F.abs(power).cast("string"), F.greatest(F.lit(2), F.length(F.abs(power).cast("string"))), F.lit("0")))
+    shown = F.when((power >= 0) & (power < 16), F.concat(sign, high)).when((power < 0) & (power >= -4), F.concat(sign, low)).otherwise(F.concat(sign, exponent))
+    special = F.when(c == float("inf"), "inf").when(c == float("-inf"), "-inf").when(F.isnan(c), "nan")
+    return F.coalesce(special, F.when(text.contains("E"), shown).otherwise(text))
 
 
 def db_factor(db: Column) -> Column:

@@ -60,6 +60,20 @@ def activity_segments(samples: DataFrame, key: str, k: int, db: float) -> DataFr
     return found.select(key, (F.row_number().over(Window.partitionBy(key).orderBy("from")) - 1).alias("seg_idx"), F.col("from").alias("start"), F.col("to").alias("end"))
 
 
-def clip_samples(samples: DataFrame, clips: DataFrame, key: str) -> DataFrame:
-    """Samples of each clip [start, end): an equi-join on the key with a range filter. Clips are few per key."""
-    return samples.join(clips, key).where((F.col("idx") >= F.col("start")) & (F.col("idx") < F.col("end")))
+def signal_level(samples: DataFrame, key: str, value: str = "value") -> DataFrame:
+    """(key, n, rms, db): root mean square of each signal and its level; null for a silent one's db."""
+    rms = F.sqrt(F.avg(F.col(value) * F.col(value)))
+    return samples.groupBy(key).agg(F.count(F.lit(1)).alias("n"), rms.alias("rms")).withColumn("db", F.when(F.col("rms") > 0, 20 * F.log10("rms")))
+
+
+def first_silence(samples: DataFrame, key: str, k: int, db: float) -> DataFrame:
+    """(key, start, end) of the first silence of each signal, null where there is none."""
+    first = silence_ranges(samples, key, k, db).groupBy(key).agg(F.min_by("start", "start").alias("start"), F.min_by("end", "start").alias("end"))
+    return samples.select(key).distinct().join(first, key, "left")
+
+
+def clip_samples(samples: DataFrame, clips: DataFrame, key: str, step: int = 1024) -> DataFrame:
+    """Samples of each clip [start, end): both sides meet in stretches of ``step`` indices, so a sample meets only the clips near it."""
+    near = clips.where("start < end").withColumn("__at", F.explode(F.sequence(F.floor(F.col("start") / step), F.floor((F.col("end") - 1) / step))))
+    both = samples.withColumn("__at", F.floor(F.col("idx") / step)).join(near, [key, "__at"])
+    return both.where((F.col("idx") >= F.col("start")) & (F.col("idx") < F.col("end"))).drop("__at")

@@ -21,10 +21,12 @@ def _l2(a, b):
 def member_scores(members: DataFrame, group: str, member: str, embedding: str, combine: str = "mean") -> DataFrame:
     """(group, member, score): combined L2 distance to the group's other members.
 
-    ``mean`` and ``max`` compare members with blocks of ``PAIR_ROWS`` others as matrix products, so a group of any size is
-    spread over tasks of bounded size; ``centroid`` is one aggregation and a join. A member alone has score 0.
+    ``mean`` and ``max`` compare members with blocks of ``PAIR_ROWS`` others, so a group of any size is
+    spread over tasks of bounded size; ``centroid`` is one aggregation and a join. A member alone has score 0. Rows without
+    an embedding have no score; of rows repeated under one member the least embedding counts, once.
     """
-    rows = members.select(group, member, F.transform(embedding, lambda x: x.cast("double")).alias("e"))
+    typed = members.where(F.col(embedding).isNotNull()).select(group, member, F.transform(embedding, lambda x: x.cast("double")).alias("e"))
+    rows = typed.groupBy(group, member).agg(F.min("e").alias("e"))
     if combine == "centroid":
         sums = rows.select(group, F.posexplode("e").alias("k", "v")).groupBy(group, "k").agg(F.avg("v").alias("v"))
         centre = sums.groupBy(group).agg(F.transform(F.array_sort(F.collect_list(F.struct("k", "v"))), lambda x: x["v"]).alias("c"))
@@ -40,7 +42,8 @@ def member_scores(members: DataFrame, group: str, member: str, embedding: str, c
         flat = table.column("e").combine_chunks()
         e = flat.flatten().to_numpy(zero_copy_only=False).reshape(len(flat), -1)
         x, y = e[asks], e[~asks]
-        d = np.sqrt(np.maximum(((x[:, None, :] - y[None, :, :]) ** 2).sum(-1) if len(x) * len(y) * e.shape[1] < 5_000_000 else np.add.outer((x * x).sum(1), (y * y).sum(1)) - 2 * x @ y.T, 0))
+        step = max(1, 4_000_000 // max(1, y.size))  # rows at a time, so that the differences stay small in memory
+        d = np.concatenate([np.sqrt(((x[k : k + step, None, :] - y[None, :, :]) ** 2).sum(-1)) for k in range(0, len(x), step)])
         mine = table.filter(pa.array(asks))
         return pa.table({group: mine.column(group), member: mine.column(member), "total": d.sum(1), "most": d.max(1), "n": np.full(len(x), len(y), np.int64)})
 

@@ -2,7 +2,8 @@
 
 Observations: (video_id, seg_idx, start_ms, end_ms, speaker, text) cleaned, and optionally
 speaker_invalid and text_invalid from the raw texts. The fold compares each text with the first of
-its run, so it is a scan by video; everything before and after it is set-oriented.
+its run. A row without speaker or text, or with another speaker than the row before, begins a run whatever came
+before, so the rows between such places (*stretches*) are folded apart from each other; everything else is set-oriented.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ from uttera.config import Params
 from uttera.functions.text import clip_name, levenshtein_ratio, ratio
 
 P = Params()
+PIECE = 1024
+COUNTERS = {"cleaner": "cleaner", "no_speaker": "no_speaker", "no_transcript": "no_transcript", "discrepancy": "discrepancies", "blacklisted": "blacklisted"}
 DECIDED = "seg_idx bigint, start_ms bigint, end_ms bigint, speaker string, text string, is_new boolean, bad boolean, no_speaker int, no_transcript int, discrepancy int, blacklisted int, cleaner int, status string"
 
 
@@ -35,36 +38,52 @@ def with_allowed(obs: DataFrame, allowed: DataFrame, on: list[str]) -> DataFrame
 
 
 def decide_native(obs: DataFrame, similarity: Callable[[Column, Column], Column] = levenshtein_ratio, threshold: float = P.similarity, deviation: float = P.deviation) -> DataFrame:
-    """One decision per observation, in the JVM: ``aggregate`` over the ordered observations of a video."""
-    arr = _input(obs).groupBy("video_id").agg(F.array_sort(F.collect_list(F.struct("seg_idx", "start_ms", "end_ms", "speaker", "text", "speaker_invalid", "text_invalid", "allowed"))).alias("obs"))
-    zero = F.struct(F.lit(None).cast("string").alias("sp"), F.lit(None).cast("string").alias("tx"), F.lit(False).alias("drop"), F.array().cast(f"array<struct<{DECIDED.replace(' ', ':').replace(',:', ',')}>>").alias("out"))
+    """One decision per observation, in the JVM: ``aggregate`` over the ordered rows of each stretch.
+
+    The state is the text and drop flag of the run, the text before and its similarity; what it leaves behind is a letter a row
+    (``N`` new, ``S`` same, ``D`` differs, ``d`` differs in a run that is dropped already), in pieces of ``PIECE``. So the fold is
+    linear, and an equal text is compared once.
+    """
+    w = Window.partitionBy("video_id").orderBy("seg_idx")
+    rows = _input(obs)
+    s, t = F.col("speaker"), F.col("text")
+    d1 = F.col("speaker_invalid") | (s == "")
+    d2 = d1 | F.col("text_invalid")
+    banned = (s != "") & ~F.col("allowed")
+    hard = (s == "") | (t == "") | ~s.eqNullSafe(F.lag("speaker").over(w))
+    item = F.struct("seg_idx", "start_ms", "end_ms", "speaker", "text", hard.alias("hard"), d1.alias("d1"), d2.alias("d2"), banned.alias("banned"), "speaker_invalid", "text_invalid", (d2 | (t == "") | banned).alias("flaw"))
+    items = rows.select("video_id", item.alias("o")).withColumn("stretch", F.sum(F.col("o.hard").cast("int")).over(Window.partitionBy("video_id").orderBy("o.seg_idx")))
+    arr = items.groupBy("video_id", "stretch").agg(F.array_sort(F.collect_list("o")).alias("obs"))
+    zero = F.struct(F.lit("").alias("tx"), F.lit("").alias("before"), F.lit(0.0).cast("double").alias("r"), F.lit(False).alias("drop"), F.array().cast("array<string>").alias("full"), F.lit("").alias("out"))
 
     def step(acc: Column, o: Column) -> Column:
-        s, t = o["speaker"], o["text"]
-        no_sp, no_tx = s == "", t == ""
-        d1 = o["speaker_invalid"] | no_sp
-        d2 = d1 | o["text_invalid"]
-        early = no_sp | acc["sp"].isNull() | (acc["sp"] != s) | no_tx
-        r = F.when(early, F.lit(0.0)).when(t == acc["tx"], F.lit(1.0)).otherwise(similarity(t, acc["tx"]))
+        t = o["text"]
+        far = F.least(F.length(t), F.length(acc["tx"])) <= threshold * F.greatest(F.length(t), F.length(acc["tx"]))  # no similarity can exceed the ratio of lengths
+        r = F.when(o["hard"], F.lit(0.0)).when(t == acc["tx"], F.lit(1.0)).when(t == acc["before"], acc["r"]).when(far, F.lit(0.0)).otherwise(similarity(t, acc["tx"]))
         # bound by a lambda: each mention of the column would compute the similarity again
-        return F.get(F.transform(F.array(r), lambda r: decide(acc, o, s, t, no_sp, no_tx, d1, d2, early, r)), F.lit(0))
+        return F.get(F.transform(F.array(r), lambda r: decide(acc, o, t, r)), F.lit(0))
 
-    def decide(acc: Column, o: Column, s: Column, t: Column, no_sp: Column, no_tx: Column, d1: Column, d2: Column, early: Column, r: Column) -> Column:
-        new = early | (r <= threshold)
+    def decide(acc: Column, o: Column, t: Column, r: Column) -> Column:
+        new = r <= threshold
         differs = ~new & (r <= 1 - deviation)
-        banned = ~no_sp & ~o["allowed"]
-        bad = d2 | no_tx | differs | banned
-        drop = F.when(new, bad).otherwise(acc["drop"] | bad)
-        num = lambda c: c.cast("int")
-        row = F.struct(
-            o["seg_idx"].cast("bigint").alias("seg_idx"), o["start_ms"].cast("bigint").alias("start_ms"), o["end_ms"].cast("bigint").alias("end_ms"), s.alias("speaker"), t.alias("text"), new.alias("is_new"), bad.alias("bad"),
-            num(no_sp).alias("no_speaker"), num(no_tx & ~d2).alias("no_transcript"), num(differs & ~acc["drop"]).alias("discrepancy"), num(banned).alias("blacklisted"),
-            (num(o["speaker_invalid"]) + num(o["text_invalid"] & ~d1)).alias("cleaner"),
-            F.when(new & bad, "NEW_UTTERANCE_BAD").when(new, "NEW_UTTERANCE_GOOD").when(bad, "DROP_UTTERANCE").otherwise("SAME_UTTERANCE").alias("status"),
+        code = F.when(new, "N").when(differs, F.when(acc["drop"], "d").otherwise("D")).otherwise("S")
+        full = F.length(acc["out"]) >= PIECE
+        return F.struct(
+            F.when(new, t).otherwise(acc["tx"]).alias("tx"), t.alias("before"), F.when(new, 1.0).otherwise(r).alias("r"), F.when(new, o["flaw"]).otherwise(acc["drop"] | o["flaw"] | differs).alias("drop"),
+            F.when(full, F.concat(acc["full"], F.array(acc["out"]))).otherwise(acc["full"]).alias("full"), F.when(full, code).otherwise(F.concat(acc["out"], code)).alias("out"),
         )
-        return F.struct(F.when(new, s).otherwise(acc["sp"]).alias("sp"), F.when(new, t).otherwise(acc["tx"]).alias("tx"), drop.alias("drop"), F.concat(acc["out"], F.array(row)).alias("out"))
 
-    return arr.select("video_id", F.inline(F.aggregate("obs", zero, step, lambda acc: acc["out"])))
+    letters = F.aggregate("obs", zero, step, lambda acc: F.concat(F.array_join(acc["full"], ""), acc["out"]))
+    each = arr.select("video_id", "obs", F.split(letters, "").alias("codes")).select("video_id", F.inline(F.arrays_zip("obs", "codes"))).select("video_id", "obs.*", F.col("codes").alias("code"))
+    new, differs = F.col("code") == "N", F.upper("code") == "D"
+    bad = F.col("flaw") | differs
+    num = lambda c: c.cast("int")
+    return each.select(
+        "video_id", F.col("seg_idx").cast("bigint").alias("seg_idx"), F.col("start_ms").cast("bigint").alias("start_ms"), F.col("end_ms").cast("bigint").alias("end_ms"), "speaker", "text", new.alias("is_new"), bad.alias("bad"),
+        num(s == "").alias("no_speaker"), num((t == "") & ~F.col("d2")).alias("no_transcript"), num(F.col("code") == "D").alias("discrepancy"), num(F.col("banned")).alias("blacklisted"),
+        (num(F.col("speaker_invalid")) + num(F.col("text_invalid") & ~F.col("d1"))).alias("cleaner"),
+        F.when(new & bad, "NEW_UTTERANCE_BAD").when(new, "NEW_UTTERANCE_GOOD").when(bad, "DROP_UTTERANCE").otherwise("SAME_UTTERANCE").alias("status"),
+    )
 
 
 class Fold:
@@ -112,12 +131,12 @@ def decide_exact(obs: DataFrame, similarity: Callable[[str, str], float] = ratio
     return rows.mapInPandas(run, f"video_id bigint, {DECIDED}")
 
 
-def runs(decided: DataFrame) -> DataFrame:
-    """Runs of decisions: (video_id, run_idx, speaker, text, start_ms, end_ms, dropped, is_last)."""
+def runs(decided: DataFrame, *counts: Column) -> DataFrame:
+    """Runs of decisions: (video_id, run_idx, speaker, text, start_ms, end_ms, dropped, is_last), and what ``counts`` adds up."""
     w = Window.partitionBy("video_id").orderBy("seg_idx")
     numbered = decided.withColumn("run_idx", F.sum(F.col("is_new").cast("long")).over(w) - 1)
     grouped = numbered.groupBy("video_id", "run_idx").agg(
-        F.min_by("speaker", "seg_idx").alias("speaker"), F.min_by("text", "seg_idx").alias("text"), F.min_by("start_ms", "seg_idx").alias("start_ms"), F.max_by("end_ms", "seg_idx").alias("end_ms"), F.bool_or("bad").alias("dropped")
+        F.min_by("speaker", "seg_idx").alias("speaker"), F.min_by("text", "seg_idx").alias("text"), F.min_by("start_ms", "seg_idx").alias("start_ms"), F.max_by("end_ms", "seg_idx").alias("end_ms"), F.bool_or("bad").alias("dropped"), *counts
     )
     return grouped.withColumn("is_last", F.lead("run_idx").over(Window.partitionBy("video_id").orderBy("run_idx")).isNull())
 
@@ -131,13 +150,11 @@ def utterances(decided: DataFrame, flush_tail: bool = False) -> DataFrame:
 
 
 def statistics(decided: DataFrame, rejected: DataFrame | None = None, flush_tail: bool = False) -> DataFrame:
-    """The nine counters of each video; ``rejected`` (video_id, ...) are clips that verification took out."""
-    per_row = decided.groupBy("video_id").agg(
-        F.count(F.lit(1)).alias("potential"), *[F.sum(c).cast("long").alias(n) for c, n in (("cleaner", "cleaner"), ("no_speaker", "no_speaker"), ("no_transcript", "no_transcript"), ("discrepancy", "discrepancies"), ("blacklisted", "blacklisted"))]
-    )
-    ended = runs(decided).where(F.lit(flush_tail) | ~F.col("is_last"))
-    per_run = ended.groupBy("video_id").agg(F.count_if(~F.col("dropped")).alias("emitted"), F.count_if("dropped").alias("lost"))
-    out = per_row.join(per_run, "video_id", "left")
+    """The nine counters of each video in one pass, runs first; ``rejected`` (video_id, ...) are clips that verification took out."""
+    by_run = runs(decided, F.count(F.lit(1)).alias("potential"), *[F.sum(c).alias(n) for c, n in COUNTERS.items()])
+    ended = F.lit(flush_tail) | ~F.col("is_last")
+    totals = [F.sum(n).cast("long").alias(n) for n in ("potential", *COUNTERS.values())]
+    out = by_run.groupBy("video_id").agg(*totals, F.count_if(ended & ~F.col("dropped")).alias("emitted"), F.count_if(ended & F.col("dropped")).alias("lost"))
     if rejected is not None:
         out = out.join(rejected.groupBy("video_id").agg(F.count(F.lit(1)).alias("failed")), "video_id", "left")
     else:

@@ -13,6 +13,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The rows over all cores where the input has fewer parts than that: work on texts by the row is worth the exchange."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if 2 * df.rdd.getNumPartitions() < cores else df
+
+
 def q(s: str) -> str:
     """A DuckDB string literal."""
     return "'" + s.replace("'", "''") + "'"
@@ -41,7 +47,8 @@ def sql_clean(c: str, category: str | None = None) -> str:
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four reads of every turn, some with the speaker or text blank or the end cut off."""
-    t = table(spark, sf_dir, "conversations").where("text is not null").select("conv_id", "turn", F.upper("role").alias("role"), F.upper(transliterate(F.col("text"))).alias("t"), F.explode(F.sequence(F.lit(0), F.lit(3))).alias("r"))
+    turns = spread(table(spark, sf_dir, "conversations").where("text is not null").select("conv_id", "turn", "role", "text"))
+    t = turns.select("conv_id", "turn", F.upper("role").alias("role"), F.upper(transliterate(F.col("text"))).alias("t"), F.explode(F.sequence(F.lit(0), F.lit(3))).alias("r"))
     seq = F.col("turn") * 4 + F.col("r")
     cut = F.when((F.col("conv_id") * 7 + F.col("turn") + F.col("r")) % 11 == 0, F.expr("left(t, length(t) - 3)")).otherwise(F.col("t"))
     rows = t.select(
@@ -56,21 +63,21 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
 SQL_OBS = f"""obs AS (
   SELECT conv_id AS video_id, turn * 4 + r AS seg_idx, (turn * 4 + r) * 400 + 95 AS start_ms, (turn * 4 + r) * 400 + 405 AS end_ms,
     CASE WHEN (conv_id * 3 + turn + r) % 17 = 0 THEN '' ELSE role END AS s,
-    CASE WHEN (conv_id + turn * 5 + r) % 13 = 0 THEN '' WHEN (conv_id * 7 + turn + r) % 11 = 0 THEN left(t, greatest(length(t) - 3, 0)) ELSE t END AS t
-  FROM (SELECT conv_id, turn, upper(role) AS role, left(upper({sql_transliterate('text')}), 60) AS t, unnest([0, 1, 2, 3]) AS r FROM conversations WHERE text IS NOT NULL)
+    CASE WHEN (conv_id + turn * 5 + r) % 13 = 0 THEN '' WHEN (conv_id * 7 + turn + r) % 11 = 0 THEN left(t, greatest(length(t) - 3, 0)) ELSE t END AS t, false AS si, false AS ti
+  FROM (SELECT conv_id, turn, upper(role) AS role, upper({sql_transliterate('text')}) AS t, unnest([0, 1, 2, 3]) AS r FROM conversations WHERE text IS NOT NULL)
 )"""
 
-#: The fold as a recursive query: one observation of every video a step.
-SQL_DECIDED = f"""{SQL_OBS}, numbered AS (
+#: The fold as a recursive query over ``obs``: one observation of every video a step. s and t are clean, si and ti the flags of the raw.
+SQL_FOLD = """numbered AS (
   SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY seg_idx) AS k FROM obs
 ), fold AS (
   SELECT video_id, CAST(0 AS BIGINT) AS k, CAST(NULL AS VARCHAR) AS sp, CAST(NULL AS VARCHAR) AS tx, false AS drp, CAST(NULL AS BIGINT) AS seg_idx, CAST(NULL AS BIGINT) AS start_ms, CAST(NULL AS BIGINT) AS end_ms,
-    CAST(NULL AS VARCHAR) AS s, CAST(NULL AS VARCHAR) AS t, false AS is_new, false AS bad, 0 AS no_speaker, 0 AS no_transcript, 0 AS discrepancy, 0 AS blacklisted
+    CAST(NULL AS VARCHAR) AS s, CAST(NULL AS VARCHAR) AS t, false AS is_new, false AS bad, 0 AS no_speaker, 0 AS no_transcript, 0 AS discrepancy, 0 AS blacklisted, 0 AS cleaner
   FROM (SELECT DISTINCT video_id FROM obs)
   UNION ALL
   SELECT video_id, k, CASE WHEN is_new THEN s ELSE sp END, CASE WHEN is_new THEN t ELSE tx END, CASE WHEN is_new THEN bad ELSE drp OR bad END, seg_idx, start_ms, end_ms, s, t, is_new, bad,
-    CAST(s = '' AS INTEGER), CAST(t = '' AND s <> '' AS INTEGER), CAST(differs AND NOT drp AS INTEGER), CAST(banned AS INTEGER)
-  FROM (SELECT *, (s = '' OR t = '' OR differs OR banned) AS bad FROM (SELECT *, NOT is_new AND r <= 1 - 0.00001 AS differs, s NOT IN ('', 'USER', 'ASSISTANT') AS banned FROM (
+    CAST(s = '' AS INTEGER), CAST(t = '' AND NOT d2 AS INTEGER), CAST(differs AND NOT drp AS INTEGER), CAST(banned AS INTEGER), CAST(si AS INTEGER) + CAST(ti AND NOT d1 AS INTEGER)
+  FROM (SELECT *, (d2 OR t = '' OR differs OR banned) AS bad FROM (SELECT *, (si OR s = '') AS d1, (si OR s = '' OR ti) AS d2, NOT is_new AND r <= 1 - 0.00001 AS differs, s NOT IN ('', 'USER', 'ASSISTANT') AS banned FROM (
     SELECT *, early OR r <= 0.6 AS is_new FROM (
       SELECT f.sp, f.tx, f.drp, n.*, (n.s = '' OR f.sp IS NULL OR f.sp <> n.s OR n.t = '') AS early,
         CASE WHEN n.s = '' OR f.sp IS NULL OR f.sp <> n.s OR n.t = '' THEN 0.0 ELSE 1.0 - levenshtein(n.t, f.tx)::DOUBLE / greatest(length(n.t), length(f.tx)) END AS r
@@ -84,6 +91,44 @@ runs AS (
 ), utts AS (
   SELECT video_id, speaker, CAST(row_number() OVER (PARTITION BY video_id, speaker ORDER BY run_idx) - 1 AS INTEGER) AS utt_idx, start_ms, end_ms, text FROM runs WHERE NOT dropped AND NOT is_last
 )"""
+SQL_DECIDED = f"{SQL_OBS}, {SQL_FOLD}"
+
+
+def recording(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Segments and frames of every conversation as a recording: three segments and twelve frames a turn.
+
+    Some segments are short; frames have the raw speaker and text, some marked, blank or with the end cut off.
+    """
+    t = spread(table(spark, sf_dir, "conversations").where("text is not null").select(F.col("conv_id").alias("video_id"), "turn", "role", "text"))
+    g, r = (F.explode(F.sequence(F.lit(0), F.lit(n))) for n in (2, 11))
+    start = F.col("turn") * 1200 + F.col("g") * 400 + 20
+    length = F.when((F.col("video_id") + F.col("turn") + F.col("g")) % 9 == 0, 30).otherwise(260)
+    segments_ = t.select("video_id", "turn", g.alias("g")).select("video_id", (F.col("turn") * 3 + F.col("g")).alias("seg_idx"), start.alias("start_ms"), (start + length).alias("end_ms"))
+    f = t.withColumn("r", r).withColumn("g", F.floor(F.col("r") / 4).cast("int"))
+    speaker = F.when((F.col("video_id") * 3 + F.col("turn") + F.col("g")) % 17 == 0, "").when((F.col("video_id") * 5 + F.col("turn")) % 29 == 0, F.concat("role", F.lit("*"))).otherwise(F.col("role"))
+    cut = F.when((F.col("video_id") * 7 + F.col("turn") + F.col("g")) % 11 == 0, F.expr("left(text, length(text) - 3)")).otherwise(F.col("text"))
+    text = F.when((F.col("video_id") + F.col("turn") * 5 + F.col("g")) % 13 == 0, "").when((F.col("video_id") + F.col("turn") * 3) % 31 == 0, F.concat("text", F.lit(" *"))).otherwise(cut)
+    frames = f.select("video_id", (F.col("turn") * 12 + F.col("r")).alias("frame_idx"), (F.col("turn") * 1200 + F.col("r") * 100 + F.col("video_id") % 3).alias("ts"), speaker.alias("raw_speaker"), text.alias("raw_text"))
+    return segments_, frames
+
+
+SQL_RECORDING = f"""turns AS (SELECT conv_id AS video_id, turn, role, text FROM conversations WHERE text IS NOT NULL),
+segs AS (SELECT *, (e - b) // 2 + b AS m FROM (SELECT video_id, turn * 3 + g AS seg_idx, turn * 1200 + g * 400 + 20 AS b, turn * 1200 + g * 400 + 20 + CASE WHEN (video_id + turn + g) % 9 = 0 THEN 30 ELSE 260 END AS e FROM (SELECT *, unnest([0, 1, 2]) AS g FROM turns)) WHERE e - b >= 100),
+order_ AS (SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY seg_idx) AS k FROM segs),
+frames AS (SELECT video_id, turn * 12 + r AS frame_idx, turn * 1200 + r * 100 + video_id % 3 AS ts,
+    CASE WHEN (video_id * 3 + turn + r // 4) % 17 = 0 THEN '' WHEN (video_id * 5 + turn) % 29 = 0 THEN role || '*' ELSE role END AS raw_speaker,
+    CASE WHEN (video_id + turn * 5 + r // 4) % 13 = 0 THEN '' WHEN (video_id + turn * 3) % 31 = 0 THEN text || ' *' WHEN (video_id * 7 + turn + r // 4) % 11 = 0 THEN left(text, greatest(length(text) - 3, 0)) ELSE text END AS raw_text
+  FROM (SELECT *, unnest(range(12)) AS r FROM turns)),
+matched AS (
+  SELECT DISTINCT video_id, CAST(0 AS BIGINT) AS k, CAST(-1 AS BIGINT) AS frame_idx FROM segs
+  UNION ALL
+  SELECT x.video_id, x.k + 1, (SELECT min(f.frame_idx) FROM frames f WHERE f.video_id = x.video_id AND f.frame_idx > x.frame_idx AND f.ts >= o.m) FROM matched x JOIN order_ o ON o.video_id = x.video_id AND o.k = x.k + 1 WHERE x.frame_idx IS NOT NULL
+),
+obs AS (SELECT o.video_id, o.seg_idx, o.b - 5 AS start_ms, o.e + 5 AS end_ms, {sql_clean('raw_speaker')} AS s, {sql_clean('raw_text')} AS t,
+    contains(raw_speaker, '*') OR regexp_matches(raw_speaker, '[A-Za-z]-[A-Za-z]') AS si, contains(raw_text, '*') OR regexp_matches(raw_text, '[A-Za-z]-[A-Za-z]') AS ti
+  FROM order_ o JOIN matched x ON x.video_id = o.video_id AND x.k = o.k JOIN frames f ON f.video_id = o.video_id AND f.frame_idx = x.frame_idx),
+{SQL_FOLD},
+rejects AS (SELECT *, printf('%s-%d-%04d', speaker, video_id, utt_idx) AS clip_name FROM utts WHERE speaker IN ('USER', 'ASSISTANT') AND (video_id * 7 + utt_idx) % 5 = 0)"""
 
 
 def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -125,7 +170,7 @@ def grids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SQL_GRIDS = """grids AS (
   SELECT conv_id, turn, list_append(w, '') AS w, CASE WHEN turn % 2 = 0 THEN 120 WHEN turn % 3 = 0 THEN 400 END AS silence_end_ms
-  FROM (SELECT conv_id, turn, regexp_split_to_array(trim(regexp_replace(text, '[^A-Za-z ]+', '', 'g'), ' '), ' +')[1:5] AS w FROM conversations WHERE text IS NOT NULL AND (conv_id + turn) % 3 <> 0)
+  FROM (SELECT conv_id, turn, regexp_split_to_array(trim(regexp_replace(text, '[^A-Za-z ]+', '', 'g'), ' '), ' +') AS w FROM conversations WHERE text IS NOT NULL AND (conv_id + turn) % 3 <> 0)
 ), repaired AS (
   SELECT conv_id, turn, CASE WHEN w[1] <> '' THEN list_concat([''], w) ELSE w END AS texts,
     CASE WHEN w[1] <> '' THEN list_concat([CASE WHEN silence_end_ms IS NULL OR silence_end_ms / 1000 >= 0.25 THEN 0.0 ELSE silence_end_ms / 1000 END], list_transform(range(1, len(w) + 1), lambda i: i * 0.25::DOUBLE)) ELSE list_transform(range(1, len(w) + 1), lambda i: i * 0.25::DOUBLE) END AS ends

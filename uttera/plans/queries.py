@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from uttera.config import ALLOWED, ROI
 from uttera.functions import text as T
 from uttera.operators import align, asof, images, intervals, outliers, split, utterance
+from uttera.plans import dataset
 from uttera.plans import derived as D
 from uttera.streaming.fold import activity_sessions
 
@@ -37,7 +38,7 @@ def query(sql: str | None = None):
 @query(f"SELECT doc_id, {D.sql_clean('text', chr(40) + 'doc_id % 5 < 2' + chr(41))} AS clean FROM documents")
 def clean_text_documents(spark, sf):
     category = F.element_at(F.array(*[F.lit(c) for c in ("berseria", "zestiria", "xillia 1", "xillia 2", "vesperia")]), (F.col("doc_id") % 5 + 1).cast("int"))
-    return D.table(spark, sf, "documents").select("doc_id", T.clean_text(F.col("text"), category).alias("clean"))
+    return D.spread(D.table(spark, sf, "documents").select("doc_id", "text")).select("doc_id", T.clean_text(F.col("text"), category).alias("clean"))
 
 
 @query(f"SELECT conv_id, turn, {D.sql_clean('role')} AS speaker, {D.sql_clean('text')} AS clean FROM conversations")
@@ -76,16 +77,16 @@ def path_parts(spark, sf):
     return D.table(spark, sf, "pages").where("url is not null").select("page_id", raw.alias("raw")).select("page_id", "raw", T.last_part(path).alias("name"), T.parent_part(path).alias("parent"), T.strip_suffix(T.last_part(path), ".html").alias("stem"))
 
 
-@query(f"SELECT a.conv_id, a.turn, 1.0 - levenshtein(a.t, b.t)::DOUBLE / greatest(length(a.t), length(b.t)) AS similarity FROM (SELECT conv_id, turn, left({D.sql_clean('text')}, 200) AS t FROM conversations) a JOIN (SELECT conv_id, turn, left({D.sql_clean('text')}, 200) AS t FROM conversations) b ON a.conv_id = b.conv_id AND a.turn = b.turn + 1 WHERE greatest(length(a.t), length(b.t)) > 0")
+@query(f"SELECT a.conv_id, a.turn, 1.0 - levenshtein(a.t, b.t)::DOUBLE / greatest(length(a.t), length(b.t)) AS similarity FROM (SELECT conv_id, turn, {D.sql_clean('text')} AS t FROM conversations) a JOIN (SELECT conv_id, turn, {D.sql_clean('text')} AS t FROM conversations) b ON a.conv_id = b.conv_id AND a.turn = b.turn + 1 WHERE greatest(length(a.t), length(b.t)) > 0")
 def similarity_levenshtein(spark, sf):
-    t = D.table(spark, sf, "conversations").select("conv_id", "turn", T.clean_text(F.col("text")).alias("t"))
+    t = D.spread(D.table(spark, sf, "conversations").select("conv_id", "turn", "text")).select("conv_id", "turn", T.clean_text(F.col("text")).alias("t"))
     pairs = t.join(t.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("t").alias("b")), ["conv_id", "turn"]).where("length(t) > 0 or length(b) > 0")
     return pairs.select("conv_id", "turn", T.levenshtein_ratio(F.col("t"), F.col("b")).alias("similarity"))
 
 
 @query()
 def similarity_matching(spark, sf):
-    t = D.table(spark, sf, "conversations").select("conv_id", "turn", T.clean_text(F.col("text")).alias("t"))
+    t = D.spread(D.table(spark, sf, "conversations").select("conv_id", "turn", "text")).select("conv_id", "turn", T.clean_text(F.col("text")).alias("t"))
     pairs = t.join(t.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("t").alias("b")), ["conv_id", "turn"])
     return pairs.select("conv_id", "turn", T.matching_ratio("t", "b").alias("similarity"))
 
@@ -162,8 +163,8 @@ def activity_segments(spark, sf):
 
 @query(f"WITH {D.SQL_SAMPLES}, s AS (SELECT user_id, avg(value * value) AS p, count(*) AS n FROM samples GROUP BY user_id) SELECT user_id, n, round(sqrt(p), 6) AS rms, round(20 * log10(sqrt(p)), 6) AS db FROM s")
 def signal_level(spark, sf):
-    s = D.samples(spark, sf).groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), F.sqrt(F.avg(F.col("value") * F.col("value"))).alias("r"))
-    return s.select("user_id", "n", F.round("r", 6).alias("rms"), F.round(20 * F.log10("r"), 6).alias("db"))
+    s = intervals.signal_level(D.samples(spark, sf), "user_id")
+    return s.select("user_id", "n", F.round("rms", 6).alias("rms"), F.round("db", 6).alias("db"))
 
 
 @query(f"WITH {D.SQL_SAMPLES}, clips AS (SELECT user_id, idx AS a, idx + 5 AS b FROM samples WHERE idx % 16 = 3) SELECT s.user_id, c.a AS clip, count(*) AS n, min(s.value) AS least, max(s.value) AS most FROM samples s JOIN clips c ON s.user_id = c.user_id AND s.idx >= c.a AND s.idx < c.b GROUP BY ALL")
@@ -221,7 +222,7 @@ def utterance_status(spark, sf):
     return _decided(spark, sf).select("video_id", "seg_idx", "is_new", "bad", "status")
 
 
-@query(f"""WITH RECURSIVE {D.SQL_DECIDED}, a AS (SELECT video_id, count(*) AS potential, CAST(0 AS BIGINT) AS cleaner, CAST(sum(no_speaker) AS BIGINT) AS no_speaker, CAST(sum(no_transcript) AS BIGINT) AS no_transcript, CAST(sum(discrepancy) AS BIGINT) AS discrepancies, CAST(sum(blacklisted) AS BIGINT) AS blacklisted FROM decided GROUP BY video_id),
+@query(f"""WITH RECURSIVE {D.SQL_DECIDED}, a AS (SELECT video_id, count(*) AS potential, CAST(sum(cleaner) AS BIGINT) AS cleaner, CAST(sum(no_speaker) AS BIGINT) AS no_speaker, CAST(sum(no_transcript) AS BIGINT) AS no_transcript, CAST(sum(discrepancy) AS BIGINT) AS discrepancies, CAST(sum(blacklisted) AS BIGINT) AS blacklisted FROM decided GROUP BY video_id),
 b AS (SELECT video_id, count_if(NOT dropped) AS e, count_if(dropped) AS l FROM runs WHERE NOT is_last GROUP BY video_id)
 SELECT a.video_id, potential, CAST(coalesce(e, 0) AS BIGINT) AS successful, CAST(coalesce(l, 0) AS BIGINT) AS total_dropped, cleaner, no_speaker, no_transcript, discrepancies, blacklisted, CAST(0 AS BIGINT) AS verification_failed FROM a LEFT JOIN b USING (video_id)""")
 def utterance_stats(spark, sf):
@@ -238,6 +239,27 @@ def utterance_transcripts(spark, sf):
     return utterance.transcript_text(utterance.utterances(_decided(spark, sf)), ["video_id", "speaker"], "utt_idx", F.concat_ws(" ", "clip_name", "text"))
 
 
+def _dataset(spark, sf):
+    segments, frames = D.recording(spark, sf)
+    return dataset.build(segments, frames, _allow(spark), lambda u: (u["video_id"] * 7 + u["utt_idx"]) % 5 == 0)
+
+
+@query(f"""WITH RECURSIVE {D.SQL_RECORDING}, a AS (SELECT video_id, count(*) AS potential, CAST(sum(cleaner) AS BIGINT) AS cleaner, CAST(sum(no_speaker) AS BIGINT) AS no_speaker, CAST(sum(no_transcript) AS BIGINT) AS no_transcript, CAST(sum(discrepancy) AS BIGINT) AS discrepancies, CAST(sum(blacklisted) AS BIGINT) AS blacklisted FROM decided GROUP BY video_id),
+b AS (SELECT video_id, count_if(NOT dropped) AS e, count_if(dropped) AS l FROM runs WHERE NOT is_last GROUP BY video_id), c AS (SELECT video_id, count(*) AS f FROM rejects GROUP BY video_id)
+SELECT a.video_id, potential, CAST(coalesce(e, 0) - coalesce(f, 0) AS BIGINT) AS successful, CAST(coalesce(l, 0) + coalesce(f, 0) AS BIGINT) AS total_dropped, cleaner, no_speaker, no_transcript, discrepancies, blacklisted, CAST(coalesce(f, 0) AS BIGINT) AS verification_failed FROM a LEFT JOIN b USING (video_id) LEFT JOIN c USING (video_id)""")
+def dataset_statistics(spark, sf):
+    """The whole plan from segments to counters, with rejects of verification."""
+    return _dataset(spark, sf).statistics
+
+
+@query(f"""WITH RECURSIVE {D.SQL_RECORDING}, kept AS (SELECT *, printf('%s-%d-%04d', speaker, video_id, utt_idx) AS clip_name FROM utts WHERE (video_id, speaker, utt_idx) NOT IN (SELECT (video_id, speaker, utt_idx) FROM rejects)),
+parted AS (SELECT *, CASE WHEN row_number() OVER (PARTITION BY speaker ORDER BY video_id, utt_idx) <= floor(count(*) OVER (PARTITION BY speaker) * 0.9::DOUBLE) OR count(*) OVER (PARTITION BY speaker) - floor(count(*) OVER (PARTITION BY speaker) * 0.9::DOUBLE) < 1 THEN 'train' ELSE 'test' END AS split FROM kept)
+SELECT split, speaker, video_id, CAST(count(*) AS INTEGER) AS n_lines, string_agg(clip_name || ' ' || text, chr(10) ORDER BY utt_idx) AS content FROM parted GROUP BY ALL""")
+def dataset_transcripts(spark, sf):
+    """The whole plan from segments to the split transcripts of verified utterances."""
+    return _dataset(spark, sf).transcripts
+
+
 @query()
 def utterance_fold_ratio(spark, sf):
     return utterance.utterances(utterance.decide_exact(D.observations(spark, sf)), flush_tail=True)
@@ -357,6 +379,23 @@ def alignment_lines(spark, sf):
     return _grids(spark, sf).select("conv_id", "turn", align.alignment_line(clip, F.col("iv")).alias("line"))
 
 
+@query(f"""WITH {_SQL_SILENCE}, first AS (SELECT user_id, min(s) AS s, arg_min(e, s) AS e FROM silence GROUP BY user_id), u AS (SELECT DISTINCT user_id FROM samples)
+SELECT u.user_id, first.e AS silence_end, CASE WHEN first.e IS NULL OR first.e >= 250 THEN 0.0::DOUBLE ELSE first.e / 1000 END AS cut FROM u LEFT JOIN first USING (user_id)""")
+def first_silence_repair(spark, sf):
+    """Each user's signal as a clip: the end of its first silence cuts a first interval of a quarter second."""
+    silences = intervals.first_silence(D.samples(spark, sf), "user_id", 4, 3.0)
+    iv = F.array(F.struct(F.lit(0.0).alias("xmin"), F.lit(0.25).alias("xmax"), F.lit("go").alias("text")), F.struct(F.lit(0.25).alias("xmin"), F.lit(0.5).alias("xmax"), F.lit("").alias("text")))
+    return silences.select("user_id", F.col("end").alias("silence_end"), F.element_at(align.with_leading_silence(iv, F.col("end")), 1)["xmax"].alias("cut"))
+
+
+_FLOAT = "(o_orderkey * 7919 % 100003) * power(CAST(10 AS DOUBLE), greatest(o_orderkey % 27 - 12, 0)) / power(CAST(10 AS DOUBLE), greatest(12 - o_orderkey % 27, 0))"
+
+
+@query(f"SELECT o_orderkey AS k, CAST({_FLOAT} AS VARCHAR) AS text FROM orders")
+def python_floats(spark, sf):
+    return D.table(spark, sf, "orders").select(F.col("o_orderkey").alias("k"), T.python_float(F.expr(_FLOAT)).alias("text"))
+
+
 @query(f"WITH {_SQL_ENTRIES}, d AS (SELECT e.* FROM entries e WHERE (e.conv_id + e.turn) % 3 = 0) SELECT conv_id, CAST(count(*) AS INTEGER) AS n, 'Dropped: ' || count(*) || chr(10) || chr(10) || string_agg('  ' || clip_name, chr(10) ORDER BY clip_name) AS content FROM d GROUP BY conv_id")
 def alignment_dropped(spark, sf):
     drops = align.dropped(_entries(spark, sf), D.grids(spark, sf), ["conv_id", "turn"])
@@ -381,11 +420,14 @@ def roi_boxes(spark, sf):
 
 @query()
 def frame_preprocessing(spark, sf):
-    """Frames made of document bytes through crop, preprocessing and a stand-in for recognition."""
+    """Every text's bytes as frames, the last one padded with zeros, through crop, preprocessing and a stand-in for recognition."""
     categories = sorted({r[0] for r in ROI})
     size = 48 * 64 * 3
-    docs = D.table(spark, sf, "documents").where(F.octet_length("text") >= size)
-    frames = docs.select(F.col("doc_id").alias("video_id"), F.lit(0).cast("long").alias("frame_idx"), F.element_at(F.array(*[F.lit(c) for c in categories]), (F.col("doc_id") % 5 + 1).cast("int")).alias("category"), F.lit(64).alias("width"), F.lit(48).alias("height"), F.substring(F.col("text").cast("binary"), 1, size).alias("image"))
+    docs = D.spread(D.table(spark, sf, "documents").where("text is not null").select("doc_id", "text")).select("doc_id", F.col("text").cast("binary").alias("raw"))
+    parts = docs.select("doc_id", "raw", F.explode(F.sequence(F.lit(0), F.greatest(F.ceil(F.octet_length("raw") / size), F.lit(1)).cast("int") - 1)).alias("k"))
+    piece = F.substring(F.col("raw"), F.col("k") * size + 1, F.lit(size))
+    pixels = F.concat(piece, F.unhex(F.repeat(F.lit("00"), F.lit(size) - F.octet_length(piece))))
+    frames = parts.select(F.col("doc_id").alias("video_id"), F.col("k").cast("long").alias("frame_idx"), F.element_at(F.array(*[F.lit(c) for c in categories]), (F.col("doc_id") % 5 + 1).cast("int")).alias("category"), F.lit(64).alias("width"), F.lit(48).alias("height"), pixels.alias("image"))
     return images.recognise(frames, lambda image: f"{image.shape}:{int(image.sum())}")
 
 
