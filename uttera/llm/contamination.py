@@ -8,8 +8,9 @@ with one bit plane per bit of the alphabet. All windows are searched together, l
 by rank queries; occurrences are located by walking back to the next sampled suffix position, and
 the spans they cover are merged per document.
 
-Items are read in blocks of about ``ITEM_BLOCK`` bytes, so what reaches the executors with a task
-has a fixed bound; with several blocks the spans of each are merged at the end.
+Items are dealt to blocks of about ``ITEM_BLOCK`` bytes (or one longer item); tasks make the windows of each and write them
+to the scratch folder. A task opens the blocks one after the other for every shard and marks what any of them hits, so a
+document is read once, a row is judged alone and neither the driver nor a worker holds more than a block.
 
 Defined results: null or wordless texts have no words and no hits; null or wordless items have no
 windows; an item repeated under one item_id counts once, equal texts under two ids count as two
@@ -19,16 +20,19 @@ repeated rows give equal results. Columns other than doc_id, text, item_id are n
 
 from __future__ import annotations
 
-import hashlib
+import io
+import json
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from uttera.llm import bytesops as B
 from uttera.llm.columns import shielded
+from uttera.llm.scratch import Scratch, open_file
 from uttera.llm.wavelet import WaveletMatrix
 
 WINDOW = 13
@@ -54,7 +58,7 @@ class Windows:
                 owners = found.setdefault(s[i : i + size].tobytes(), [])
                 if not owners or owners[-1] != k:
                     owners.append(k)
-        self.names = [i for i, _ in items]
+        self.names = [None if i is None else str(i) for i, _ in items]
         self.owners = list(found.values())
         self.lengths = np.array([len(w) // 4 for w in found], np.int64)
         self.patterns = np.zeros((len(found), window), np.int32)  # aligned right
@@ -62,6 +66,20 @@ class Windows:
             row[window - len(w) // 4 :] = np.frombuffer(w, np.int32)
         self.shortest = int(self.lengths.min()) if len(found) else 0
 
+    def to_bytes(self) -> bytes:
+        out = io.BytesIO()
+        np.savez(out, alphabet=self.alphabet, lengths=self.lengths, patterns=self.patterns, owners=np.array([k for o in self.owners for k in o], np.int32), sizes=np.array([len(o) for o in self.owners], np.int32), names=np.frombuffer(json.dumps(self.names).encode(), np.uint8))
+        return out.getvalue()
+
+    @classmethod
+    def from_bytes(cls, raw: bytes) -> Windows:
+        self, a = cls.__new__(cls), np.load(io.BytesIO(raw))
+        self.alphabet, self.lengths, self.patterns, self.names = a["alphabet"], a["lengths"], a["patterns"], json.loads(a["names"].tobytes())
+        cut = np.cumsum(a["sizes"])[:-1]
+        self.owners = [x.tolist() for x in np.split(a["owners"], cut)] if len(a["sizes"]) else []
+        self.shortest = int(self.lengths.min()) if len(self.lengths) else 0
+        return self
+
     def symbols(self, hashes: np.ndarray) -> np.ndarray:
         """Alphabet numbers of word hashes, 0 for words outside it."""
         if not hasattr(self, "slots"):  # an open hash table with room; colliding words go to a sorted rest
@@ -158,15 +176,12 @@ class FmIndex:
         return self.samples[self.sample_rank[rows]] + steps
 
 
-def occurrences(data: np.ndarray, off: np.ndarray, windows: Windows) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Per shard: word starts, ends and bounds, and (first word, pattern) of every occurrence, with each word's row."""
-    low = B.LOWER[data]
-    starts, ends, bounds = B.words(low, off, B.ALNUM_WORD)
-    rows = B.rows_of(bounds)
+def occurrences(hashes: np.ndarray, rows: np.ndarray, windows: Windows) -> tuple[np.ndarray, np.ndarray]:
+    """(first word, pattern) of every occurrence in a shard of words, given their hashes and rows."""
     none = np.zeros(0, np.int64)
-    if not len(starts) or not len(windows.lengths):
-        return starts, ends, bounds, none, none, rows
-    sym = windows.symbols(B.range_hash(B.prefix_hash(low), starts, ends))
+    if not len(hashes) or not len(windows.lengths):
+        return none, none
+    sym = windows.symbols(hashes)
     known = sym > 0
     cut = np.concatenate([[True], ~known[1:] | ~known[:-1] | (rows[1:] != rows[:-1])])
     begin = np.flatnonzero(cut)
@@ -174,7 +189,7 @@ def occurrences(data: np.ndarray, off: np.ndarray, windows: Windows) -> tuple[np
     good = known[begin] & (size >= windows.shortest)
     begin, size = begin[good], size[good]
     if not len(begin):
-        return starts, ends, bounds, none, none, rows
+        return none, none
     where = np.repeat(begin - np.concatenate([[0], np.cumsum(size)])[:-1], size) + np.arange(size.sum())
     text = np.zeros(len(where) + len(size), np.int32)
     place = np.arange(len(where)) + np.repeat(np.arange(len(size)), size)  # one separator after each run
@@ -186,19 +201,60 @@ def occurrences(data: np.ndarray, off: np.ndarray, windows: Windows) -> tuple[np
     count = np.maximum(hi - lo, 0)
     pattern = np.repeat(np.arange(len(count)), count)
     at = np.repeat(lo - np.concatenate([[0], np.cumsum(count)])[:-1], count) + np.arange(count.sum())
-    return starts, ends, bounds, back[index.locate(at)], pattern, rows
+    return back[index.locate(at)], pattern
+
+
+_open: dict[tuple[str, int], Windows] = {}
+
+
+def blocks_of(paths: list[str]) -> Iterator[Windows]:
+    """Every block of windows in the files, one in memory at a time; a worker keeps the last."""
+    for path in paths:
+        rows = None
+        for k in range(int(path.rsplit("#", 1)[1])):
+            if (path, k) not in _open:
+                if rows is None:
+                    with open_file(path.rsplit("#", 1)[0]) as file:
+                        rows = pq.read_table(file, columns=["windows"]).column(0)
+                _open.clear()
+                _open[path, k] = Windows.from_bytes(rows[k].as_py())
+            yield _open[path, k]
+
+
+def write_windows(benchmark: DataFrame, scratch: Scratch, item_block: int) -> list[str]:
+    """Blocks of windows as files of the scratch folder: their paths, each with its number of blocks behind a ``#``."""
+    items = benchmark.select("item_id", "text").where("text is not null").distinct()
+    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    blocks = -(-total // item_block) or 1
+
+    def make(table: pa.Table) -> pa.Table:
+        order = table.sort_by([("item_id", "ascending"), ("text", "ascending")])
+        windows = Windows(list(zip(order.column("item_id").to_pylist(), order.column("text").to_pylist(), strict=True)))
+        return pa.table({"windows": pa.array([windows.to_bytes()], pa.binary())})
 
+    dealt = items.groupBy(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)).alias("block")).applyInArrow(make, "windows binary")
+    written = scratch.save(dealt, "windows")
+    counts = written.groupBy(F.input_file_name().alias("path")).count().collect()  # one number a block at most
+    return sorted(f"{r[0]}#{r[1]}" for r in counts)
 
-def find(windows: Windows):
+
+def find(paths: list[str]):
     """mapInArrow function: appends n_words, merged word and byte spans, and the items found."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         B.keep_heap()
         for batch, data, off in B.blocks(batches, limit=SHARD):
-            starts, ends, bounds, first, pattern, rows = occurrences(data, off, windows)
+            low = B.LOWER[data]
+            starts, ends, bounds = B.words(low, off, B.ALNUM_WORD)
+            rows, hashes = B.rows_of(bounds), B.range_hash(B.prefix_hash(low), starts, ends)
             edge = np.zeros(len(starts) + 1, np.int64)
-            np.add.at(edge, first, 1)
-            np.add.at(edge, first + windows.lengths[pattern], -1)
+            items: list[set] = [set() for _ in range(batch.num_rows)]
+            for windows in blocks_of(paths):
+                first, pattern = occurrences(hashes, rows, windows)
+                np.add.at(edge, first, 1)
+                np.add.at(edge, first + windows.lengths[pattern], -1)
+                for r, p in set(zip(rows[first].tolist(), pattern.tolist(), strict=True)):
+                    items[r].update(windows.names[k] for k in windows.owners[p])
             hit = np.cumsum(edge[:-1]) > 0
             begin = hit & np.concatenate([[True], ~hit[:-1] | (rows[1:] != rows[:-1])])[: len(hit)]
             stop = hit & np.concatenate([~hit[1:] | (rows[1:] != rows[:-1]), [True]])[: len(hit)]
@@ -207,10 +263,7 @@ def find(windows: Windows):
             for i, j in zip(b.tolist(), e.tolist(), strict=True):
                 r = int(rows[i])
                 spans[r].append({"first": i - int(bounds[r]), "last": j - int(bounds[r]), "byte_start": int(starts[i] - off[r]), "byte_end": int(ends[j] - off[r])})
-            items: list[set] = [set() for _ in range(batch.num_rows)]
-            for r, p in set(zip(rows[first].tolist(), pattern.tolist(), strict=True)):
-                items[r].update(windows.names[k] for k in windows.owners[p])
-            listed = [sorted(str(i) for i in x if i is not None) for x in items]
+            listed = [sorted(i for i in x if i is not None) for x in items]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.diff(bounds)), pa.array(spans, SPANS_ARROW), pa.array(listed, pa.list_(pa.string()))], [*batch.schema.names, "n_words", "spans", "items"])
 
     return run
@@ -221,43 +274,23 @@ SPANS = "array<struct<first:bigint,last:bigint,byte_start:bigint,byte_end:bigint
 FOUND = f", n_words long, spans {SPANS}, items array<string>"
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, item_block: int = ITEM_BLOCK) -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, scratch: Scratch, item_block: int = ITEM_BLOCK) -> DataFrame:
     """Columns of ``docs`` and n_words, spans (merged, in words and bytes), items, n_hit, contaminated."""
-    items = benchmark.select("item_id", "text").where("text is not null").distinct()
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = -(-total // item_block) or 1
-    keep = [c for c in docs.columns if c not in {"n_words", "spans", "items", "n_hit", "contaminated"}]
-    left = docs.select(*keep)
+    paths = write_windows(benchmark, scratch, item_block)
+    left = docs.select(*[c for c in docs.columns if c not in {"n_words", "spans", "items", "n_hit", "contaminated"}])
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in left.schema.fields)
-    parts = []
-    for k in range(blocks):
-        of = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k)
-        parts.append(left.mapInArrow(find(Windows([(r[0], r[1]) for r in of.collect()])), kinds + FOUND))
-    found = parts[0]
-    if blocks > 1:  # items of other blocks mark the same rows: bring their spans together and merge them
-        for p in parts[1:]:
-            found = found.unionByName(p)
-        key = [c for c in ("doc_id", "text") if c in keep]
-        rest = [F.first(c).alias(c) for c in keep if c not in key]
-        found = found.groupBy(*key).agg(*rest, F.first("n_words").alias("n_words"), F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), (F.count(F.lit(1)) / blocks).cast("int").alias("copies"))
-        zero = F.lit(None).cast(SPANS)
-        step = lambda acc, x: F.when(F.size(acc) == 0, F.array(x)).when(
-            F.element_at(acc, -1)["last"] + 1 >= x["first"],
-            F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(F.element_at(acc, -1)["first"].alias("first"), F.greatest(F.element_at(acc, -1)["last"], x["last"]).alias("last"), F.element_at(acc, -1)["byte_start"].alias("byte_start"), F.greatest(F.element_at(acc, -1)["byte_end"], x["byte_end"]).alias("byte_end")))),
-        ).otherwise(F.concat(acc, F.array(x)))
-        found = found.withColumn("spans", F.aggregate("spans", F.coalesce(zero, F.array().cast(SPANS)), step))
-        found = found.withColumn("_", F.explode(F.sequence(F.lit(1), "copies"))).drop("_", "copies")
+    found = left.mapInArrow(find(paths), kinds + FOUND)
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["last"] - s["first"] + 1)
     return found.withColumn("n_hit", hit).withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    found = decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    found = decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), Scratch(spark, "contamination"))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
 def stage_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents that are not contaminated."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return shielded(docs, lambda d: decontaminate(d, items).where(~F.col("contaminated")))
+    return shielded(docs, lambda d: decontaminate(d, items, Scratch(spark, "contamination")).where(~F.col("contaminated")))
