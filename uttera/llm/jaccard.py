@@ -4,7 +4,7 @@ A document's set holds 64-bit hashes of its distinct five-word shingles. Two set
 100 * intersection >= 80 * union. Documents of equal sets form a class at once; classes are linked:
 
 1. Every class sends the smallest hashes of its set, enough that two linked classes must share
-   ``need`` of them (overlap bound plus ``1 + alpha // 10``), to hash buckets. A class survives if as
+   ``need`` of them (overlap bound plus ``1 + alpha // 5``), to hash buckets. A class survives if as
    many of them occur in another class of fitting size. This drops all but near duplicates and texts
    that are mostly shared passages, without building a pair.
 2. Survivors learn from the buckets how many of them have each of their hashes. In the global order
@@ -14,10 +14,13 @@ A document's set holds 64-bit hashes of its distinct five-word shingles. Two set
    after the other. Before that, each looks for partners: the traversal shares the overlap of common
    paths, and leaves a subtree when the remaining lengths cannot reach the bound or when all of it is
    already connected with the set. Only links that connect something new are kept.
-   A cluster beyond ``CLUSTER_DOCS`` or ``CLUSTER_TOKENS`` is first compared with one member as
-   pivot; the rest is then compared with all in blocks of bounded size.
+   A cluster beyond ``CLUSTER_DOCS`` or ``CLUSTER_TOKENS`` is first compared with a few members as
+   pivots; what the best of them leaves over is then compared in blocks of bounded size.
 4. Components of the links, named by their smallest doc_id.
 
+Texts are never joined by a key: a filter of bounded size (``filters``) picks the rows to read again or to
+take out, at every size of the input.
+
 Defined results: null, empty or wordless text has an empty set and is its own component; fewer
 than five words are one shingle; repeated rows are one class; a null doc_id never names a class
 unless all of its doc_ids are null. Extra columns are ignored.
@@ -29,11 +32,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from uttera.llm import bytesops as B
+from uttera.llm import filters
 from uttera.llm.components import connected_components
+from uttera.llm.exchange import exchanged, flat, flat_second
 from uttera.llm.scratch import Scratch
 
 SHINGLE = 5
@@ -41,10 +46,11 @@ MOST = 255
 SEND = 8 << 20
 BUCKET_BYTES = 32 << 20
 LEAST_BUCKETS = 32
-CLUSTER_DOCS = 4000
-CLUSTER_TOKENS = 4_000_000
-BLOCK_DOCS = 1500
-BROADCAST_ROWS = 1_000_000
+CLUSTER_DOCS = 400
+CLUSTER_TOKENS = 400_000
+BLOCK_DOCS = 200
+BLOCK_TOKENS = 200_000
+PIVOTS = 8
 _U = np.uint64
 
 
@@ -87,9 +93,9 @@ def signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def sent_length(n: np.ndarray) -> np.ndarray:
-    """How many of its smallest hashes a set of n sends: n - alpha + 1 + alpha // 10, alpha the least overlap."""
+    """How many of its smallest hashes a set of n sends: n - alpha + 1 + alpha // 5, alpha the least overlap."""
     alpha = (4 * n + 4) // 5
-    return np.minimum(n, n - alpha + 1 + alpha // 10)
+    return np.minimum(n, n - alpha + 1 + alpha // 5)
 
 
 def to_buckets(sets: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]], buckets: int) -> Iterator[pa.RecordBatch]:
@@ -285,10 +291,10 @@ def candidate_edges(table: pa.Table) -> pa.Table:
 def kept_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sets of the documents that stand for surviving classes."""
     B.keep_heap()
-    for rows, data, off in B.blocks(batches):
+    for _, data, off in B.blocks(batches):
         tokens, bounds = shingle_sets(data, off)
         k1 = keys_of(tokens, bounds)[0].view(np.int64)
-        some = np.flatnonzero(k1 == rows.column("k1").to_numpy())
+        some = np.flatnonzero(np.diff(bounds))
         raw = tokens.view(np.uint8)
         out = [raw[8 * bounds[r] : 8 * bounds[r + 1]].tobytes() for r in some.tolist()]
         yield pa.RecordBatch.from_arrays([pa.array(k1[some]), pa.array(np.diff(bounds)[some]), pa.array(out, pa.binary())], ["k1", "n", "tokens"])
@@ -318,9 +324,10 @@ class PrefixTree:
             x = self.parent[x]
         return x
 
-    def add(self, ranks: np.ndarray, search: bool = True) -> list[int]:
+    def add(self, ranks: np.ndarray, search: bool = True, same: int = -1) -> list[int]:
+        """``same`` is an earlier set that this one is known to be connected with."""
         me = len(self.parent)
-        self.parent.append(me)
+        self.parent.append(me if same < 0 else self.find(same))
         self.sizes.append(len(ranks))
         links = self._search(ranks, me) if search else []
         self._insert(ranks, me)
@@ -377,18 +384,22 @@ class PrefixTree:
         node.ends.append(me)
 
 
-def tree_links(keys: np.ndarray, sets: list[np.ndarray], asking: np.ndarray | None = None) -> list[tuple[int, int]]:
-    """Connecting links among sets; with ``asking``, sets that do not ask stand in the tree but are compared with asking ones only."""
+def tree_links(keys: np.ndarray, sets: list[np.ndarray], asking: np.ndarray | None = None, groups: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """Connecting links among sets; with ``asking``, sets that do not ask stand in the tree but are compared with asking ones only.
+
+    Sets of one of the ``groups`` are known to be connected.
+    """
     tokens = np.concatenate(sets)
     _, which, often = np.unique(tokens, return_inverse=True, return_counts=True)
     rank = np.empty(len(often), np.int64)
     rank[np.argsort(-often, kind="stable")] = np.arange(len(often))
     rank = rank[which]
     bounds = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
-    tree, links = PrefixTree(len(often)), []
+    tree, links, seen = PrefixTree(len(often)), [], {}
     order = np.arange(len(sets)) if asking is None else np.argsort(asking, kind="stable")
     for k in order.tolist():
-        for other in tree.add(np.sort(rank[bounds[k] : bounds[k + 1]]), asking is None or bool(asking[k])):
+        same = -1 if groups is None else seen.setdefault(int(groups[k]), len(tree.parent))
+        for other in tree.add(np.sort(rank[bounds[k] : bounds[k + 1]]), asking is None or bool(asking[k]), same if same < len(tree.parent) else -1):
             links.append((int(keys[k]), int(keys[order[other]])))
     return links
 
@@ -413,34 +424,64 @@ def join_blocks(table: pa.Table) -> pa.Table:
     keys = table.column("k1").to_numpy()
     some = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
     raw = table.column("tokens").to_pylist()
-    links = tree_links(keys[some], [np.frombuffer(raw[k], _U) for k in some.tolist()], table.column("asks").to_numpy(zero_copy_only=False).astype(bool)[some])
+    links = tree_links(keys[some], [np.frombuffer(raw[k], _U) for k in some.tolist()], table.column("asks").to_numpy(zero_copy_only=False).astype(bool)[some], table.column("known").to_numpy()[some])
     return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
 
 
-def pivot_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        out = []
-        for x, y in zip(batch.column("tokens").to_pylist(), batch.column("pivot").to_pylist(), strict=True):
-            a, b = np.frombuffer(x, _U), np.frombuffer(y, _U)
-            o = len(np.intersect1d(a, b, assume_unique=True))
-            out.append(9 * o >= 4 * (len(a) + len(b)))
-        yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("root", "k1", "n", "tokens", "pivot_key")], pa.array(out, pa.bool_())], ["root", "k1", "n", "tokens", "pivot_key", "linked"])
-
-
-def oversized_links(big: DataFrame, scratch: Scratch) -> DataFrame:
-    """Links of clusters too large for one task: all against a pivot, then the unlinked against all, in blocks."""
-    pivots = big.groupBy("root").agg(F.min_by("tokens", "k1").alias("pivot"), F.min("k1").alias("pivot_key"))
-    pivots = scratch.save(pivots, "pivots")
-    marked = scratch.save(big.join(pivots, "root").select("root", "k1", "n", "tokens", "pivot", "pivot_key").mapInArrow(pivot_links, "root long, k1 long, n long, tokens binary, pivot_key long, linked boolean"), "marked")
-    sizes = scratch.save(marked.groupBy("root").agg(F.ceil(F.count_if("linked") / BLOCK_DOCS).cast("int").alias("c"), F.ceil(F.count_if(~F.col("linked")) / BLOCK_DOCS).cast("int").alias("r")), "sizes")
-    own = marked.join(sizes, "root").where("r > 0").withColumn("block", F.pmod(F.xxhash64("k1"), F.when(F.col("linked"), F.col("c")).otherwise(F.col("r"))).cast("int"))
-    seq = lambda n: F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
-    with_c = own.where("linked").select("root", "k1", "n", "tokens", F.lit(False).alias("asks"), F.explode(seq(F.col("r"))).alias("i"), F.col("block").alias("j"), F.lit("c").alias("kind"))
-    rest = own.where("not linked")
-    to_c = rest.select("root", "k1", "n", "tokens", F.lit(True).alias("asks"), F.col("block").alias("i"), F.explode(seq(F.col("c"))).alias("j"), F.lit("c").alias("kind"))
-    to_r = rest.select("root", "k1", "n", "tokens", F.lit(True).alias("asks"), "block", F.explode(seq(F.col("r"))).alias("o")).select("root", "k1", "n", "tokens", "asks", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"), F.lit("r").alias("kind"))
+def measured(rows: pa.Table, pivots: pa.Table) -> pa.Table:
+    """The rows with two bit masks over the pivots of their cluster: linked to it, and near enough (distance at most 0.4) to link to what it is linked to."""
+    pivots = pivots.sort_by("k1")
+    tokens = [np.frombuffer(x, _U) for x in rows.column("tokens").to_pylist()]
+    bounds = np.concatenate([[0], np.cumsum([len(t) for t in tokens])]).astype(np.int64)
+    flat, n = (np.concatenate(tokens) if tokens else np.zeros(0, _U)), np.diff(bounds)
+    linked, near = np.zeros(len(n), np.int32), np.zeros(len(n), np.int32)
+    for k, raw in enumerate(pivots.column("tokens").to_pylist()):
+        pivot = np.sort(np.frombuffer(raw, _U))
+        shared = B.sum_rows(pivot[np.minimum(np.searchsorted(pivot, flat), len(pivot) - 1)] == flat, bounds)
+        linked |= (9 * shared >= 4 * (n + len(pivot))).astype(np.int32) << k
+        near |= (16 * shared >= 6 * (n + len(pivot))).astype(np.int32) << k
+    return rows.select(["root", "salt", "k1", "n", "tokens"]).append_column("linked", pa.array(linked)).append_column("near", pa.array(near))
+
+
+def oversized_links(salted: DataFrame, of: DataFrame, scratch: Scratch) -> DataFrame:
+    """Links of clusters too large for one task; ``of`` has their docs and salts, ``salted`` their members.
+
+    All members meet ``PIVOTS`` of them; those linked to the best pivot are connected. The others are compared with each
+    other, and with the connected ones where the triangle inequality allows a link, in pairs of blocks. What all members
+    need is repeated for each salt, so no task holds a whole cluster.
+    """
+    dealt = of.select("root", "docs", "salts", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+    least = salted.groupBy("root", "salt").agg(F.min_by(F.struct("k1", "tokens"), F.xxhash64("k1")).alias("m"))
+    rank = F.row_number().over(Window.partitionBy("root").orderBy(F.xxhash64("m.k1")))
+    pivots = scratch.save(least.withColumn("rank", rank).where(F.col("rank") <= PIVOTS).select("root", "m.k1", "m.tokens"), "pivots")
+    everywhere = pivots.join(dealt.select("root", "salt"), "root")
+    marked = scratch.save(salted.groupBy("root", "salt").cogroup(everywhere.groupBy("root", "salt")).applyInArrow(measured, "root long, salt int, k1 long, n long, tokens binary, linked int, near int"), "marked")
+    every = range(PIVOTS)
+    bit = lambda c, k: F.expr(f"shiftright({c}, {k}) & 1")
+    count = marked.groupBy("root").agg(*[F.sum(bit(c, k)).alias(f"{c}{k}") for c in ("linked", "near") for k in every])
+    linked, near = (F.array(*[f"{c}{k}" for k in every]) for c in ("linked", "near"))
+    best = (F.array_position(linked, F.array_max(linked)) - 1).cast("int")
+    of_best = lambda a: F.element_at(a, F.col("best") + 1)
+    tasks = lambda c: F.ceil(c * F.col("salts") / F.col("docs")).cast("int")
+    keys = pivots.groupBy("root").agg(F.sort_array(F.collect_list("k1")).alias("keys"))
+    plan = dealt.join(count.withColumn("best", best), "root").join(keys, "root")
+    plan = plan.select("root", "salt", "keys", "best", tasks(of_best(linked)).alias("c"), tasks(F.col("docs") - of_best(linked)).alias("r"), tasks(of_best(near) - of_best(linked)).alias("m"))
+    own = marked.join(scratch.save(plan, "plan"), ["root", "salt"])
+    own = own.withColumns({"is_linked": F.expr("shiftright(linked, best) & 1 = 1"), "is_near": F.expr("shiftright(near, best) & 1 = 1"), "h": F.xxhash64("k1")})
+    first = F.expr("if(is_linked, keys[best], get(filter(transform(keys, (x, i) -> if(shiftright(linked, i) & 1 = 1, x, null)), x -> x is not null), 0))")
+    own = own.withColumn("known", F.coalesce(first, "k1"))  # a pivot that it is linked to, the best if possible
+    block = lambda n: F.pmod("h", F.greatest(F.col(n), F.lit(1))).cast("int")
+    seq = lambda n: F.when(F.col(n) > 0, F.sequence(F.lit(0), F.col(n) - 1)).otherwise(F.array().cast("array<int>"))
+    cols = ("root", "k1", "n", "tokens", "known")
+    with_c = own.where("is_linked").select(*cols, F.lit(False).alias("asks"), F.explode(seq("m")).alias("i"), block("c").alias("j"), F.lit("c").alias("kind"))
+    rest = own.where("not is_linked")
+    to_c = rest.where("is_near").select(*cols, F.lit(True).alias("asks"), block("m").alias("i"), F.explode(seq("c")).alias("j"), F.lit("c").alias("kind"))
+    to_r = rest.select(*cols, F.lit(True).alias("asks"), block("r").alias("b"), F.explode(seq("r")).alias("o"))
+    to_r = to_r.select(*cols, "asks", F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j"), F.lit("r").alias("kind"))
     blocks = with_c.unionByName(to_c).unionByName(to_r).groupBy("root", "kind", "i", "j").applyInArrow(join_blocks, "a long, b long")
-    return marked.where("linked and k1 <> pivot_key").select(F.col("k1").alias("a"), F.col("pivot_key").alias("b")).unionByName(blocks)
+    among = own.where("array_contains(keys, k1)").select(F.col("k1").alias("a"), F.posexplode("keys").alias("k", "b"), "linked").where("shiftright(linked, k) & 1 = 1 and a <> b").select("a", "b")
+    to_pivots = own.where("known <> k1").select(F.col("k1").alias("a"), F.col("known").alias("b"))
+    return to_pivots.unionByName(among).unionByName(blocks)
 
 
 def components(docs: DataFrame, scratch: Scratch) -> DataFrame:
@@ -450,27 +491,34 @@ def components(docs: DataFrame, scratch: Scratch) -> DataFrame:
     classes = scratch.save(signed.where("n_shingles > 0").groupBy("k1", "k2", "n_shingles").agg(F.min("doc_id").alias("least")), "classes")
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(LEAST_BUCKETS, -(-size // BUCKET_BYTES))
-    need = F.expr("1 + ((4 * ((4 * n + 4) div 5) + 4) div 5) div 10")
-    shared = texts.mapInArrow(send_documents(buckets), "bucket int, payload binary").groupBy("bucket").applyInArrow(count_shared, "k1 long, n long, shared long")
+    need = F.expr("1 + ((4 * ((4 * n + 4) div 5) + 4) div 5) div 5")
+    sent = exchanged(texts.mapInArrow(send_documents(buckets), "bucket int, payload binary"), "bucket", buckets, size)
+    shared = sent.groupBy("bucket").applyInArrow(flat(count_shared), "k1 long, n long, shared long")
     alive = shared.groupBy("k1", "n").agg(F.sum("shared").alias("shared")).where(F.col("shared") >= need).select("k1")
     alive = scratch.save(alive.join(classes.select("k1", "least"), "k1").where("least is not null"), "alive")
-    picked = F.broadcast(alive) if alive.count() <= BROADCAST_ROWS else alive
-    sets = texts.join(picked.withColumnRenamed("least", "doc_id"), "doc_id").select("text", "k1").mapInArrow(kept_sets, "k1 long, n long, tokens binary")
-    sets = scratch.save(sets, "sets")
-    answers = sets.mapInArrow(send_sets(buckets), "bucket int, payload binary").groupBy("bucket").applyInArrow(frequencies(buckets), "grp long, bucket int, payload binary")
+    # a document that the filter lets through by chance is one more set to compare
+    picked = filters.among(texts, "doc_id", filters.bloom(alive, "least"))
+    sets = scratch.save(picked.select("text").mapInArrow(kept_sets, "k1 long, n long, tokens binary"), "sets")
+    asked = exchanged(sets.mapInArrow(send_sets(buckets), "bucket int, payload binary"), "bucket", buckets, size)
+    answers = asked.groupBy("bucket").applyInArrow(flat(frequencies(buckets)), "grp long, bucket int, payload binary")
+    answers = exchanged(answers, "grp", buckets, size)
     group = F.pmod("k1", F.lit(buckets))
-    heads_ = sets.withColumn("grp", group).groupBy("grp").cogroup(answers.groupBy("grp")).applyInArrow(rare_heads(buckets), "bucket int, payload binary")
-    edges = heads_.groupBy("bucket").applyInArrow(candidate_edges, "a long, b long")
-    clusters = connected_components(edges, scratch, "clusters")
-    sized = scratch.save(sets.join(clusters.withColumnRenamed("node", "k1"), "k1").select("root", "k1", "n", "tokens"), "clustered")
-    of = scratch.save(sized.groupBy("root").agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("total")), "cluster-sizes")
-    large = of.where((F.col("docs") > CLUSTER_DOCS) | (F.col("total") > CLUSTER_TOKENS)).select("root")
+    heads_ = sets.withColumn("grp", group).groupBy("grp").cogroup(answers.groupBy("grp")).applyInArrow(flat_second(rare_heads(buckets)), "bucket int, payload binary")
+    edges = exchanged(heads_, "bucket", buckets, size).groupBy("bucket").applyInArrow(flat(candidate_edges), "a long, b long")
+    clusters = connected_components(edges, scratch, "clusters").withColumnRenamed("node", "k1")
+    members = scratch.save(clusters.join(sets.groupBy("k1").agg(F.first("n").alias("n")), "k1"), "members")
+    of = members.groupBy("root").agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("total"))
+    large = (F.col("docs") > CLUSTER_DOCS) | (F.col("total") > CLUSTER_TOKENS)
+    salts = F.when(large, F.greatest(F.ceil(F.col("docs") / BLOCK_DOCS), F.least(F.col("docs"), F.ceil(F.col("total") / BLOCK_TOKENS)))).otherwise(0).cast("int")
+    of = scratch.save(of.withColumn("salts", salts), "cluster-sizes")
+    placed = members.join(of.select("root", "salts"), "root").select("k1", "root", F.when(F.col("salts") > 0, F.pmod(F.xxhash64("k1"), "salts")).cast("int").alias("salt"))
+    sized = filters.among(sets, "k1", filters.bloom(clusters, "k1")).join(placed, "k1")
+    sized = scratch.save(sized.select("root", "salt", "k1", "n", "tokens"), "clustered")
     groups = max(LEAST_BUCKETS, -(-(of.agg(F.sum("total")).first()[0] or 0) // 1_000_000))
-    has_large = not large.isEmpty()
-    small = sized.join(large, "root", "left_anti") if has_large else sized
-    links = small.groupBy(F.pmod(F.xxhash64("root"), F.lit(groups)).alias("g")).applyInArrow(join_clusters, "a long, b long")
-    if has_large:
-        links = links.unionByName(oversized_links(sized.join(large, "root", "left_semi"), scratch))
+    links = sized.where("salt is null").groupBy(F.pmod(F.xxhash64("root"), F.lit(groups)).alias("g")).applyInArrow(join_clusters, "a long, b long")
+    oversized = of.where("salts > 0")
+    if not oversized.isEmpty():
+        links = links.unionByName(oversized_links(sized.where("salt is not null"), oversized, scratch))
     roots = connected_components(scratch.save(links, "links"), scratch, "components")
     named = roots.withColumnRenamed("node", "k1").join(classes, "k1")
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
@@ -491,7 +539,12 @@ def stage_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """
     scratch = Scratch(spark, "jaccard")
     found = scratch.save(components(docs, scratch), "found")
-    kept = docs.join(found.where("doc_id <> component_id").select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
-    if not found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty():
-        kept = kept.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(kept.where("doc_id is null"))
-    return kept
+    gone = scratch.save(found.where("doc_id <> component_id").select("doc_id").distinct(), "gone")
+    key = docs.withColumn("__doc_id", F.col("doc_id").cast("long"))
+    kept = filters.without(key, "__doc_id", gone.withColumnRenamed("doc_id", "__doc_id"), scratch.save(filters.bloom(gone, "doc_id"), "gone-filter"))
+    repeated = scratch.save(found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
+    if not repeated.isEmpty():
+        flagged = filters.perhaps(kept, "__doc_id", scratch.save(filters.bloom(repeated, "doc_id"), "repeated-filter"))
+        once = flagged.where("__perhaps").dropDuplicates(["__doc_id"])
+        kept = flagged.where("not __perhaps").unionByName(once)
+    return kept.select(*docs.columns)
