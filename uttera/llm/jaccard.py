@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 
 from uttera.llm import bytesops as B
 from uttera.llm import filters
+from uttera.llm.columns import shielded
 from uttera.llm.components import connected_components
 from uttera.llm.exchange import exchanged, flat, flat_second
 from uttera.llm.scratch import Scratch
@@ -539,12 +540,14 @@ def stage_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """
     scratch = Scratch(spark, "jaccard")
     found = scratch.save(components(docs, scratch), "found")
-    gone = scratch.save(found.where("doc_id <> component_id").select("doc_id").distinct(), "gone")
-    key = docs.withColumn("__doc_id", F.col("doc_id").cast("long"))
-    kept = filters.without(key, "__doc_id", gone.withColumnRenamed("doc_id", "__doc_id"), scratch.save(filters.bloom(gone, "doc_id"), "gone-filter"))
-    repeated = scratch.save(found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
-    if not repeated.isEmpty():
-        flagged = filters.perhaps(kept, "__doc_id", scratch.save(filters.bloom(repeated, "doc_id"), "repeated-filter"))
-        once = flagged.where("__perhaps").dropDuplicates(["__doc_id"])
-        kept = flagged.where("not __perhaps").unionByName(once)
-    return kept.select(*docs.columns)
+    gone = scratch.save(found.where("doc_id <> component_id").select(F.col("doc_id").alias("__doc_id")).distinct(), "gone")
+    repeated = scratch.save(found.where("doc_id is not null").groupBy(F.col("doc_id").alias("__doc_id")).count().where("count > 1").select("__doc_id"), "repeated")
+
+    def least(rows: DataFrame) -> DataFrame:
+        kept = filters.without(rows.withColumn("__doc_id", F.col("doc_id").cast("long")), "__doc_id", gone, scratch.save(filters.bloom(gone, "__doc_id"), "gone-filter"))
+        if not repeated.isEmpty():
+            flagged = filters.perhaps(kept, "__doc_id", scratch.save(filters.bloom(repeated, "__doc_id"), "repeated-filter"))
+            kept = flagged.where("not __perhaps").unionByName(flagged.where("__perhaps").dropDuplicates(["__doc_id"]))
+        return kept.select(*rows.columns)
+
+    return shielded(docs, least)
