@@ -3,7 +3,9 @@
 Everything is DataFrame functions. Rules are a bounded parameter and become one expression,
 longest first. Pages that no rule fits are judged by their host: personalised PageRank starts from
 trusted hosts (weight: the share of the host's pages that rules allow) along links, and from
-blocked hosts (the share that rules block) against links. A host is blocked if its distrust exceeds its
+blocked hosts (the share that rules block) against links. Going forward a host's score is divided by its links; going
+back a host takes on its targets' distrust by the share of its own links that lead there, so it doesn't matter how
+many others link to them. A host is blocked if its distrust exceeds its
 trust and reaches ``THRESHOLD`` of what a host whose pages are all blocked starts with.
 
 Edges are links between different hosts (absolute or scheme-relative href and src), counted once
@@ -32,7 +34,7 @@ RULES = (
     ("block", "net", "/fr/"),
 )
 DAMPING = 0.85
-ROUNDS = 12
+TOLERANCE = 1e-3
 CUT = 4
 THRESHOLD = 0.5
 _PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
@@ -64,22 +66,31 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return found.where("src <> dst and src <> '' and dst <> ''").groupBy("src", "dst").agg(F.count(F.lit(1)).alias("weight"))
 
 
-def propagate(seeds: DataFrame, edges: DataFrame, scratch: Scratch, rounds: int = ROUNDS, damping: float = DAMPING) -> DataFrame:
-    """(host, kind, score): kind t along the links, kind d against them. seeds: (host, kind, seed)."""
-    both = edges.select(F.lit("t").alias("kind"), F.col("src").alias("host"), F.col("dst").alias("to"), "weight").unionByName(edges.select(F.lit("d").alias("kind"), F.col("dst").alias("host"), F.col("src").alias("to"), "weight"))
-    out = both.groupBy("kind", "host").agg(F.sum("weight").alias("all"))
-    flow = scratch.save(both.join(out, ["kind", "host"]).select("kind", "host", "to", (F.col("weight") / F.col("all")).alias("share")), "flow")
+def propagate(seeds: DataFrame, edges: DataFrame, scratch: Scratch, tolerance: float = TOLERANCE, damping: float = DAMPING) -> DataFrame:
+    """(host, kind, score): kind t along the links, kind d against them. seeds: (host, kind, seed of at most 1).
+
+    What a round adds is at most ``damping`` of what the one before added, so rounds end when no host's score changes by
+    more than ``tolerance`` of a full seed's start, however long the chains are; every ``CUT`` rounds are a written table.
+    """
+    out = edges.groupBy("src").agg(F.sum("weight").alias("all"))
+    shares = edges.join(out, "src").withColumn("share", F.col("weight") / F.col("all"))
+    there = shares.select(F.lit("t").alias("kind"), F.col("src").alias("host"), F.col("dst").alias("to"), "share")
+    flow = scratch.save(there.unionByName(shares.select(F.lit("d").alias("kind"), F.col("dst").alias("host"), F.col("src").alias("to"), "share")), "flow")
     start = seeds.select("host", "kind", ((1 - damping) * F.col("seed")).alias("score"))
     if flow.isEmpty():
         return start
-    start = scratch.save(start, "start")
-    now = start
-    for k in range(rounds):
-        moved = now.join(flow, ["kind", "host"]).select(F.col("to").alias("host"), "kind", (damping * F.col("score") * F.col("share")).alias("score"))
-        now = moved.unionByName(start).groupBy("host", "kind").agg(F.sum("score").alias("score"))
-        if k % CUT == CUT - 1:
-            now = scratch.save(now, f"round{k}")
-    return now
+    now = scratch.save(start.withColumn("step", F.col("score")), "round0")
+    k = 0
+    while not now.where(F.col("step") > tolerance * (1 - damping)).isEmpty():
+        for _ in range(CUT):
+            gain = damping * F.col("step") * F.col("share")
+            moved = now.join(flow, ["kind", "host"]).select(F.col("to").alias("host"), "kind", gain.alias("score"), gain.alias("step"))
+            kept = now.select("host", "kind", "score", F.lit(0.0).alias("step"))
+            now = moved.unionByName(kept).groupBy("host", "kind").agg(F.sum("score").alias("score"), F.sum("step").alias("step"))
+        k += 1
+        now = scratch.save(now, f"round{k}")
+        scratch.drop(f"round{k - 1}")
+    return now.drop("step")
 
 
 def judge(pages: DataFrame, scratch: Scratch, rules=RULES) -> DataFrame:
