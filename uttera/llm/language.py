@@ -31,14 +31,17 @@ REJECT = 0.005
 _SHIFT = np.uint32(16)
 
 
+def spelled(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, int, np.ndarray]:
+    """The bytes in lower case with a space for all that is no letter, three spaces behind them, their number, and the ends of rows."""
+    low = B.LOWER[data]
+    padded = np.full(len(low) + 3, 0x20, np.uint32)
+    padded[: len(low)] = np.where(B.ALNUM_WORD[low] & ((low < 0x30) | (low > 0x39)), low, np.uint8(0x20))
+    return padded, len(low), off[1:][off[:-1] < off[1:]]
+
+
 def subwords(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashed subwords of each row and their len+1 bounds. Digits and punctuation count as word edges."""
-    low = B.LOWER[data]
-    low = np.where(B.ALNUM_WORD[low] & ((low < 0x30) | (low > 0x39)), low, np.uint8(0x20)).astype(np.uint32)
-    n = len(low)
-    padded = np.full(n + 3, 0x20, np.uint32)
-    padded[:n] = low
-    ends = off[1:][off[:-1] < off[1:]]
+    padded, n, ends = spelled(data, off)
     three = padded[:n] | padded[1 : n + 1] << 8 | padded[2 : n + 2] << 16
     four = three | padded[3 : n + 3] << 24
     good3, good4 = (padded[1 : n + 1] != 0x20), (padded[1 : n + 1] != 0x20) & (padded[2 : n + 2] != 0x20)
@@ -58,12 +61,7 @@ def subwords(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 def table_scores(data: np.ndarray, off: np.ndarray, table: np.ndarray, bias: np.ndarray) -> np.ndarray:
     """Logits of each row: the mean over its subwords of rows of ``table``, plus ``bias``."""
-    low = B.LOWER[data]
-    low = np.where(B.ALNUM_WORD[low] & ((low < 0x30) | (low > 0x39)), low, np.uint8(0x20)).astype(np.uint32)
-    n = len(low)
-    padded = np.full(n + 3, 0x20, np.uint32)
-    padded[:n] = low
-    ends = off[1:][off[:-1] < off[1:]]
+    padded, n, ends = spelled(data, off)
     three = padded[:n] | padded[1 : n + 1] << 8 | padded[2 : n + 2] << 16
     total, count = np.zeros((len(off) - 1, table.shape[1])), np.zeros(len(off) - 1, np.int64)
     good = padded[1 : n + 1] != 0x20

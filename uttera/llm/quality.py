@@ -204,7 +204,7 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> np.
     marked = labels.where("doc_id is not null").groupBy("doc_id").agg(F.avg("quality").alias("quality"), F.avg("toxic").alias("toxic"))
     sample = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_rows)
     texts = docs.select("doc_id", "text").join(F.broadcast(sample.select("doc_id")), "doc_id", "left_semi")  # train_rows bounds the broadcast
-    packed = texts.dropDuplicates(["doc_id"]).mapInArrow(sparse_rows, "doc_id long, packed binary").toPandas()
+    packed = texts.mapInArrow(sparse_rows, "doc_id long, packed binary").groupBy("doc_id").agg(F.min("packed").alias("packed")).toPandas()  # one of several texts, always the same
     truth = sample.toPandas().set_index("doc_id")
     packed = packed.sort_values("doc_id")
     rows = []
