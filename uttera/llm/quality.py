@@ -31,6 +31,7 @@ TRAIN_ROWS = 4000
 BITS = 18
 CAUTIONS = (4.0, 3.0, 2.0, 1.0, 0.0)  # tried in this order until the loss grows
 FOLDS = 4
+CHUNK = 500_000  # features that a training step looks at at once
 MIN_QUALITY = 0.5
 MAX_TOXIC = 0.3
 MIN_WORDS = 50
@@ -133,22 +134,35 @@ def logistic(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, steps: in
     odds = np.log(good / (y.sum() + 2)) - np.log(bad / ((1 - y).sum() + 2))
     odds = (np.sign(odds) * np.maximum(np.abs(odds) - caution * np.sqrt(1 / good + 1 / bad), 0)).astype(np.float32)
     told = [odds[i] != 0 for i, _ in rows]  # only what is left is ever held for all rows together
-    row = np.repeat(np.arange(len(rows), dtype=np.int32), [int(t.sum()) for t in told])
-    idx = np.concatenate([i[t] for (i, _), t in zip(rows, told, strict=True)])
-    val = np.concatenate([v[t] for (_, v), t in zip(rows, told, strict=True)]).astype(np.float32) * odds[idx]
-    used = np.unique(idx)
-    col = np.searchsorted(used, idx).astype(np.int32)
+    bounds = np.concatenate([[0], np.cumsum([int(t.sum()) for t in told])])
+    place = np.zeros(1 << BITS, np.int32)
+    for (i, _), t in zip(rows, told, strict=True):
+        place[i[t]] = 1
+    used = np.flatnonzero(place)
+    place[used] = np.arange(len(used), dtype=np.int32)
+    col, val = np.empty(bounds[-1], np.int32), np.empty(bounds[-1], np.float32)
+    for k, ((i, v), t) in enumerate(zip(rows, told, strict=True)):
+        mine = slice(bounds[k], bounds[k + 1])
+        col[mine], val[mine] = place[i[t]], v[t].astype(np.float32) * odds[i[t]]
+    del told
+    cut = np.unique([*np.searchsorted(bounds, np.arange(0, bounds[-1], CHUNK)), len(rows)])  # whole rows, so that what a step makes stays small
     w, b = np.zeros(len(used), np.float32), 0.0
     share = np.where(y > 0, 0.5 / max(y.sum(), 1), 0.5 / max((1 - y).sum(), 1))
     seen, seen_b = np.full(len(used), 1e-10, np.float32), 1e-10
     for _ in range(steps):
-        z = np.bincount(row, w[col] * val, len(rows)) + b
-        err = ((1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) * share).astype(np.float32)
-        grad = np.bincount(col, err[row] * val, len(used)).astype(np.float32) + l2 * w
+        total, slope = 0.0, np.zeros(len(used))
+        for k, n in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
+            mine = slice(bounds[k], bounds[n])
+            row = np.repeat(np.arange(n - k), np.diff(bounds[k : n + 1]))
+            z = np.bincount(row, w[col[mine]] * val[mine], n - k) + b
+            err = ((1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[k:n]) * share[k:n]).astype(np.float32)
+            slope += np.bincount(col[mine], err[row] * val[mine], len(used))
+            total += float(err.sum())
+        grad = slope.astype(np.float32) + l2 * w
         seen += grad * grad
-        seen_b += err.sum() ** 2
+        seen_b += total**2
         w -= rate * grad / np.sqrt(seen)
-        b -= rate * err.sum() / np.sqrt(seen_b)
+        b -= rate * total / np.sqrt(seen_b)
     out = np.zeros((1 << BITS) + 1, np.float32)
     out[used], out[-1] = w * odds[used], b
     return out
