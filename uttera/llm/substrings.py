@@ -9,13 +9,14 @@ A. Documents are dealt to blocks of about ``BLOCK_BYTES``. A block sends 40 bits
    document may have the same anchor.
 B. For the anchors that repeat, a block sends the bytes of all strings that chose it (their
    *context*, under 2 * LENGTH bytes), equal contexts once, to the bucket. There the contexts are
-   sorted into a suffix array (prefix doubling from packed 8-byte keys to ``LENGTH``), and the
-   longest-previous-factor condition is read off it: a string repeats an earlier document if the
-   previous or next smaller document in suffix order has a common prefix of ``LENGTH`` with it.
+   sorted into a suffix array (prefix doubling from packed 8-byte keys), and their
+   longest-previous-factor array is read off it: the common prefix with the previous or next smaller
+   document in suffix order, whichever is longer. A string with a factor of ``LENGTH`` or more repeats an earlier document.
 C. The answers, a bit for each string, go back to the blocks, which mark, count and cut the bytes.
 
-Hot groups: copies in a block are sent once, so an anchor or context that a third of all documents share
-comes to its bucket once a block. Nothing is collected on the driver.
+Contexts are told apart by 64-bit hashes. Hot groups: copies in a block are sent once, so an anchor or context that a third of all documents share
+comes to its bucket once a block. Payloads travel through ``exchange``, so rows grow with the bytes, not with
+blocks times buckets. Nothing is collected on the driver.
 
 Defined results: null text is empty; texts shorter than ``LENGTH`` are kept whole; rows with equal
 doc_id don't remove each other's bytes; rows with a null doc_id lose nothing and remove nothing.
@@ -34,6 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from uttera.llm import bytesops as B
+from uttera.llm.exchange import exchanged, flat, flat_second
 from uttera.llm.scratch import Scratch
 
 LENGTH = 50
@@ -41,6 +43,7 @@ GRAM = 24
 BLOCK_BYTES = 8 << 20
 BUCKET_BYTES = 32 << 20
 LEAST = 32
+DEPTH = 2 * LENGTH - GRAM  # the longest context
 PARTS = 8  # context buckets for one of anchors: contexts weigh more
 _U = np.uint64
 _POSITION = _U((1 << 24) - 1)
@@ -222,33 +225,40 @@ def dense(keys: np.ndarray) -> np.ndarray:
     return out
 
 
-def suffix_classes(text: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Suffix array of the given starts by their first ``LENGTH`` bytes, ties by start, and whether each equals its predecessor that far."""
+def suffix_array(text: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Suffix array of the given starts by their first ``DEPTH`` bytes, ties by start, and whether each equals its predecessor for ``LENGTH``."""
     n = len(text)
-    wide = np.zeros(n + LENGTH + 8, _U)
+    wide = np.zeros(n + DEPTH + 8, _U)
     wide[:n] = text
     for step, bits in ((1, 8), (2, 16), (4, 32)):
         wide[:-step] = (wide[:-step] << _U(bits)) | wide[step:]
-    rank, depth = dense(wide[: n + LENGTH]), 8
+    rank, depth = dense(wide[: n + DEPTH]), 8
     while 2 * depth <= LENGTH:
         rank = dense((rank[: len(rank) - depth] << _U(32)) | rank[depth:])
         depth *= 2
     key = (rank[starts] << _U(32)) | rank[starts + (LENGTH - depth)]
     order = np.argsort(key, kind="stable")
     k = key[order]
-    return order, np.concatenate([[False], k[1:] == k[:-1]])[: len(k)]
+    same = np.concatenate([[False], k[1:] == k[:-1]])[: len(k)]
+    beside = same.copy()
+    beside[:-1] |= same[1:]
+    at = np.flatnonzero(beside)  # equal for LENGTH: what follows decides
+    some = order[at]
+    order[at] = some[np.lexsort((some, rank[np.minimum(starts[some] + (DEPTH - depth), len(rank) - 1)], key[some]))]
+    return order, same
 
 
-def earlier(docs: np.ndarray, same: np.ndarray) -> np.ndarray:
-    """Whether a suffix's previous or next smaller document in suffix order shares ``LENGTH`` bytes with it.
+def smaller_neighbours(docs: np.ndarray, same: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the previous and next suffix, in suffix order, of a smaller document that shares ``LENGTH`` bytes; -1 if there is none.
 
     ``same`` says that a suffix equals its predecessor to that length. Pointers are followed in both directions
     until they meet a smaller document or a shorter common prefix.
     """
     n = len(docs)
-    out = np.zeros(n, bool)
     group = np.cumsum(~same)
+    found = []
     for step in (-1, 1):
+        out = np.full(n, -1, np.int64)
         at = np.arange(n)
         todo = np.arange(n)
         hop = np.full(n, step)
@@ -259,7 +269,7 @@ def earlier(docs: np.ndarray, same: np.ndarray) -> np.ndarray:
             inside = group[nxt] == group[todo]
             todo, nxt = todo[inside], nxt[inside]
             smaller = docs[nxt] < docs[todo]
-            out[todo[smaller]] = True
+            out[todo[smaller]] = nxt[smaller]
             todo, nxt = todo[~smaller], nxt[~smaller]
             # what stands between a place and its pointer is not smaller than it: jump over it
             at[todo] = nxt
@@ -268,6 +278,28 @@ def earlier(docs: np.ndarray, same: np.ndarray) -> np.ndarray:
                 far = at[nxt]
                 ok = docs[nxt] >= docs[todo]
                 at[todo[ok]] = np.where((far[ok] - nxt[ok]) * step > 0, far[ok], nxt[ok])
+        found.append(out)
+    return found[0], found[1]
+
+
+def previous_factors(text: np.ndarray, starts: np.ndarray, ends: np.ndarray, docs: np.ndarray) -> np.ndarray:
+    """Longest-previous-factor array: for the string at each start, how many bytes up to its context's end an earlier document has.
+
+    The longer common prefix with the previous and with the next smaller document in suffix order, from ``LENGTH`` on; 0 if shorter.
+    """
+    order, same = suffix_array(text, starts)
+    out = np.zeros(len(starts), np.int64)
+    for near in smaller_neighbours(docs[order], same):
+        at = np.flatnonzero(near >= 0)
+        mine, other = order[at], order[near[at]]
+        length = np.full(len(at), LENGTH)
+        room = np.minimum(ends[mine] - starts[mine], ends[other] - starts[other])
+        todo = np.flatnonzero(room > LENGTH)
+        while len(todo):
+            todo = todo[text[starts[mine[todo]] + length[todo]] == text[starts[other[todo]] + length[todo]]]
+            length[todo] += 1
+            todo = todo[length[todo] < room[todo]]
+        out[mine] = np.maximum(out[mine], length)
     return out
 
 
@@ -302,9 +334,8 @@ def answer_contexts(table: pa.Table) -> pa.Table:
     text = text[np.repeat(begin[:-1][lead] - new[:-1], size[lead]) + np.arange(new[-1])]
     edge = np.concatenate([[0], np.cumsum(strings)])
     starts = np.repeat(new[:-1] - edge[:-1], strings) + np.arange(edge[-1])
-    order, same = suffix_classes(text, starts)
-    hit = np.empty(len(order), bool)
-    hit[order] = earlier(np.repeat(least[by_doc], strings)[order], same)
+    factor = previous_factors(text, starts, np.repeat(new[1:], strings), np.repeat(least[by_doc], strings))
+    hit = factor >= LENGTH
     mask = np.zeros(distinct, np.uint32)
     offset = np.arange(edge[-1]) - np.repeat(edge[:-1], strings)
     np.bitwise_or.at(mask, np.repeat(by_doc, strings)[hit], np.uint32(1) << offset[hit].astype(np.uint32))
@@ -360,11 +391,15 @@ def deduplicate(docs: DataFrame, scratch: Scratch, with_bytes: bool = False) ->
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks, buckets = max(LEAST, -(-size // BLOCK_BYTES)), max(LEAST, -(-size // BUCKET_BYTES))
     texts = texts.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)))
-    sent = texts.groupBy("block").applyInArrow(send_anchors(buckets), "bucket int, block long, payload binary")
-    answers = scratch.save(sent.groupBy("bucket").applyInArrow(answer_anchors, "block long, bucket int, bits binary"), "anchors")
-    contexts = texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(send_contexts(buckets, PARTS), "bucket int, block long, payload binary")
-    repeats = scratch.save(contexts.groupBy("bucket").applyInArrow(answer_contexts, "block long, payload binary"), "repeats")
-    return texts.groupBy("block").cogroup(repeats.groupBy("block")).applyInArrow(cut_bytes(with_bytes), RESULT)
+    block = texts.groupBy("block")
+    sent = block.applyInArrow(send_anchors(buckets), "bucket int, block long, payload binary")
+    answers = exchanged(sent, "bucket", buckets, size).groupBy("bucket").applyInArrow(flat(answer_anchors), "block long, bucket int, bits binary")
+    answers = scratch.save(exchanged(answers, "block", blocks, size // 8), "anchors")
+    contexts = block.cogroup(answers.groupBy("block")).applyInArrow(flat_second(send_contexts(buckets, PARTS)), "bucket int, block long, payload binary")
+    repeats = exchanged(contexts, "bucket", buckets * PARTS, size).groupBy("bucket").applyInArrow(flat(answer_contexts), "block long, payload binary")
+    repeats = scratch.save(exchanged(repeats, "block", blocks, size), "repeats")
+    scratch.keep("repeats")
+    return block.cogroup(repeats.groupBy("block")).applyInArrow(flat_second(cut_bytes(with_bytes)), RESULT)
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
