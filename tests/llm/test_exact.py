@@ -14,7 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from uttera.llm import bytesops as B
-from uttera.llm import contamination, exchange, jaccard, packing, quality, substrings, token_shards, tokens, urls, warc
+from uttera.llm import contamination, exchange, filters, jaccard, packing, quality, substrings, token_shards, tokens, urls, warc
 from uttera.llm.scratch import Scratch
 from uttera.llm.wavelet import WaveletMatrix
 
@@ -72,6 +72,19 @@ def test_suffix_dedup_query(spark):
     assert sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == [r[:5] for r in kept_by_brute_force(rows)]
 
 
+def test_filters_lose_no_row(spark, monkeypatch):
+    rows = spark.range(2000).selectExpr("if(id % 50 = 7, null, id) as key", "id as own")
+    keys = spark.range(0, 2000, 3).selectExpr("id as key")
+    for words in (1 << 20, 4):  # the second is full: everything passes it
+        monkeypatch.setattr(filters, "WORDS", words)
+        bloom = filters.bloom(keys, "key")
+        assert bloom.count() <= words
+        got = {r.own for r in filters.among(rows, "key", bloom).collect()}
+        want = {k for k in range(0, 2000, 3) if k % 50 != 7}
+        assert want <= got and (words == 4 or len(got) < len(want) + 20)
+        assert sorted(r.own for r in filters.without(rows, "key", keys, bloom).collect()) == [k for k in range(2000) if k not in want]
+
+
 def test_exchange_rows_do_not_grow_with_pairs(spark, monkeypatch):
     monkeypatch.setattr(exchange, "FAN", 8)
     monkeypatch.setattr(exchange, "PART", 1 << 14)

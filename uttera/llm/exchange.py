@@ -36,12 +36,13 @@ def scattered(items: pa.Array | pa.ChunkedArray) -> pa.Table:
     """The rows of lists of structs."""
     chunks = items.chunks if isinstance(items, pa.ChunkedArray) else [items]
     tables = [pa.Table.from_batches([pa.RecordBatch.from_struct_array(c.flatten())]) for c in chunks]
-    return pa.concat_tables(tables) if tables else pa.table({})
+    kind = items.type.value_type
+    return pa.concat_tables(tables) if tables else pa.schema([kind.field(k) for k in range(kind.num_fields)]).empty_table()
 
 
 def rows_again(table: pa.Table) -> pa.Table:
     """A table as its sender made it, whether it was exchanged in one step or two."""
-    return scattered(table.column("items")) if table.num_rows and "items" in table.column_names else table
+    return scattered(table.column("items")) if "items" in table.column_names else table
 
 
 def flat(f: Callable[[pa.Table], pa.Table]) -> Callable[[pa.Table], pa.Table]:

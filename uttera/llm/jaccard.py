@@ -526,6 +526,7 @@ def components(docs: DataFrame, scratch: Scratch) -> DataFrame:
     linked = named.join(least, "root").select("k1", "k2", "n_shingles", "component_id")
     alone = classes.join(roots.select(F.col("node").alias("k1")), "k1", "left_anti").select("k1", "k2", "n_shingles", F.col("least").alias("component_id"))
     table = scratch.save(linked.unionByName(alone), "table")
+    scratch.keep("signatures", "table")
     return signed.join(table, ["k1", "k2", "n_shingles"], "left").select("doc_id", "n_shingles", F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 

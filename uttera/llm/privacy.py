@@ -5,7 +5,7 @@ fail their test are dropped without a retry. They are written so that every scan
 
 The field's nodes are mentions: tokens with a digit, ``@`` or a dozen capitals in a row; up to ``RUN`` neighbouring tokens of
 digits and punctuation are one mention, and of ``key=value`` the value is. Labels are the four kinds, secrets (passwords,
-tokens, access keys: no pattern counts them, the field alone adds their spans) and none. Chain edges join mentions at most
+tokens, access keys: no pattern finds them, the field alone adds and counts them) and none. Chain edges join mentions at most
 ``NEAR`` words apart. Skip edges join each mention, however distant, to the first one in the document of
 the same letters and digits, the same seven or more digits, or the same part before ``@`` (*same* edges), and of one edit's
 difference or a long common beginning (*similar* edges). As they meet in the first mention, any two are two steps apart.
@@ -411,7 +411,7 @@ def near_candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out, pa.string())], ["doc_id", "text"])
 
 
-FOUND = ", n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, redacted string"
+FOUND = ", n_email long, n_ip long, n_card long, n_phone long, n_secret long, base_sha256 string, spans string, redacted string"
 
 
 def detect(model, redact: bool):
@@ -426,11 +426,11 @@ def detect(model, redact: bool):
             column = rows.column(rows.schema.get_field_index("text"))
             texts = column.take(pa.array(busy)).to_pylist()
             found, added = spans_of(texts, model)
-            counts, digests, spans = np.zeros((4, n), np.int64), [nothing] * n, [""] * n
+            counts, digests, spans = np.zeros((5, n), np.int64), [nothing] * n, [""] * n
             clean: list[str | None] = [None] * n
             for k, text, f, more in zip(busy.tolist(), texts, found, added, strict=True):
                 base = [(kind, a, b) for kind in KINDS for a, b in f[kind]]
-                counts[:, k] = [len(f[kind]) for kind in KINDS]
+                counts[:, k] = [*(len(f[kind]) for kind in KINDS), sum(kind == "secret" for kind, _, _ in more)]
                 digests[k] = hashlib.sha256(joined_spans(base).encode()).hexdigest()
                 spans[k] = joined_spans(base + more)
                 if redact and (base or more):

@@ -54,19 +54,25 @@ class Scratch:
     """Named tables of one operator run. ``save`` cuts lineage: what is read back is a plain file scan."""
 
     def __init__(self, spark: SparkSession, label: str):
-        self.spark, self.root = spark, f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+        self.spark, self.root, self.names = spark, f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}", set()
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
+        self.names.add(name)
         with shuffles_removed(self.spark):
             df.write.mode("overwrite").option("compression", "zstd").parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
+    def keep(self, *names: str) -> None:
+        """Delete all saved tables but those that a returned plan reads."""
+        self.drop(*sorted(self.names - set(names)))
+
     def drop(self, *names: str) -> None:
         """Delete tables that no returned plan reads any more."""
         jvm = self.spark.sparkContext._jvm
         for name in names:
             at = jvm.org.apache.hadoop.fs.Path(self.path(name))
             at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+            self.names.discard(name)

@@ -246,4 +246,7 @@ def op8_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark, "token-shards")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     write_shards(docs, public_tokenizers.path("word_bpe_49k.json"), scratch.path("shards"))
-    return read_documents(spark, scratch.path("shards"), scratch)
+    out = read_documents(spark, scratch.path("shards"), scratch)
+    scratch.keep("documents")
+    scratch.drop("shards")  # read back whole by now
+    return out

@@ -101,6 +101,7 @@ def judge(pages: DataFrame, scratch: Scratch, rules=RULES) -> DataFrame:
     seeds = scratch.save(by_host, "hosts").select("host", F.explode(F.array(F.struct(F.lit("t").alias("kind"), F.col("t").alias("seed")), F.struct(F.lit("d").alias("kind"), F.col("d").alias("seed")))).alias("s")).select("host", "s.kind", "s.seed").where("seed > 0")
     scores = propagate(seeds, host_edges(cut), scratch)
     hosts = scratch.save(scores.groupBy("host").agg(F.sum(F.when(F.col("kind") == "t", F.col("score"))).alias("trust"), F.sum(F.when(F.col("kind") == "d", F.col("score"))).alias("distrust")), "scores")
+    scratch.keep("scores")
     joined = ruled.drop("html").join(hosts, "host", "left").withColumns({c: F.coalesce(F.col(c), F.lit(0.0)) for c in ("trust", "distrust")})
     bad = (F.col("distrust") > F.col("trust")) & (F.col("distrust") >= THRESHOLD * (1 - DAMPING))
     return joined.select("page_id", "host", "path", F.col("fit.rule").alias("rule"), F.coalesce(F.col("fit.verdict"), F.when(bad, "block").otherwise("allow")).alias("verdict"), "trust", "distrust")

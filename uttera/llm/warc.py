@@ -71,6 +71,7 @@ def write_archives(pages: DataFrame, folder: str, scratch: Scratch) -> None:
     members = joined.select("page_id", "url", "html", "top", "revisit").mapInArrow(write_rows, "member binary")
     with shuffles_removed(pages.sparkSession):
         members.select(F.col("member").cast("string").alias("value")).write.option("lineSep", "\0").text(folder)
+    scratch.drop("groups")
 
 
 def starts_record(raw: bytes) -> bool:
