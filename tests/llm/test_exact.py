@@ -251,6 +251,21 @@ def test_decontamination(spark, monkeypatch):
         assert sum(len(find(raw[s.byte_start : s.byte_end].decode())) for s in r.spans) == r.n_hit
 
 
+def test_tiny_shards():
+    """Shards and items of 1 to 5 words over alphabets of 1 to 40 words: shorter than one packed key."""
+    rng = np.random.default_rng(4)
+    for size in (1, 2, 3, 7, 40):
+        for _ in range(60):
+            item, doc = ([f"w{k}" for k in rng.integers(0, size, rng.integers(1, 6))] for _ in range(2))
+            windows = contamination.Windows([(1, " ".join(item)), (2, " ".join(f"w{k}" for k in range(size)))])
+            data, off = B.column(pa.array([" ".join(doc)]))
+            starts, ends, bounds = B.words(data, off, B.ALNUM_WORD)
+            first, pattern = contamination.occurrences(B.range_hash(B.prefix_hash(data), starts, ends), B.rows_of(bounds), windows)
+            every = [f"w{k}" for k in range(size)]
+            wanted = {tuple(item)} | {tuple(every[k : k + min(13, size)]) for k in range(max(size - 12, 1))}
+            assert sorted((int(a), int(windows.lengths[p])) for a, p in zip(first, pattern, strict=True)) == sorted((k, len(w)) for w in wanted for k in range(len(doc) - len(w) + 1) if tuple(doc[k : k + len(w)]) == w)
+
+
 def test_suffix_order_with_separators():
     t = np.random.default_rng(0).integers(0, 4, 2000).astype(np.int32)
     t[-1] = 0

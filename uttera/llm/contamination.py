@@ -110,7 +110,7 @@ def suffix_order(text: np.ndarray, bits: int) -> np.ndarray:
     ended = np.zeros(n, bool)
     for d in range(per):
         part = np.zeros(n, np.int64)
-        part[: n - d] = text[d:]
+        part[: max(n - d, 0)] = text[d:]  # a sequence can be shorter than a key
         ended |= part == 0
         part[ended] = 0
         key = key << bits | part
