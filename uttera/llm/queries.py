@@ -17,6 +17,7 @@ from uttera.llm.language import op6_language_id
 from uttera.llm.packing import op2_packing
 from uttera.llm.privacy import op7_pii
 from uttera.llm.quality import op4_quality_rules
+from uttera.llm.spelling import op13_spelling_variants
 from uttera.llm.substrings import op1_suffix_dedup
 from uttera.llm.token_shards import op8_token_shards
 from uttera.llm.urls import op10_url_filter
@@ -41,6 +42,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_token_shards": op8_token_shards,
         "op9_decontamination": op9_decontamination,
         "op10_url_filter": op10_url_filter,
+        "op13_spelling_variants": op13_spelling_variants,
         "pipeline": _pipeline,
     }
 
