@@ -15,6 +15,7 @@ from uttera.llm.contamination import op9_decontamination
 from uttera.llm.jaccard import op3_ngram_jaccard
 from uttera.llm.language import op6_language_id
 from uttera.llm.packing import op2_packing
+from uttera.llm.periodic import op12_periodic_runs
 from uttera.llm.privacy import op7_pii
 from uttera.llm.quality import op4_quality_rules
 from uttera.llm.spelling import op13_spelling_variants
@@ -42,6 +43,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_token_shards": op8_token_shards,
         "op9_decontamination": op9_decontamination,
         "op10_url_filter": op10_url_filter,
+        "op12_periodic_runs": op12_periodic_runs,
         "op13_spelling_variants": op13_spelling_variants,
         "pipeline": _pipeline,
     }
