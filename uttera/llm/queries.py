@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from uttera.llm.contamination import op9_decontamination
+from uttera.llm.context_tree import op11_lm_scoring
 from uttera.llm.jaccard import op3_ngram_jaccard
 from uttera.llm.language import op6_language_id
 from uttera.llm.packing import op2_packing
@@ -43,6 +44,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_token_shards": op8_token_shards,
         "op9_decontamination": op9_decontamination,
         "op10_url_filter": op10_url_filter,
+        "op11_lm_scoring": op11_lm_scoring,
         "op12_periodic_runs": op12_periodic_runs,
         "op13_spelling_variants": op13_spelling_variants,
         "pipeline": _pipeline,
