@@ -12,7 +12,7 @@ The probability of a byte depends on its last ``DEPTH`` bytes only, so the work
 2. A bucket has all contexts of three bytes and more for its strings; it sums up what the nodes of two bytes need. These are merged in buckets of
    their own; nodes of one byte and none, at most ``65,535``, are weighed on the driver.
 3. On the way back each node of two bytes tells the buckets how its and its parents' estimates mix with the deeper ones, and a bucket answers each block
-   with the probability of each string.
+   with the probability of each string (as 32-bit logarithms).
 4. Blocks add up their documents.
 
 Word counts for the base score go the same way. All counts cover all documents learned from; nothing is cut. Blocks send each
@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from uttera.llm import bytesops as B
-from uttera.llm.exchange import exchanged, flat, flat_second, rows_again
+from uttera.llm.exchange import exchanged, flat, flat_second
 from uttera.llm.scratch import Scratch
 
 DEPTH = 7
@@ -41,7 +41,7 @@ END = 0xFF
 FOLDS = 5
 HELD_FOLD = 1
 BLOCK_BYTES = 8 << 20
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 8 << 20
 LEAST_BUCKETS = 32
 MIDDLES = 64
 _U = np.uint64
@@ -174,7 +174,7 @@ def unpack(raw: bytes) -> list[np.ndarray]:
 
 def steps(keys: np.ndarray) -> np.ndarray:
     """Differences of sorted keys: small numbers."""
-    return np.diff(keys, prepend=_U(0))
+    return np.diff(keys, prepend=keys.dtype.type(0))
 
 
 def summed(keys: list[np.ndarray], values: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
@@ -191,41 +191,56 @@ def summed(keys: list[np.ndarray], values: list[np.ndarray]) -> tuple[np.ndarray
 
 def strings(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The string of every byte and end mark of a slice of texts, nearest context byte first and the coded byte last, and len+1 bounds of each text's."""
-    n = len(off) - 1
-    size = np.diff(off)
+    n, size = len(off) - 1, np.diff(off)
     begin = off[:-1] + np.arange(n) * (DEPTH + 1)  # each text has DEPTH marks before it and one behind it
-    wide = np.full(len(data) + n * (DEPTH + 1), END, np.uint8)
-    wide[np.arange(len(data)) + np.repeat(begin + DEPTH - off[:-1], size)] = data
-    window = np.ndarray((max(len(wide) - DEPTH, 0),), "<u8", wide, strides=(1,)) if n else np.zeros(0, _U)
-    bounds = np.concatenate([[0], np.cumsum(size + 1)])
-    at = np.arange(bounds[-1]) + np.repeat(begin - bounds[:-1], size + 1)
-    w = window[at].astype(_U)
-    return w << _U(8) | w >> _U(56), bounds
-
-
-class Slice:
-    """Distinct strings and words of a slice of rows, with how often the learned rows have them, and where each row has which."""
-
-    def __init__(self, rows: pa.Table, data: np.ndarray, off: np.ndarray):
-        low = B.LOWER[data]
-        learned = ~rows.column("held_out").to_numpy(zero_copy_only=False)
-        keys, self.bounds = strings(low, off)
-        self.keys, self.at = np.unique(keys, return_inverse=True)
-        self.counts = np.bincount(self.at, np.repeat(learned, np.diff(self.bounds)), len(self.keys)).astype(np.int64)
-        starts, ends, self.word_bounds = B.words(low, off, B.SPACE_WORD)
-        self.words, self.word_at = np.unique(B.range_hash(B.prefix_hash(low), starts, ends), return_inverse=True)
-        self.word_counts = np.bincount(self.word_at, np.repeat(learned, np.diff(self.word_bounds)), len(self.words)).astype(np.int64)
-
-
-def slices(table: pa.Table) -> Iterator[tuple[pa.Table, Slice]]:
+    marks = (begin[:, None] + np.arange(DEPTH)).ravel()
+    wide = np.empty(len(data) + n * (DEPTH + 1), np.uint8)
+    own = np.ones(len(wide), bool)
+    own[marks] = own[begin + DEPTH + size] = False
+    wide[own] = data
+    wide[~own] = END
+    window = np.ndarray((len(wide) - DEPTH,), "<u8", wide, strides=(1,)) if n else np.zeros(0, _U)
+    coded = np.ones(len(window), bool)  # each ends in a byte or the mark behind a text
+    coded[marks[marks >= DEPTH] - DEPTH] = False
+    w = window[coded]
+    return w << _U(8) | w >> _U(56), np.concatenate([[0], np.cumsum(size + 1)])
+
+
+def slices(table: pa.Table, limit: int = B.BLOCK) -> Iterator[tuple[pa.Table, np.ndarray, np.ndarray]]:
+    """Whole rows with about ``limit`` bytes of text: rows, lower-cased bytes and len+1 offsets."""
     data, off = B.column(table.column("text"))
     a, n = 0, table.num_rows
     while a < n:
-        b = min(n, max(a + 1, int(np.searchsorted(off, off[a] + B.BLOCK, "right")) - 1))
-        yield table.slice(a, b - a), Slice(table.slice(a, b - a), data[off[a] : off[b]], off[a : b + 1] - off[a])
+        b = min(n, max(a + 1, int(np.searchsorted(off, off[a] + limit, "right")) - 1))
+        yield table.slice(a, b - a), B.LOWER[data[off[a] : off[b]]], off[a : b + 1] - off[a]
         a = b
 
 
+def counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order and how often they occur."""
+    keys = np.sort(keys)
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])[: len(keys)])
+    return keys[first], np.diff(np.append(first, len(keys)))
+
+
+def tallied(keys: np.ndarray, learned: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Distinct keys of learned and of other places, with their counts, which are 0 for the latter."""
+    a, n = counted(keys[learned])
+    b, _ = counted(keys[~learned])
+    return [a, b], [n, np.zeros(len(b), np.int64)]
+
+
+def words_in(low: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of a slice, and len+1 bounds of each row's."""
+    starts, ends, bounds = B.words(low, off, B.SPACE_WORD)
+    return B.range_hash(B.prefix_hash(low), starts, ends), bounds
+
+
+def inverse(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    distinct, at = np.unique(keys, return_inverse=True)
+    return distinct, at.astype(np.int32)
+
+
 def bucket_of_strings(keys: np.ndarray, buckets: int) -> np.ndarray:
     return (B.mix(keys >> _U(64 - 8 * LOW)) % _U(buckets)).astype(np.int64)
 
@@ -242,10 +257,15 @@ def by_bucket(bucket: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]
 
 def ask(buckets: int):
     def run(table: pa.Table) -> pa.Table:
-        B.keep_heap()
-        found = [s for _, s in slices(table)]
-        keys, counts, _ = summed([s.keys for s in found], [s.counts for s in found])
-        words, word_counts, _ = summed([s.words for s in found], [s.word_counts for s in found])
+        keys, counts, words, word_counts = [], [], [], []
+        for rows, low, off in slices(table, 4 * B.BLOCK):
+            learned = ~rows.column("held_out").to_numpy(zero_copy_only=False)
+            for (found, bounds), into, number in ((strings(low, off), keys, counts), (words_in(low, off), words, word_counts)):
+                a, n = tallied(found, np.repeat(learned, np.diff(bounds)))
+                into += a
+                number += n
+        keys, counts, _ = summed(keys, counts)
+        words, word_counts, _ = summed(words, word_counts)
         order, edge = by_bucket(bucket_of_strings(keys, buckets), buckets)
         w_order, w_edge = by_bucket(bucket_of_words(words, buckets), buckets)
         some, out = [], []
@@ -261,42 +281,45 @@ def ask(buckets: int):
 # Buckets
 
 
-def asked(table: pa.Table) -> list[list[np.ndarray]]:
-    """Strings, counts, words and counts that each row of a bucket asks for."""
-    out = [unpack(x.as_py()) for x in table.column("payload")]
-    for x in out:
-        x[0] = np.cumsum(x[0], dtype=_U)
-    return out
+def gather(table: pa.Table) -> pa.Table:
+    """All that blocks ask of a bucket as one row: distinct strings and words with their counts, and for each block which of them it has."""
+    asks = [unpack(x.as_py()) for x in table.column("payload")]
+    keys, counts, at = summed([np.cumsum(x[0], dtype=_U) for x in asks], [x[1] for x in asks])
+    words, word_counts, word_at = summed([x[2] for x in asks], [x[3] for x in asks])
+    which = [pack(steps(i.astype(np.uint32)), steps(k.astype(np.uint32))) for i, k in zip(at, word_at, strict=True)]  # ascending, as the blocks' lists are
+    shape = pa.array([{"block": b, "which": w} for b, w in zip(table.column("block").to_pylist(), which, strict=True)], pa.struct([("block", pa.int64()), ("which", pa.binary())]))
+    lists = pa.ListArray.from_arrays(pa.array([0, len(asks)], pa.int32()), shape)
+    return pa.table({"bucket": table.column("bucket").slice(0, 1), "blocks": lists, "tokens": pa.array([int(word_counts.sum())]), "distinct": pa.array([int((word_counts > 0).sum())]), "payload": pa.array([pack(steps(keys), counts, word_counts)], pa.binary())})
 
 
-def upward(middles: int):
-    """What the nodes of ``LOW`` - 1 bytes need from a bucket, and how many words it knows: rows (bucket, middle, learned words, distinct ones, payload)."""
+GATHERED = "bucket int, blocks array<struct<block:bigint,which:binary>>, tokens long, distinct long, payload binary"
+
+
+def bucket_of(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Strings and their counts, and counts of the words, of a gathered bucket."""
+    keys, counts, word_counts = unpack(raw)
+    return np.cumsum(keys, dtype=_U), counts, word_counts
 
-    def run(table: pa.Table) -> pa.Table:
-        B.keep_heap()
-        asks = asked(table)
-        keys, counts, _ = summed([x[0] for x in asks], [x[1] for x in asks])
-        _, word_counts, _ = summed([x[2] for x in asks], [x[3] for x in asks])
-        tree = Tree(keys, counts)
-        names, sums = [], []
-        for j in range(8):
-            _, above, children = tree.weigh(j)
-            names.append(above.names)
-            sums.append(children)
-        names, sums = np.concatenate(names), np.concatenate(sums)
-        short, n = tree.keys[-1], tree.counts[-1]
-        order, edge = by_bucket((B.mix(short >> _U(8)) % _U(middles)).astype(np.int64), middles)
-        m_order, m_edge = by_bucket((B.mix(names >> _U(8)) % _U(middles)).astype(np.int64), middles)
-        some, out = np.flatnonzero(np.diff(edge)).tolist(), []
-        for m in some:
-            mine, own = order[edge[m] : edge[m + 1]], m_order[m_edge[m] : m_edge[m + 1]]
-            own = own[np.argsort(names[own])]
-            out.append(pack(short[mine], n[mine], names[own], sums[own]))
-        bucket = table.column("bucket")[0].as_py()
-        known = [int(word_counts.sum()), int((word_counts > 0).sum())]
-        rows = pa.table({"bucket": pa.array([bucket] * len(some), pa.int32()), "middle": pa.array(some, pa.int32()), "tokens": pa.array([0] * len(some), pa.int64()), "distinct": pa.array([0] * len(some), pa.int64()), "payload": pa.array(out, pa.binary())})
-        # a row of its own, so that buckets of words alone count too
-        return pa.concat_tables([rows, pa.table({"bucket": pa.array([bucket], pa.int32()), "middle": pa.array([-1], pa.int32()), "tokens": pa.array(known[:1], pa.int64()), "distinct": pa.array(known[1:], pa.int64()), "payload": pa.array([None], pa.binary())})])
+
+def upward(middles: int):
+    """What the nodes of ``LOW`` - 1 bytes need from each bucket: rows (bucket, middle, payload)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for bucket, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                keys, counts, _ = bucket_of(raw.as_py())
+                tree = Tree(keys, counts)
+                each = [tree.weigh(j)[1:] for j in range(8)]
+                names, sums = np.concatenate([above.names for above, _ in each]), np.concatenate([s for _, s in each])
+                short, n = tree.keys[-1], tree.counts[-1]
+                order, edge = by_bucket((B.mix(short >> _U(8)) % _U(middles)).astype(np.int64), middles)
+                m_order, m_edge = by_bucket((B.mix(names >> _U(8)) % _U(middles)).astype(np.int64), middles)
+                some, out = np.flatnonzero(np.diff(edge)).tolist(), []
+                for m in some:
+                    mine, own = order[edge[m] : edge[m + 1]], m_order[m_edge[m] : m_edge[m + 1]]
+                    own = own[np.argsort(names[own])]
+                    out.append(pack(short[mine], n[mine], names[own], sums[own]))
+                yield pa.RecordBatch.from_arrays([pa.array([bucket] * len(some), pa.int32()), pa.array(some, pa.int32()), pa.array(out, pa.binary())], ["bucket", "middle", "payload"])
 
     return run
 
@@ -386,19 +409,20 @@ def downward(top: tuple[np.ndarray, np.ndarray, np.ndarray]):
     return run
 
 
-def answer(asks: pa.Table, above: pa.Table) -> pa.Table:
+def answer(gathered: pa.Table, above: pa.Table) -> pa.Table:
     """For each block, the log probability of the strings it asked for and the counts of its words."""
-    B.keep_heap()
-    if not asks.num_rows:
-        return pa.table({"block": pa.array([], pa.int64()), "bucket": pa.array([], pa.int32()), "payload": pa.array([], pa.binary())})
-    each = asked(asks)
-    keys, counts, at = summed([x[0] for x in each], [x[1] for x in each])
-    _, word_counts, word_at = summed([x[2] for x in each], [x[3] for x in each])
-    p = np.zeros(0)
-    if len(keys):
-        p = Tree(keys, counts).log_probabilities(*sorted_by_name([tuple(unpack(x.as_py())) for x in above.column("payload")]))
-    out = [pack(p[i].astype(np.float32), word_counts[k]) for i, k in zip(at, word_at, strict=True)]
-    return pa.table({"block": asks.column("block"), "bucket": asks.column("bucket"), "payload": pa.array(out, pa.binary())})
+    blocks, buckets, out = [], [], []
+    for bucket, lists, raw in zip(gathered.column("bucket").to_pylist(), gathered.column("blocks"), gathered.column("payload"), strict=True):
+        keys, counts, word_counts = bucket_of(raw.as_py())
+        p = np.zeros(0, np.float32)
+        if len(keys):
+            p = Tree(keys, counts).log_probabilities(*sorted_by_name([tuple(unpack(x.as_py())) for x in above.column("payload")])).astype(np.float32)
+        for x in lists:
+            i, k = (np.cumsum(d, dtype=np.int64) for d in unpack(x["which"].as_py()))
+            blocks.append(x["block"].as_py())
+            buckets.append(bucket)
+            out.append(pack(p[i], word_counts[k]))
+    return pa.table({"block": pa.array(blocks, pa.int64()), "bucket": pa.array(buckets, pa.int32()), "payload": pa.array(out, pa.binary())})
 
 
 RESULT = "doc_id long, held_out boolean, n_bytes long, n_tokens long, n_known long, train_tokens long, base_score double, score double"
@@ -409,29 +433,41 @@ def add_up(buckets: int, tokens: int, distinct: int, ends: int):
     end = np.log10(ends + 0.5) - unit
 
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
-        B.keep_heap()
-        rows, found = zip(*slices(docs), strict=True)
-        keys, _, at = summed([s.keys for s in found], [s.counts for s in found])
-        words, _, word_at = summed([s.words for s in found], [s.word_counts for s in found])
+        rows, keys, at, bounds, words, word_at, word_bounds = ([] for _ in range(7))
+        for r, low, off in slices(docs):
+            rows.append(r)
+            for (found, edges), into, place, limits in ((strings(low, off), keys, at, bounds), (words_in(low, off), words, word_at, word_bounds)):
+                distinct, i = inverse(found)
+                into.append(distinct)
+                place.append(i)
+                limits.append(edges)
+        keys, among = placed(keys)
+        words, word_among = placed(words)
         order, edge = by_bucket(bucket_of_strings(keys, buckets), buckets)
         w_order, w_edge = by_bucket(bucket_of_words(words, buckets), buckets)
-        p, c = np.zeros(len(keys)), np.zeros(len(words), np.int64)
+        p, c = np.zeros(len(keys), np.float32), np.zeros(len(words), np.int64)
         for b, raw in zip(answers.column("bucket").to_pylist(), answers.column("payload"), strict=True):
             p[order[edge[b] : edge[b + 1]]], c[w_order[w_edge[b] : w_edge[b + 1]]] = unpack(raw.as_py())
         base = np.log10(c + 0.5) - unit
         out = []
-        for r, s, i, k in zip(rows, found, at, word_at, strict=True):
-            own, known = base[k][s.word_at], (c[k] > 0)[s.word_at]
-            n = np.diff(s.word_bounds)
+        for k, r in enumerate(rows):
+            n = np.diff(word_bounds[k])
             out.append(pa.table({
-                "doc_id": r.column("doc_id"), "held_out": r.column("held_out"), "n_bytes": np.diff(s.bounds) - 1, "n_tokens": n + 1, "n_known": B.sum_rows(known, s.word_bounds) + int(ends > 0), "train_tokens": np.full(len(n), tokens, np.int64),
-                "base_score": by_row(own, s.word_bounds) + end, "score": by_row(p[i][s.at], s.bounds) / np.log(10),
+                "doc_id": r.column("doc_id"), "held_out": r.column("held_out"), "n_bytes": np.diff(bounds[k]) - 1, "n_tokens": n + 1,
+                "n_known": B.sum_rows((c > 0)[word_among[k]][word_at[k]], word_bounds[k]) + int(ends > 0), "train_tokens": np.full(len(n), tokens, np.int64),
+                "base_score": by_row(base[word_among[k]][word_at[k]], word_bounds[k]) + end, "score": by_row(p[among[k]][at[k]], bounds[k]) / np.log(10),
             }))
         return pa.concat_tables(out)
 
     return run
 
 
+def placed(lists: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Distinct keys of several lists, and where each list's keys are among them."""
+    distinct, at = inverse(np.concatenate(lists))
+    return distinct, np.split(at, np.cumsum([len(x) for x in lists])[:-1])
+
+
 def by_row(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Sums of the items of each row by themselves, so that they don't depend on other rows."""
     return np.bincount(B.rows_of(bounds), values, len(bounds) - 1)
@@ -445,18 +481,17 @@ def score(docs: DataFrame, scratch: Scratch) -> DataFrame:
     size = size or 0
     blocks, buckets = max(LEAST_BUCKETS, -(-size // BLOCK_BYTES)), max(LEAST_BUCKETS, -(-size // BUCKET_BYTES))
     block = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks))).groupBy("block")
-    sent = block.applyInArrow(ask(buckets), "bucket int, block long, payload binary")
-    asks = scratch.save(exchanged(sent, "bucket", buckets, size), "asks")
-    by_asks = asks.groupBy("bucket")
-    up = scratch.save(by_asks.applyInArrow(flat(upward(MIDDLES)), "bucket int, middle int, tokens long, distinct long, payload binary"), "up")
-    tokens, distinct = up.agg(F.sum("tokens"), F.sum("distinct")).first()
-    middle = up.where("middle >= 0").groupBy("middle")
+    sent = exchanged(block.applyInArrow(ask(buckets), "bucket int, block long, payload binary"), "bucket", buckets, size)
+    gathered = scratch.save(sent.groupBy("bucket").applyInArrow(flat(gather), GATHERED), "gathered")
+    tokens, distinct = gathered.agg(F.sum("tokens"), F.sum("distinct")).first()
+    up = scratch.save(gathered.select("bucket", "payload").mapInArrow(upward(MIDDLES), "bucket int, middle int, payload binary"), "up")
+    middle = up.groupBy("middle")
     # nodes of one byte and their bytes: at most 2 * 65,536 rows, whatever the input
     top = middle.applyInArrow(to_top, "name long, n long, s double").groupBy("name").agg(F.sum("n").alias("n"), F.sum("s").alias("s")).toArrow()
     names, n, s = (top.column(c).to_numpy() for c in ("name", "n", "s"))
     above = scratch.save(middle.applyInArrow(downward(top_of(names, n, s)), "bucket int, payload binary"), "above")
     scratch.drop("up")
-    answers = by_asks.cogroup(above.groupBy("bucket")).applyInArrow(lambda first, second: answer(rows_again(first), second), "block long, bucket int, payload binary")
+    answers = gathered.select("bucket", "blocks", "payload").groupBy("bucket").cogroup(above.groupBy("bucket")).applyInArrow(answer, "block long, bucket int, payload binary")
     answers = scratch.save(exchanged(answers, "block", blocks, size), "answers")
     scratch.keep("answers")
     total = (tokens or 0) + ends
