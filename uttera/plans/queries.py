@@ -286,7 +286,7 @@ def train_test_split(spark, sf):
 
 @query(f"WITH {_SQL_SPLIT} SELECT split, count(*) AS n FROM split GROUP BY split")
 def split_counts(spark, sf):
-    return split.split_counts(_split(spark, sf))
+    return split.count_split(D.table(spark, sf, "documents").select("source", "lang"), ["source", "lang"])
 
 
 @query(f"WITH {_SQL_SPLIT} SELECT doc_id, split, 'out/' || split || '/' || source || '/' || lang || '/' || doc_id || '.wav' AS new_path FROM split")

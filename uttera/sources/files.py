@@ -8,11 +8,12 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from uttera.config import CATEGORIES, Params
 from uttera.functions.text import first_category, last_part, normal_path
+from uttera.operators.scan import Ordered
 
 P = Params()
 
@@ -23,9 +24,9 @@ def list_files(spark: SparkSession, folder: str, suffix: str) -> DataFrame:
 
 
 def list_videos(spark: SparkSession, folder: str, keys: Sequence[str] = CATEGORIES, suffix: str = P.video_suffix, first_id: int = P.first_video_id) -> DataFrame:
-    """(video_id, path, category), numbered by path. The listing, one row a file, is numbered in one partition."""
-    rows = list_files(spark, folder, suffix)
-    return rows.select((F.row_number().over(Window.orderBy("path")) - 1 + first_id).alias("video_id"), "path", first_category(last_part(F.col("path")), keys).alias("category"))
+    """(video_id, path, category), numbered by path over as many parts as the listing has."""
+    rows = Ordered(list_files(spark, folder, suffix).select("path"), [], ["path"]).scan(place="place")
+    return rows.select((F.col("place") - 1 + first_id).alias("video_id"), "path", first_category(last_part(F.col("path")), keys).alias("category"))
 
 
 def uncategorised(videos: DataFrame) -> DataFrame:
