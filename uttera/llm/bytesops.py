@@ -32,6 +32,14 @@ def keep_heap() -> None:
         pass  # another C library: only slower
 
 
+def give_back() -> None:
+    """Let glibc return freed arrays of a megabyte or more to the system at once: slower, but a worker holds no more than it uses."""
+    try:
+        ctypes.CDLL(None).mallopt(-3, 1 << 20)  # M_MMAP_THRESHOLD
+    except (OSError, AttributeError):
+        pass  # another C library: only larger
+
+
 def column(values: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of a string column and its len+1 offsets; null counts as empty."""
     if isinstance(values, pa.ChunkedArray):

@@ -257,6 +257,7 @@ def by_bucket(bucket: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]
 
 def ask(buckets: int):
     def run(table: pa.Table) -> pa.Table:
+        B.give_back()
         keys, counts, words, word_counts = [], [], [], []
         for rows, low, off in slices(table, 4 * B.BLOCK):
             learned = ~rows.column("held_out").to_numpy(zero_copy_only=False)
@@ -283,6 +284,7 @@ def ask(buckets: int):
 
 def gather(table: pa.Table) -> pa.Table:
     """All that blocks ask of a bucket as one row: distinct strings and words with their counts, and for each block which of them it has."""
+    B.give_back()
     asks = [unpack(x.as_py()) for x in table.column("payload")]
     keys, counts, at = summed([np.cumsum(x[0], dtype=_U) for x in asks], [x[1] for x in asks])
     words, word_counts, word_at = summed([x[2] for x in asks], [x[3] for x in asks])
@@ -411,6 +413,7 @@ def downward(top: tuple[np.ndarray, np.ndarray, np.ndarray]):
 
 def answer(gathered: pa.Table, above: pa.Table) -> pa.Table:
     """For each block, the log probability of the strings it asked for and the counts of its words."""
+    B.give_back()
     blocks, buckets, out = [], [], []
     for bucket, lists, raw in zip(gathered.column("bucket").to_pylist(), gathered.column("blocks"), gathered.column("payload"), strict=True):
         keys, counts, word_counts = bucket_of(raw.as_py())
@@ -433,6 +436,7 @@ def add_up(buckets: int, tokens: int, distinct: int, ends: int):
     end = np.log10(ends + 0.5) - unit
 
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
+        B.give_back()
         rows, keys, at, bounds, words, word_at, word_bounds = ([] for _ in range(7))
         for r, low, off in slices(docs):
             rows.append(r)
@@ -464,8 +468,10 @@ def add_up(buckets: int, tokens: int, distinct: int, ends: int):
 
 def placed(lists: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
     """Distinct keys of several lists, and where each list's keys are among them."""
-    distinct, at = inverse(np.concatenate(lists))
-    return distinct, np.split(at, np.cumsum([len(x) for x in lists])[:-1])
+    distinct = np.concatenate(lists)
+    distinct.sort()
+    distinct = distinct[np.concatenate([[True], distinct[1:] != distinct[:-1]])[: len(distinct)]]
+    return distinct, [np.searchsorted(distinct, x).astype(np.int32) for x in lists]
 
 
 def by_row(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -492,8 +498,8 @@ def score(docs: DataFrame, scratch: Scratch) -> DataFrame:
     above = scratch.save(middle.applyInArrow(downward(top_of(names, n, s)), "bucket int, payload binary"), "above")
     scratch.drop("up")
     answers = gathered.select("bucket", "blocks", "payload").groupBy("bucket").cogroup(above.groupBy("bucket")).applyInArrow(answer, "block long, bucket int, payload binary")
-    answers = scratch.save(exchanged(answers, "block", blocks, size), "answers")
-    scratch.keep("answers")
+    answers = exchanged(answers, "block", blocks, size)  # read once, by the blocks: not worth a table
+    scratch.keep("gathered", "above")
     total = (tokens or 0) + ends
     return block.cogroup(answers.groupBy("block")).applyInArrow(flat_second(add_up(buckets, total, (distinct or 0) + int(ends > 0), ends)), RESULT)
 
