@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from uttera.config import ALLOWED, ROI
 from uttera.functions import text as T
-from uttera.operators import align, asof, images, intervals, outliers, split, utterance
+from uttera.operators import align, asof, audio, images, intervals, outliers, split, utterance
 from uttera.plans import dataset
 from uttera.plans import derived as D
 from uttera.streaming.fold import activity_sessions
@@ -174,6 +174,21 @@ def clip_slice(spark, sf):
     return intervals.clip_samples(s, clips, "user_id").groupBy("user_id", F.col("start").alias("clip")).agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("least"), F.max("value").alias("most"))
 
 
+_LE4 = "printf('%02x%02x%02x%02x', {0} & 255, ({0} >> 8) & 255, ({0} >> 16) & 255, ({0} >> 24) & 255)"
+
+
+@query(f"""WITH {D.SQL_SAMPLES}, pcm AS (SELECT user_id, idx, CAST(floor(value * 100) AS BIGINT) % 60000 - 30000 AS v FROM samples), clips AS (SELECT user_id, idx AS clip, greatest(idx - 5, 0) AS a, idx + 40 AS b FROM samples WHERE idx % 16 = 3),
+cut AS (SELECT c.user_id, c.clip, count(*) AS n, string_agg(printf('%02x%02x', v & 255, (v >> 8) & 255), '' ORDER BY p.idx) AS x FROM clips c JOIN pcm p ON p.user_id = c.user_id AND p.idx >= c.a AND p.idx < c.b GROUP BY ALL)
+SELECT user_id, clip, n AS n_samples, sha256('52494646' || {_LE4.format('(36 + 2 * n)')} || '57415645666d7420100000000100' || '0100' || 'e8030000' || 'd0070000' || '0200' || '1000' || '64617461' || {_LE4.format('(2 * n)')} || x) AS wav_sha256 FROM cut""")
+def clip_export(spark, sf):
+    """Clips of each user's signal as wav files, put together from blocks of 16 samples."""
+    s = D.samples(spark, sf)
+    blocks = audio.signal_blocks(s.withColumn("value", F.expr("bigint(floor(value * 100)) % 60000 - 30000")), "user_id", 16)
+    clips = s.where("idx % 16 = 3").select("user_id", F.col("idx").alias("clip_name"), (F.col("idx") - 5).alias("start_ms"), (F.col("idx") + 40).alias("end_ms"))
+    got = audio.export_clips(blocks, clips, "user_id", 1000, 16)
+    return got.select("user_id", F.col("clip_name").alias("clip"), "n_samples", F.sha2(F.lower(F.hex("wav")), 256).alias("wav_sha256"))
+
+
 @query("""SELECT i AS video_id, abs(frames * 1000 / fps - audio_ms) / (frames * 1000 / fps) AS deviation, abs(frames * 1000 / fps - audio_ms) / (frames * 1000 / fps) <= 0.3 AS passes, abs(frames * fps - audio_ms) / (frames * fps) <= 0.3 AS passes_as_is
 FROM (SELECT o_orderkey AS i, (100 + o_orderkey % 900)::DOUBLE AS frames, (24 + o_orderkey % 37)::DOUBLE AS fps, (o_orderkey * 7 % 40000)::DOUBLE AS audio_ms FROM orders)""")
 def duration_gate(spark, sf):
