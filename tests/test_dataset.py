@@ -24,3 +24,26 @@ def test_verification_leaves_gaps_and_other_speakers(spark):
     (stats,) = out.statistics.collect()
     assert (stats.potential, stats.successful, stats.total_dropped, stats.verification_failed) == (6, 4, 1, 1)
     assert sum(r.n_lines for r in out.transcripts.collect()) == 4
+
+
+def test_each_directory_is_split_by_itself(spark):
+    """A directory is one speaker in one video: of its n clips in order of their index the first int(0.9 n) train."""
+    sizes = {(1, "YURI"): 1, (1, "ESTELLE"): 4, (2, "YURI"): 11, (3, "YURI"): 2}
+    runs, frames = [], []
+    for video in (1, 2, 3):
+        names = [n for (v, n), k in sizes.items() if v == video for _ in range(k)] + ["NOBODY"]  # the last run is never emitted
+        for k, name in enumerate(names):
+            runs.append((video, k, 100 * k, 100 * k + 60))
+            frames.append((video, k, 100.0 * k + 40, name, chr(65 + k) * 3 + " " + chr(75 + k) * 4))
+    segments = spark.createDataFrame(runs, "video_id long, seg_idx long, start_ms long, end_ms long")
+    frames = spark.createDataFrame(frames, "video_id long, frame_idx long, ts double, raw_speaker string, raw_text string")
+    allowed = spark.createDataFrame([("YURI",), ("ESTELLE",)], "speaker string")
+    out = dataset.build(segments, frames, allowed, lambda u: u["utt_idx"] < 0, min_ms=50)
+    got = {}
+    for r in out.transcripts.collect():
+        got.setdefault((r.video_id, r.speaker), {})[r.split] = [line.split(" ")[0] for line in r.content.split("\n")]
+    want = {}
+    for (video, name), n in sizes.items():
+        clips, cut = [f"{name}-{video}-{k:04d}" for k in range(n)], int(n * 0.9)
+        want[video, name] = {split: part for split, part in (("train", clips[:cut]), ("test", clips[cut:])) if part}
+    assert got == want

@@ -2,8 +2,7 @@
 
 Observations: (video_id, seg_idx, start_ms, end_ms, speaker, text) cleaned, and optionally
 speaker_invalid and text_invalid from the raw texts. The fold compares each text with the first of
-its run. A row without speaker or text, or with another speaker than the row before, begins a run whatever came
-before, so the rows between such places (*stretches*) are folded apart from each other; everything else is set-oriented.
+its run. Chunks of rows are folded apart from each other, and again where a run goes on from one to the next; everything else is set-oriented.
 """
 
 from __future__ import annotations
@@ -16,6 +15,8 @@ from pyspark.sql import functions as F
 
 from uttera.config import Params
 from uttera.functions.text import clip_name, levenshtein_ratio, ratio
+from uttera.operators.scan import Ordered
+from uttera.storage import written
 
 P = Params()
 PIECE = 1024
@@ -38,52 +39,120 @@ def with_allowed(obs: DataFrame, allowed: DataFrame, on: list[str]) -> DataFrame
 
 
 def decide_native(obs: DataFrame, similarity: Callable[[Column, Column], Column] = levenshtein_ratio, threshold: float = P.similarity, deviation: float = P.deviation) -> DataFrame:
-    """One decision per observation, in the JVM: ``aggregate`` over the ordered rows of each stretch.
+    """One decision per observation and the number of its run, in the JVM, as a written table.
 
-    The state is the text and drop flag of the run, the text before and its similarity; what it leaves behind is a letter a row
-    (``N`` new, ``S`` same, ``D`` differs, ``d`` differs in a run that is dropped already), in pieces of ``PIECE``. So the fold is
-    linear, and an equal text is compared once.
+    Rows are ordered in pieces (see ``scan``) and cut into chunks of up to ``PIECE`` rows of a video; equal neighbours in a chunk are one item of the
+    fold. Each chunk is folded with ``aggregate``, as if nothing came before it. What comes before matters only if the chunk's first
+    row may go on with a run: then the chunk is folded again with the state that the chunk before leaves, in rounds. A chunk
+    without a new run hands on what it was given, so a run over any number of chunks is known to all of them after two rounds.
     """
-    w = Window.partitionBy("video_id").orderBy("seg_idx")
-    rows = _input(obs)
-    s, t = F.col("speaker"), F.col("text")
-    d1 = F.col("speaker_invalid") | (s == "")
-    d2 = d1 | F.col("text_invalid")
-    banned = (s != "") & ~F.col("allowed")
-    hard = (s == "") | (t == "") | ~s.eqNullSafe(F.lag("speaker").over(w))
-    item = F.struct("seg_idx", "start_ms", "end_ms", "speaker", "text", hard.alias("hard"), d1.alias("d1"), d2.alias("d2"), banned.alias("banned"), "speaker_invalid", "text_invalid", (d2 | (t == "") | banned).alias("flaw"))
-    items = rows.select("video_id", item.alias("o")).withColumn("stretch", F.sum(F.col("o.hard").cast("int")).over(Window.partitionBy("video_id").orderBy("o.seg_idx")))
-    arr = items.groupBy("video_id", "stretch").agg(F.array_sort(F.collect_list("o")).alias("obs"))
-    zero = F.struct(F.lit("").alias("tx"), F.lit("").alias("before"), F.lit(0.0).cast("double").alias("r"), F.lit(False).alias("drop"), F.array().cast("array<string>").alias("full"), F.lit("").alias("out"))
-
-    def step(acc: Column, o: Column) -> Column:
-        t = o["text"]
-        far = F.least(F.length(t), F.length(acc["tx"])) <= threshold * F.greatest(F.length(t), F.length(acc["tx"]))  # no similarity can exceed the ratio of lengths
-        r = F.when(o["hard"], F.lit(0.0)).when(t == acc["tx"], F.lit(1.0)).when(t == acc["before"], acc["r"]).when(far, F.lit(0.0)).otherwise(similarity(t, acc["tx"]))
-        # bound by a lambda: each mention of the column would compute the similarity again
-        return F.get(F.transform(F.array(r), lambda r: decide(acc, o, t, r)), F.lit(0))
-
-    def decide(acc: Column, o: Column, t: Column, r: Column) -> Column:
-        new = r <= threshold
-        differs = ~new & (r <= 1 - deviation)
-        code = F.when(new, "N").when(differs, F.when(acc["drop"], "d").otherwise("D")).otherwise("S")
-        full = F.length(acc["out"]) >= PIECE
-        return F.struct(
-            F.when(new, t).otherwise(acc["tx"]).alias("tx"), t.alias("before"), F.when(new, 1.0).otherwise(r).alias("r"), F.when(new, o["flaw"]).otherwise(acc["drop"] | o["flaw"] | differs).alias("drop"),
-            F.when(full, F.concat(acc["full"], F.array(acc["out"]))).otherwise(acc["full"]).alias("full"), F.when(full, code).otherwise(F.concat(acc["out"], code)).alias("out"),
-        )
-
-    letters = F.aggregate("obs", zero, step, lambda acc: F.concat(F.array_join(acc["full"], ""), acc["out"]))
-    each = arr.select("video_id", "obs", F.split(letters, "").alias("codes")).select("video_id", F.inline(F.arrays_zip("obs", "codes"))).select("video_id", "obs.*", F.col("codes").alias("code"))
+    fold = _Chunks(similarity, threshold, deviation)
+    chunks = written(fold.cut(Ordered(_input(obs), ["video_id"], ["seg_idx"]).rows), "chunks")
+    state = fold.rounds(chunks)
+    new_before = F.coalesce(F.sum("n_new").over(Window.partitionBy("video_id").orderBy("piece", "cell").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed = state.select(*_CHUNK, "codes", new_before.alias("new_before"))
+    joined = chunks.select(*_CHUNK, "items").join(placed.select(F.col("video_id").alias("v"), *_CHUNK[1:], "codes", "new_before"), (F.col("video_id").eqNullSafe(F.col("v"))) & (chunks["piece"] == placed["piece"]) & (chunks["cell"] == placed["cell"]))
+    items = joined.select("video_id", "new_before", "codes", F.posexplode("items").alias("at", "item"))
+    code = F.expr("substring(codes, at + 1, 1)")
+    runs_so_far = F.col("new_before") + F.length(F.translate(F.expr("left(codes, at + 1)"), "SDd", ""))
+    each = items.select("video_id", F.col("item.speaker").alias("speaker"), F.col("item.text").alias("text"), code.alias("first_code"), (runs_so_far - 1).cast("long").alias("run_idx"), F.posexplode("item.rows").alias("k", "o"))
+    code = F.when(F.col("k") == 0, F.col("first_code")).otherwise(F.translate("first_code", "ND", "Sd"))
+    each = each.select("video_id", "speaker", "text", "run_idx", code.alias("code"), "o.*")
     new, differs = F.col("code") == "N", F.upper("code") == "D"
     bad = F.col("flaw") | differs
     num = lambda c: c.cast("int")
-    return each.select(
+    out = each.select(
         "video_id", F.col("seg_idx").cast("bigint").alias("seg_idx"), F.col("start_ms").cast("bigint").alias("start_ms"), F.col("end_ms").cast("bigint").alias("end_ms"), "speaker", "text", new.alias("is_new"), bad.alias("bad"),
-        num(s == "").alias("no_speaker"), num((t == "") & ~F.col("d2")).alias("no_transcript"), num(F.col("code") == "D").alias("discrepancy"), num(F.col("banned")).alias("blacklisted"),
+        num(F.col("speaker") == "").alias("no_speaker"), num((F.col("text") == "") & ~F.col("d2")).alias("no_transcript"), num(F.col("code") == "D").alias("discrepancy"), num(F.col("banned")).alias("blacklisted"),
         (num(F.col("speaker_invalid")) + num(F.col("text_invalid") & ~F.col("d1"))).alias("cleaner"),
-        F.when(new & bad, "NEW_UTTERANCE_BAD").when(new, "NEW_UTTERANCE_GOOD").when(bad, "DROP_UTTERANCE").otherwise("SAME_UTTERANCE").alias("status"),
+        F.when(new & bad, "NEW_UTTERANCE_BAD").when(new, "NEW_UTTERANCE_GOOD").when(bad, "DROP_UTTERANCE").otherwise("SAME_UTTERANCE").alias("status"), "run_idx",
     )
+    return out
+
+
+_CHUNK = ["video_id", "piece", "cell"]
+_STATE = "struct<sp:string,tx:string,drop:boolean>"
+
+
+class _Chunks:
+    """The fold of chunks: cutting, folding with a given state, and rounds until every chunk was folded with the right one."""
+
+    def __init__(self, similarity: Callable[[Column, Column], Column], threshold: float, deviation: float):
+        self.similarity, self.threshold, self.deviation = similarity, threshold, deviation
+
+    def cut(self, rows: DataFrame) -> DataFrame:
+        """(video_id, piece, cell, items): items of equal neighbours, each with the rows it stands for, ``PIECE`` rows a chunk at most."""
+        s, t = F.col("speaker"), F.col("text")
+        d1 = F.col("speaker_invalid") | (s == "")
+        d2 = d1 | F.col("text_invalid")
+        banned = (s != "") & ~F.col("allowed")
+        flaw = d2 | (t == "") | banned
+        within = Window.partitionBy("video_id", "__piece").orderBy("__at")
+        row = F.struct("seg_idx", "start_ms", "end_ms", "speaker_invalid", "text_invalid", d1.alias("d1"), d2.alias("d2"), banned.alias("banned"), flaw.alias("flaw"))
+        rows = rows.select("video_id", F.col("__piece").alias("piece"), "__at", "speaker", "text", row.alias("row"), F.floor((F.row_number().over(within) - 1) / PIECE).cast("int").alias("cell"), F.lag(F.struct("speaker", "text")).over(within).alias("p"))
+        again = (s != "") & (t != "") & F.coalesce((s == F.col("p.speaker")) & (t == F.col("p.text")), F.lit(False))
+        rows = rows.withColumn("item", F.sum((~again).cast("long")).over(Window.partitionBy("video_id", "piece").orderBy("__at")))
+        listed = lambda c: F.array_sort(F.collect_list(c))  # noqa: E731  within a chunk: at most ``PIECE`` rows
+        item = rows.groupBy(*_CHUNK, "item").agg(F.first("speaker").alias("speaker"), F.first("text").alias("text"), listed("row").alias("rows"))
+        flaws = F.exists("rows", lambda r: r["flaw"]).alias("flaw")
+        return item.select(*_CHUNK, F.struct("item", "speaker", "text", "rows", flaws).alias("o")).groupBy(*_CHUNK).agg(listed("o").alias("items"))
+
+    def fold(self, chunks: DataFrame) -> DataFrame:
+        """(..., codes, n_new, bad, out) of chunks with their items and a state ``given``, null where nothing came before.
+
+        codes has a letter an item: N new, S same, D differs, d differs in a run that is dropped already. ``out`` is the state left behind.
+        """
+        zero = F.struct(
+            F.col("given.sp").alias("sp"), F.col("given.tx").alias("tx"), F.lit("").alias("before"), F.lit(0.0).cast("double").alias("r"), F.coalesce("given.drop", F.lit(False)).alias("drop"),
+            F.lit(False).alias("bad"), F.lit("").alias("codes"),
+        )
+
+        def step(acc: Column, o: Column) -> Column:
+            s, t = o["speaker"], o["text"]
+            hard = (s == "") | (t == "") | ~s.eqNullSafe(acc["sp"])
+            far = F.least(F.length(t), F.length(acc["tx"])) <= self.threshold * F.greatest(F.length(t), F.length(acc["tx"]))  # no similarity can exceed the ratio of lengths
+            r = F.when(hard, F.lit(0.0)).when(t == acc["tx"], F.lit(1.0)).when(t == acc["before"], acc["r"]).when(far, F.lit(0.0)).otherwise(self.similarity(t, acc["tx"]))
+            # bound by a lambda: each mention of the column would compute the similarity again
+            return F.get(F.transform(F.array(r), lambda r: decide(acc, o, t, r)), F.lit(0))
+
+        def decide(acc: Column, o: Column, t: Column, r: Column) -> Column:
+            new = r <= self.threshold
+            differs = ~new & (r <= 1 - self.deviation)
+            code = F.when(new, "N").when(differs, F.when(acc["drop"], "d").otherwise("D")).otherwise("S")
+            return F.struct(
+                o["speaker"].alias("sp"), F.when(new, t).otherwise(acc["tx"]).alias("tx"), t.alias("before"), F.when(new, 1.0).otherwise(r).alias("r"), F.when(new, o["flaw"]).otherwise(acc["drop"] | o["flaw"] | differs).alias("drop"),
+                (acc["bad"] | o["flaw"] | differs).alias("bad"), F.concat(acc["codes"], code).alias("codes"),
+            )
+
+        done = chunks.withColumn("end", F.aggregate("items", zero, step))
+        return done.select(*[c for c in chunks.columns if c != "items"], F.col("end.codes").alias("codes"), F.length(F.translate("end.codes", "SDd", "")).alias("n_new"), F.col("end.bad").alias("bad"), F.struct("end.sp", "end.tx", "end.drop").alias("out"))
+
+    def rounds(self, chunks: DataFrame) -> DataFrame:
+        """(video_id, piece, cell, codes, n_new, ...) of all chunks, each folded with what really comes before it."""
+        first = F.element_at("items", 1)
+        starts = F.when((first["speaker"] != "") & (first["text"] != ""), first["speaker"])  # null: its first row is new whatever came before
+        state = written(self.fold(chunks.select(*_CHUNK, "items", starts.alias("starts"), F.lit(None).cast(_STATE).alias("given"))), "fold")
+        while True:
+            todo = state.select("*", self.handed_on().alias("due")).where(F.col("starts").isNotNull() & (F.col("due.sp") == F.col("starts")) & ~F.col("due").eqNullSafe(F.col("given")))
+            if todo.isEmpty():
+                return state
+            todo = written(todo.select(*[F.col(c).alias(f"__{c}") for c in _CHUNK], F.col("due").alias("given"), "starts"), "due")
+            same = chunks["video_id"].eqNullSafe(F.col("__video_id")) & (chunks["piece"] == F.col("__piece")) & (chunks["cell"] == F.col("__cell"))
+            again = self.fold(chunks.join(todo, same).select(*_CHUNK, "items", "starts", "given"))
+            kept = state.join(todo, state["video_id"].eqNullSafe(F.col("__video_id")) & (state["piece"] == F.col("__piece")) & (state["cell"] == F.col("__cell")), "left_anti")
+            state = written(kept.unionByName(again), "fold")
+
+    @staticmethod
+    def handed_on() -> Column:
+        """The state before each chunk: that of the last chunk with a new run, dropped if it was or if a chunk since then has a flaw."""
+        before = Window.partitionBy("video_id").orderBy("piece", "cell").rowsBetween(Window.unboundedPreceding, -1)
+        changed = F.col("n_new") > 0
+        last = F.last(F.when(changed, F.col("out")), True).over(before)
+        place = F.struct("piece", "cell")
+        since = F.max(F.when(changed, place)).over(before)
+        bad_after = F.max(F.when(~changed & F.col("bad"), place)).over(before)
+        dropped = last["drop"] | F.coalesce(bad_after > since, F.lit(False))
+        return F.when(last.isNotNull(), F.struct(last["sp"].alias("sp"), last["tx"].alias("tx"), dropped.alias("drop")))
 
 
 class Fold:
@@ -133,8 +202,9 @@ def decide_exact(obs: DataFrame, similarity: Callable[[str, str], float] = ratio
 
 def runs(decided: DataFrame, *counts: Column) -> DataFrame:
     """Runs of decisions: (video_id, run_idx, speaker, text, start_ms, end_ms, dropped, is_last), and what ``counts`` adds up."""
-    w = Window.partitionBy("video_id").orderBy("seg_idx")
-    numbered = decided.withColumn("run_idx", F.sum(F.col("is_new").cast("long")).over(w) - 1)
+    numbered = decided
+    if "run_idx" not in decided.columns:
+        numbered = Ordered(decided, ["video_id"], ["seg_idx"]).scan(sums={"run_idx": F.col("is_new").cast("long")}).withColumn("run_idx", F.col("run_idx") - 1)
     grouped = numbered.groupBy("video_id", "run_idx").agg(
         F.min_by("speaker", "seg_idx").alias("speaker"), F.min_by("text", "seg_idx").alias("text"), F.min_by("start_ms", "seg_idx").alias("start_ms"), F.max_by("end_ms", "seg_idx").alias("end_ms"), F.bool_or("bad").alias("dropped"), *counts
     )

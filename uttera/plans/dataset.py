@@ -42,13 +42,13 @@ def build(segments: DataFrame, frames: DataFrame, allowed: DataFrame, fails: Cal
     """Segments, as-of match, cleaning, fold, verification of allowed speakers that have utterances, transcripts and split.
 
     allowed: (speaker). ``fails`` says which utterances verification takes out, as a condition over their columns; only
-    utterances of allowed speakers are put to it.
+    utterances of allowed speakers are put to it. Each speaker's utterances of each video are a directory, which is split by itself.
     """
     decided = decide(utterance.with_allowed(observations(segments, frames, min_ms), allowed, []))
     every = utterance.utterances(decided)
     verified = every.join(allowed.select("speaker").distinct(), "speaker", "left_semi")
     rejected = verified.where(fails(verified)).select("video_id", "speaker", "utt_idx", "clip_name")
     kept = outliers.without_rejected(every, rejected, ["video_id", "speaker", "utt_idx"])
-    parted = split.positional_split(kept, ["speaker"], ["video_id", "utt_idx"])
+    parted = split.positional_split(kept, ["speaker", "video_id"], ["utt_idx"])
     texts = utterance.transcript_text(parted, ["split", "speaker", "video_id"], "utt_idx", F.concat_ws(" ", "clip_name", "text"))
     return Dataset(decided, kept, rejected, utterance.statistics(decided, rejected), texts)

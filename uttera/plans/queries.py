@@ -268,7 +268,7 @@ def dataset_statistics(spark, sf):
 
 
 @query(f"""WITH RECURSIVE {D.SQL_RECORDING}, kept AS (SELECT *, printf('%s-%d-%04d', speaker, video_id, utt_idx) AS clip_name FROM utts WHERE (video_id, speaker, utt_idx) NOT IN (SELECT (video_id, speaker, utt_idx) FROM rejects)),
-parted AS (SELECT *, CASE WHEN row_number() OVER (PARTITION BY speaker ORDER BY video_id, utt_idx) <= floor(count(*) OVER (PARTITION BY speaker) * 0.9::DOUBLE) OR count(*) OVER (PARTITION BY speaker) - floor(count(*) OVER (PARTITION BY speaker) * 0.9::DOUBLE) < 1 THEN 'train' ELSE 'test' END AS split FROM kept)
+parted AS (SELECT *, CASE WHEN row_number() OVER (PARTITION BY speaker, video_id ORDER BY utt_idx) <= floor(count(*) OVER (PARTITION BY speaker, video_id) * 0.9::DOUBLE) OR count(*) OVER (PARTITION BY speaker, video_id) - floor(count(*) OVER (PARTITION BY speaker, video_id) * 0.9::DOUBLE) < 1 THEN 'train' ELSE 'test' END AS split FROM kept)
 SELECT split, speaker, video_id, CAST(count(*) AS INTEGER) AS n_lines, string_agg(clip_name || ' ' || text, chr(10) ORDER BY utt_idx) AS content FROM parted GROUP BY ALL""")
 def dataset_transcripts(spark, sf):
     """The whole plan from segments to the split transcripts of verified utterances."""
