@@ -7,6 +7,7 @@ import unicodedata
 from collections.abc import Iterator, Sequence
 from functools import reduce
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -92,6 +93,19 @@ def ratio(current: str, anchor: str) -> float:
     return difflib.SequenceMatcher(None, current, anchor).ratio()
 
 
+def levenshtein_text(a: str, b: str) -> float:
+    """``levenshtein_ratio`` of two Python strings, a row of the distance table at a time."""
+    if not a or not b:
+        return 1.0 if a == b else 0.0
+    x, y = (np.array([ord(c) for c in s]) for s in (a, b))
+    at = np.arange(len(y) + 1)
+    row = at.copy()
+    for k, c in enumerate(x):
+        step = np.minimum(row[1:] + 1, row[:-1] + (y != c))
+        row = np.minimum.accumulate(np.concatenate([[k + 1], step]) - at) + at
+    return 1.0 - int(row[-1]) / max(len(a), len(b))
+
+
 @F.pandas_udf(DoubleType())
 def matching_ratio(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     """``ratio`` of two columns, in Arrow batches; null if either is."""
