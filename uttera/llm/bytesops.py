@@ -23,19 +23,24 @@ _powers: list[np.ndarray] = []
 
 
 def keep_heap() -> None:
-    """Let glibc reuse freed arrays instead of returning them to the system page by page."""
+    """Let glibc reuse freed arrays instead of returning them to the system page by page; what an earlier task left behind goes back first."""
+    pa.default_memory_pool().release_unused()
     try:
         libc = ctypes.CDLL(None)
+        libc.malloc_trim(0)
         libc.mallopt(-3, 64 << 20)  # M_MMAP_THRESHOLD
-        libc.mallopt(-1, 256 << 20)  # M_TRIM_THRESHOLD
+        libc.mallopt(-1, 128 << 20)  # M_TRIM_THRESHOLD
     except (OSError, AttributeError):
         pass  # another C library: only slower
 
 
 def give_back() -> None:
     """Let glibc return freed arrays of a megabyte or more to the system at once: slower, but a worker holds no more than it uses."""
+    pa.default_memory_pool().release_unused()
     try:
-        ctypes.CDLL(None).mallopt(-3, 1 << 20)  # M_MMAP_THRESHOLD
+        libc = ctypes.CDLL(None)
+        libc.malloc_trim(0)
+        libc.mallopt(-3, 1 << 20)  # M_MMAP_THRESHOLD
     except (OSError, AttributeError):
         pass  # another C library: only larger
 
