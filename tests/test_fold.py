@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from uttera.functions.text import matching_decided, ratio
 from uttera.operators import utterance
 
 SCHEMA = "video_id long, seg_idx long, start_ms long, end_ms long, speaker string, text string, speaker_invalid boolean, text_invalid boolean, allowed boolean"
@@ -78,3 +79,36 @@ def test_a_video_of_one_stretch(spark):
         if new:
             news.append(i)
     assert [r.seg_idx for r in got.where("is_new").orderBy("seg_idx").collect()] == news
+
+
+def pairs():
+    rng = random.Random(9)
+    word = lambda k: "".join(rng.choice("ABCDE '9É") for _ in range(k))
+    out = [("", ""), ("A", ""), ("", "A"), ("tide", "diet"), ("diet", "tide")]
+    for _ in range(400):
+        a = word(rng.randint(0, 40))
+        b = rng.choice([word(rng.randint(0, 40)), a, a[: rng.randint(0, 40)] + word(3), word(4) + a, a.replace("A", "B"), a * 12, (a * 12)[:-1]])
+        out += [(a, b), (b, a)]
+    return out
+
+
+def test_bounds_decide_as_the_exact_similarity(spark):
+    """Where bounds speak they fall on the same side of both limits as the matching blocks."""
+    df = spark.createDataFrame(pairs(), "a string, b string").withColumn("r", matching_decided(F.col("a"), F.col("b"), 0.6))
+    side = lambda r: 0 if r <= 0.6 else 1 if r <= 1 - 1e-5 else 2
+    rows = df.collect()
+    assert all(r.r is None or side(r.r) == side(ratio(r.a, r.b)) for r in rows)
+    assert sum(r.r is not None for r in rows) > 0.5 * len(rows) and any(r.r is None for r in rows)
+
+
+@pytest.mark.parametrize("size", [2, 1024])
+def test_matching_equals_the_exact_fold(spark, monkeypatch, size):
+    monkeypatch.setattr(utterance, "PIECE", size)
+    rng = random.Random(4)
+    texts = ["LETS GO NOW", "LETS GO NO", "LETS GO NOW", "GO NOW LETS", "HELLO THERE", "TIDE AND DIET", "DIET AND TIDE", "", None, "X" * 250 + "Y", "X" * 250 + "ZY"]
+    rows = [(v, i, i, i + 1, rng.choice(["A"] * 9 + ["B", ""]), rng.choice(texts), rng.random() < 0.1, rng.random() < 0.1, rng.random() < 0.9) for v in (1, 2, 3) for i in range(50)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got, want = utterance.decide_matching(df).collect(), utterance.decide_exact(df).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+    share = utterance.decided_natively(df).first()
+    assert share.rows == 150 and 0 < share.matched_stretches < share.stretches and 0 < share.native < 150

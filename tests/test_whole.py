@@ -76,3 +76,8 @@ def test_alignment_lines_hold_every_word(spark, tmp_path):
     assert row.line == f'C-1-0000 ",{",".join(words).upper()}," "{",".join(ends)}"'
     (row,) = queries()["interval_array_repair"](spark, str(tmp_path)).collect()
     assert row.n == 72 and row.texts == "|" + "|".join(words) + "|" and row.ends_silent and row.total == pytest.approx(sum(map(float, ends)))
+
+
+def test_matching_fold_is_the_exact_fold(spark, sf):
+    both = [sorted(map(tuple, queries()[n](spark, sf).collect())) for n in ("utterance_fold_matching", "utterance_fold_ratio")]
+    assert both[0] == both[1] and both[0]

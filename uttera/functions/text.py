@@ -25,6 +25,9 @@ SPECIAL = {
 #: Confusions of letters that are put right last, in order.
 FIXES = (("L'M", "I'M"), ("L'D", "I'D"), ("T'M", "I'M"), ("T'D", "I'D"), ("DONT", "DON'T"))
 
+#: Characters that cleaned texts are made of.
+ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789 '"
+
 _SPACE = "[ \\t\\n\\x0B\\f\\r]+"
 
 
@@ -93,6 +96,29 @@ def ratio(current: str, anchor: str) -> float:
     return difflib.SequenceMatcher(None, current, anchor).ratio()
 
 
+def common_letters(a: Column, b: Column, alphabet: str = ALPHABET) -> Column:
+    """At least the size of the multiset of characters that two texts share: exact in ``alphabet``, the rest as if it were equal."""
+    count = lambda c, x: F.length(c) - F.length(F.replace(c, F.lit(x), F.lit("")))
+    rest = lambda c: F.length(F.translate(c, alphabet, ""))
+    return reduce(lambda n, x: n + F.least(count(a, x), count(b, x)), alphabet, F.least(rest(a), rest(b)))
+
+
+def matching_decided(current: Column, anchor: Column, threshold: float) -> Column:
+    """A stand-in for ``ratio`` that falls on the same side of ``threshold`` and of 1, or null where cheap bounds don't tell.
+
+    The matching blocks have at most the common letters of both texts. They have at least a common beginning or end of a text whose
+    anchor is under 200 characters (from there on the exact one leaves frequent characters out).
+    """
+    n, m = F.length(current), F.length(anchor)
+    total = n + m
+    ratio_of = lambda c: 2.0 * c / total
+    k = F.floor(total * threshold / 2).cast("int") + 1
+    long = (k <= F.least(n, m)) & (m < 200) & (total < 100_000)
+    shares = long & ((F.substring(current, F.lit(1), k) == F.substring(anchor, F.lit(1), k)) | (F.right(current, k) == F.right(anchor, k)))
+    most = F.when(ratio_of(F.least(n, m)) <= threshold, ratio_of(F.least(n, m))).when(~shares, ratio_of(common_letters(current, anchor)))
+    return F.when(current == anchor, F.lit(1.0)).when(shares, F.lit((1 + threshold) / 2)).when(most <= threshold, most)
+
+
 def levenshtein_text(a: str, b: str) -> float:
     """``levenshtein_ratio`` of two Python strings, a row of the distance table at a time."""
     if not a or not b:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from uttera.config import Params
-from uttera.functions.text import clip_name, levenshtein_ratio, ratio
+from uttera.functions.text import clip_name, levenshtein_ratio, matching_decided, ratio
 from uttera.operators.scan import Ordered
 from uttera.storage import written
 
@@ -46,32 +46,82 @@ def decide_native(obs: DataFrame, similarity: Callable[[Column, Column], Column]
     row may go on with a run: then the chunk is folded again with the state that the chunk before leaves, in rounds. A chunk
     without a new run hands on what it was given, so a run over any number of chunks is known to all of them after two rounds.
     """
+    return _decisions(_folded(obs, similarity, threshold, deviation)).drop("stretch", "undecided")
+
+
+def _folded(obs: DataFrame, similarity: Callable[[Column, Column], Column], threshold: float, deviation: float) -> DataFrame:
+    """Every row with its flags, the letter of its decision, its run and its stretch, from written chunks."""
     fold = _Chunks(similarity, threshold, deviation)
     chunks = written(fold.cut(Ordered(_input(obs), ["video_id"], ["seg_idx"]).rows), "chunks")
     state = fold.rounds(chunks)
-    new_before = F.coalesce(F.sum("n_new").over(Window.partitionBy("video_id").orderBy("piece", "cell").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    placed = state.select(*_CHUNK, "codes", new_before.alias("new_before"))
-    joined = chunks.select(*_CHUNK, "items").join(placed.select(F.col("video_id").alias("v"), *_CHUNK[1:], "codes", "new_before"), (F.col("video_id").eqNullSafe(F.col("v"))) & (chunks["piece"] == placed["piece"]) & (chunks["cell"] == placed["cell"]))
-    items = joined.select("video_id", "new_before", "codes", F.posexplode("items").alias("at", "item"))
-    code = F.expr("substring(codes, at + 1, 1)")
-    runs_so_far = F.col("new_before") + F.length(F.translate(F.expr("left(codes, at + 1)"), "SDd", ""))
-    each = items.select("video_id", F.col("item.speaker").alias("speaker"), F.col("item.text").alias("text"), code.alias("first_code"), (runs_so_far - 1).cast("long").alias("run_idx"), F.posexplode("item.rows").alias("k", "o"))
-    code = F.when(F.col("k") == 0, F.col("first_code")).otherwise(F.translate("first_code", "ND", "Sd"))
-    each = each.select("video_id", "speaker", "text", "run_idx", code.alias("code"), "o.*")
-    new, differs = F.col("code") == "N", F.upper("code") == "D"
+    earlier = Window.partitionBy("video_id").orderBy("piece", "cell").rowsBetween(Window.unboundedPreceding, -1)
+    so_far = lambda n: F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(n)
+    placed = state.select(F.col("video_id").alias("v"), *_CHUNK[1:], "codes", so_far("n_new"), so_far("n_hard"))
+    joined = chunks.select(*_CHUNK, "items").join(placed, (F.col("video_id").eqNullSafe(F.col("v"))) & (chunks["piece"] == placed["piece"]) & (chunks["cell"] == placed["cell"]))
+    items = joined.select("video_id", "n_new", "n_hard", "codes", F.posexplode("items").alias("at", "item"))
+    upto = F.expr("left(codes, at + 1)")
+    each = items.select(
+        "video_id", F.col("item.speaker").alias("speaker"), F.col("item.text").alias("text"), F.expr("substring(codes, at + 1, 1)").alias("first_code"),
+        (F.col("n_new") + _count(upto, _NEW) - 1).cast("long").alias("run_idx"), (F.col("n_hard") + _count(upto, "H")).cast("long").alias("stretch"), F.posexplode("item.rows").alias("k", "o"),
+    )
+    code = F.when(F.col("k") == 0, F.col("first_code")).otherwise(F.translate("first_code", "HND", "SSd"))
+    return each.select("video_id", "speaker", "text", "run_idx", "stretch", code.alias("code"), "o.*")
+
+
+def _decisions(each: DataFrame) -> DataFrame:
+    new, differs = F.col("code").isin(*_NEW), F.upper("code") == "D"
     bad = F.col("flaw") | differs
     num = lambda c: c.cast("int")
-    out = each.select(
+    return each.select(
         "video_id", F.col("seg_idx").cast("bigint").alias("seg_idx"), F.col("start_ms").cast("bigint").alias("start_ms"), F.col("end_ms").cast("bigint").alias("end_ms"), "speaker", "text", new.alias("is_new"), bad.alias("bad"),
         num(F.col("speaker") == "").alias("no_speaker"), num((F.col("text") == "") & ~F.col("d2")).alias("no_transcript"), num(F.col("code") == "D").alias("discrepancy"), num(F.col("banned")).alias("blacklisted"),
         (num(F.col("speaker_invalid")) + num(F.col("text_invalid") & ~F.col("d1"))).alias("cleaner"),
-        F.when(new & bad, "NEW_UTTERANCE_BAD").when(new, "NEW_UTTERANCE_GOOD").when(bad, "DROP_UTTERANCE").otherwise("SAME_UTTERANCE").alias("status"), "run_idx",
+        F.when(new & bad, "NEW_UTTERANCE_BAD").when(new, "NEW_UTTERANCE_GOOD").when(bad, "DROP_UTTERANCE").otherwise("SAME_UTTERANCE").alias("status"), "run_idx", "stretch", (F.col("code") == "U").alias("undecided"),
     )
-    return out
+
+
+def decide_matching(obs: DataFrame, threshold: float = P.similarity, deviation: float = P.deviation) -> DataFrame:
+    """The decisions of ``decide_exact``: bounds decide in the JVM, and only stretches with a pair that they leave open are matched in Python.
+
+    A stretch begins at a row that is new whatever came before it (no speaker, no text or another speaker), so it can be folded alone.
+    """
+    each = _folded(obs, lambda a, b: matching_decided(a, b, threshold), threshold, deviation)
+    open_ = each.where("code = 'U'").select(F.col("video_id").alias("v"), F.col("stretch").alias("s")).distinct()
+    same = F.col("video_id").eqNullSafe(F.col("v")) & (F.col("stretch") == F.col("s"))
+    native = _decisions(each.join(open_, same, "left_anti")).drop("run_idx", "stretch", "undecided")
+    rest = each.join(open_, same, "left_semi").withColumn("allowed", ~F.col("banned"))
+    columns = [c.split()[0] for c in DECIDED.split(", ")]
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at, fold = None, None
+        for pdf in frames:
+            out = []
+            for r in pdf.itertuples(index=False):
+                if fold is None or (r.video_id, r.stretch) != at:
+                    at, fold = (r.video_id, r.stretch), Fold(threshold=threshold, deviation=deviation)
+                out.append((r.video_id, r.seg_idx, r.start_ms, r.end_ms, r.speaker, r.text, *fold.step(r.speaker, r.text, r.speaker_invalid, r.text_invalid, r.allowed)))
+            yield pd.DataFrame(out, columns=["video_id", *columns])
+
+    rows = rest.select(F.col("video_id").cast("long"), "stretch", "seg_idx", "start_ms", "end_ms", "speaker", "text", "speaker_invalid", "text_invalid", "allowed")
+    matched = rows.repartition("video_id", "stretch").sortWithinPartitions("video_id", "stretch", "seg_idx").mapInPandas(run, f"video_id bigint, {DECIDED}")
+    return native.unionByName(matched)
+
+
+def decided_natively(obs: DataFrame, threshold: float = P.similarity, deviation: float = P.deviation) -> DataFrame:
+    """One row: how many rows there are, how many need a similarity and how many of their stretches' rows bounds decide."""
+    each = _folded(obs, lambda a, b: matching_decided(a, b, threshold), threshold, deviation)
+    open_ = each.groupBy("video_id", "stretch").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("code") == "U").alias("u"))
+    return open_.agg(F.sum("n").alias("rows"), F.sum(F.when(F.col("u") == 0, F.col("n")).otherwise(0)).alias("native"), F.count(F.lit(1)).alias("stretches"), F.count_if(F.col("u") > 0).alias("matched_stretches"))
 
 
 _CHUNK = ["video_id", "piece", "cell"]
-_STATE = "struct<sp:string,tx:string,drop:boolean>"
+_STATE = "struct<sp:string,tx:string,drop:boolean,unsure:boolean>"
+_NEW = "HN"
+
+
+def _count(codes: Column, which: str) -> Column:
+    """How many letters of a string of decisions are among ``which``."""
+    return F.length(F.translate(codes, "".join(x for x in "HNSDdU" if x not in which), ""))
 
 
 class _Chunks:
@@ -98,13 +148,14 @@ class _Chunks:
         return item.select(*_CHUNK, F.struct("item", "speaker", "text", "rows", flaws).alias("o")).groupBy(*_CHUNK).agg(listed("o").alias("items"))
 
     def fold(self, chunks: DataFrame) -> DataFrame:
-        """(..., codes, n_new, bad, out) of chunks with their items and a state ``given``, null where nothing came before.
+        """(..., codes, n_new, n_hard, bad, out) of chunks with their items and a state ``given``, null where nothing came before.
 
-        codes has a letter an item: N new, S same, D differs, d differs in a run that is dropped already. ``out`` is the state left behind.
+        codes has a letter an item: H new whatever came before, N new, S same, D differs, d differs in a run that is dropped already, U where a
+        similarity was null, and what follows up to the next H. ``out`` is the state left behind.
         """
         zero = F.struct(
             F.col("given.sp").alias("sp"), F.col("given.tx").alias("tx"), F.lit("").alias("before"), F.lit(0.0).cast("double").alias("r"), F.coalesce("given.drop", F.lit(False)).alias("drop"),
-            F.lit(False).alias("bad"), F.lit("").alias("codes"),
+            F.lit(False).alias("bad"), F.coalesce("given.unsure", F.lit(False)).alias("unsure"), F.lit("").alias("codes"),
         )
 
         def step(acc: Column, o: Column) -> Column:
@@ -113,19 +164,23 @@ class _Chunks:
             far = F.least(F.length(t), F.length(acc["tx"])) <= self.threshold * F.greatest(F.length(t), F.length(acc["tx"]))  # no similarity can exceed the ratio of lengths
             r = F.when(hard, F.lit(0.0)).when(t == acc["tx"], F.lit(1.0)).when(t == acc["before"], acc["r"]).when(far, F.lit(0.0)).otherwise(self.similarity(t, acc["tx"]))
             # bound by a lambda: each mention of the column would compute the similarity again
-            return F.get(F.transform(F.array(r), lambda r: decide(acc, o, t, r)), F.lit(0))
+            return F.get(F.transform(F.array(F.struct(hard.alias("hard"), r.alias("r"))), lambda x: decide(acc, o, t, x["hard"], x["r"])), F.lit(0))
 
-        def decide(acc: Column, o: Column, t: Column, r: Column) -> Column:
-            new = r <= self.threshold
-            differs = ~new & (r <= 1 - self.deviation)
-            code = F.when(new, "N").when(differs, F.when(acc["drop"], "d").otherwise("D")).otherwise("S")
+        def decide(acc: Column, o: Column, t: Column, hard: Column, r: Column) -> Column:
+            unsure = ~hard & (acc["unsure"] | r.isNull())
+            new = ~unsure & (r <= self.threshold)
+            differs = ~unsure & ~new & (r <= 1 - self.deviation)
+            code = F.when(hard, "H").when(unsure, "U").when(new, "N").when(differs, F.when(acc["drop"], "d").otherwise("D")).otherwise("S")
             return F.struct(
                 o["speaker"].alias("sp"), F.when(new, t).otherwise(acc["tx"]).alias("tx"), t.alias("before"), F.when(new, 1.0).otherwise(r).alias("r"), F.when(new, o["flaw"]).otherwise(acc["drop"] | o["flaw"] | differs).alias("drop"),
-                (acc["bad"] | o["flaw"] | differs).alias("bad"), F.concat(acc["codes"], code).alias("codes"),
+                (acc["bad"] | o["flaw"] | differs).alias("bad"), unsure.alias("unsure"), F.concat(acc["codes"], code).alias("codes"),
             )
 
         done = chunks.withColumn("end", F.aggregate("items", zero, step))
-        return done.select(*[c for c in chunks.columns if c != "items"], F.col("end.codes").alias("codes"), F.length(F.translate("end.codes", "SDd", "")).alias("n_new"), F.col("end.bad").alias("bad"), F.struct("end.sp", "end.tx", "end.drop").alias("out"))
+        codes = F.col("end.codes")
+        return done.select(
+            *[c for c in chunks.columns if c != "items"], codes.alias("codes"), _count(codes, _NEW).alias("n_new"), _count(codes, "H").alias("n_hard"), F.col("end.bad").alias("bad"), F.struct("end.sp", "end.tx", "end.drop", "end.unsure").alias("out")
+        )
 
     def rounds(self, chunks: DataFrame) -> DataFrame:
         """(video_id, piece, cell, codes, n_new, ...) of all chunks, each folded with what really comes before it."""
@@ -144,15 +199,16 @@ class _Chunks:
 
     @staticmethod
     def handed_on() -> Column:
-        """The state before each chunk: that of the last chunk with a new run, dropped if it was or if a chunk since then has a flaw."""
+        """The state before each chunk: that of the last chunk with a new run, dropped (or unsure) if it was or if a chunk since then has a flaw (or lost track)."""
         before = Window.partitionBy("video_id").orderBy("piece", "cell").rowsBetween(Window.unboundedPreceding, -1)
         changed = F.col("n_new") > 0
         last = F.last(F.when(changed, F.col("out")), True).over(before)
         place = F.struct("piece", "cell")
         since = F.max(F.when(changed, place)).over(before)
         bad_after = F.max(F.when(~changed & F.col("bad"), place)).over(before)
-        dropped = last["drop"] | F.coalesce(bad_after > since, F.lit(False))
-        return F.when(last.isNotNull(), F.struct(last["sp"].alias("sp"), last["tx"].alias("tx"), dropped.alias("drop")))
+        lost_after = F.max(F.when(~changed & F.col("out.unsure"), place)).over(before)
+        later = lambda x: F.coalesce(x > since, F.lit(False))
+        return F.when(last.isNotNull(), F.struct(last["sp"].alias("sp"), last["tx"].alias("tx"), (last["drop"] | later(bad_after)).alias("drop"), (last["unsure"] | later(lost_after)).alias("unsure")))
 
 
 class Fold:

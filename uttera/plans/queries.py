@@ -297,6 +297,12 @@ def utterance_fold_ratio(spark, sf):
     return utterance.utterances(utterance.decide_exact(D.observations(spark, sf)), flush_tail=True)
 
 
+@query()
+def utterance_fold_matching(spark, sf):
+    """``utterance_fold_ratio``, matched in Python only where bounds leave a stretch open."""
+    return utterance.utterances(utterance.decide_matching(D.observations(spark, sf)), flush_tail=True)
+
+
 @query("SELECT conv_id, CAST(count(*) AS INTEGER) AS n_lines, string_agg(concat_ws(' ', upper(role), replace(text, chr(10), ' ')), chr(10) ORDER BY turn) AS content FROM conversations GROUP BY conv_id")
 def ordered_transcript(spark, sf):
     return utterance.transcript_text(D.table(spark, sf, "conversations"), ["conv_id"], "turn", F.concat_ws(" ", F.upper("role"), F.replace("text", F.lit("\n"), F.lit(" "))))
