@@ -3,7 +3,7 @@
 ``register(spark)`` makes ``spark.read.format("wav_blocks").load(folder)`` known. A partition is a byte range of one file and owns the blocks that begin
 inside it, so a recording of any length is read by many tasks and none holds more than a block.
 
-Options: block (samples of a block), range_bytes (bytes of a partition), rate (the expected one), paths (a JSON list: no other file is opened), from_ms and to_ms
+Options: block (samples of a block), range_bytes (bytes of a partition), rate (the expected one), only_paths (a JSON list: no other file is opened), from_ms and to_ms
 (blocks that begin in [from_ms, to_ms) alone are read), on_error: ``fail`` (default) raises on another rate or a file that isn't 16-bit PCM, ``report`` gives
 such a file one row with its error and no samples. Paths and times are options and not pushed filters, as Spark 4.1 keeps what one query pushed for all later queries of
 the same DataFrame.
@@ -71,7 +71,7 @@ class WavReader(DataSourceReader):
         self.folder = options["path"]
         self.block, self.bytes = int(options.get("block", P.sample_rate)), int(options.get("range_bytes", 64 << 20))
         self.rate, self.report = int(options.get("rate", P.sample_rate)), options.get("on_error", "fail") == "report"
-        self.paths = set(json.loads(options["paths"])) if "paths" in options else None
+        self.paths = set(json.loads(options["only_paths"])) if "only_paths" in options else None
         self.since, self.until = int(options.get("from_ms", 0)), int(options["to_ms"]) if "to_ms" in options else None
 
     def partitions(self) -> list[Range]:
@@ -126,5 +126,5 @@ def read_blocks(spark: SparkSession, folder: str, paths: Sequence[str] | None =
     """(path, block, start_ms, channels, pcm, error) of the wav files at any depth of a folder, or of ``paths`` among them."""
     register(spark)
     if paths is not None:
-        options["paths"] = json.dumps(list(paths))
+        options["only_paths"] = json.dumps(list(paths))
     return spark.read.format("wav_blocks").options(**options).load(folder)
