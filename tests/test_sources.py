@@ -4,9 +4,11 @@ import wave
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from uttera.operators import utterance
 from uttera.sources import files
+from uttera.sources.named import write_files
 from uttera.streaming.fold import activity_sessions, decide_stream
 
 
@@ -24,6 +26,10 @@ def put(path, content):
         f.write(content)
 
 
+def tree(folder):
+    return {os.path.relpath(os.path.join(d, n), folder): open(os.path.join(d, n)).read() for d, _, names in os.walk(folder) for n in names}  # noqa: SIM115
+
+
 def test_video_listing(spark, tmp_path):
     for n in ("b Zestiria.mp4", "a VESPERIA.mp4", "c.mp4", "d.txt"):
         put(f"{tmp_path}/{n}", b"x")
@@ -38,25 +44,50 @@ def test_audio(spark, tmp_path):
     put(f"{tmp_path}/bad/b.wav", wav([1] * 8, 8000))
     with pytest.raises(Exception, match="Hz"):
         files.read_audio(spark, f"{tmp_path}/bad").collect()
-    audio = spark.createDataFrame([(1, wav([100] * 16 + [7] * 32))], "video_id long, content binary")
-    clips = spark.createDataFrame([(1, "c", -5, 2)], "video_id long, clip_name string, start_ms long, end_ms long")
-    with wave.open(io.BytesIO(bytes(files.export_clips(audio, clips).first().wav))) as w:
+    with wave.open(io.BytesIO(files.cut_audio(wav([100] * 16 + [7] * 32), -5, 2))) as w:
         assert w.getnframes() == 32
 
 
 def test_text_round_trip(spark, tmp_path):
     utts = spark.createDataFrame([(1, "A", 1, "A-1-0001", "Y Z"), (1, "A", 0, "A-1-0000", "X"), (2, "B", 0, "B-2-0000", "W")], "video_id long, speaker string, utt_idx int, clip_name string, text string")
     files.write_transcripts(utts, f"{tmp_path}/t")
-    rows = spark.read.text(f"{tmp_path}/t")
-    assert sorted(r.value for r in rows.collect()) == ["A-1-0000 X", "A-1-0001 Y Z", "B-2-0000 W"] and rows.where("speaker = 'A'").count() == 2
+    assert tree(f"{tmp_path}/t") == {"A/1/A-1.trans.txt": "A-1-0000 X\nA-1-0001 Y Z\n", "B/2/B-2.trans.txt": "B-2-0000 W\n"}
+    assert sorted(r.value for r in files.read_transcripts(spark, f"{tmp_path}/t").collect()) == ["A-1-0000 X", "A-1-0001 Y Z", "B-2-0000 W"]
     put(f"{tmp_path}/full/A/1/A-1.trans.txt", b"A-1-0000 X\n\nA-1-0001 Y Z\n")
     put(f"{tmp_path}/g/A/A-1-0000.TextGrid", b"item [1]:")
     assert files.read_transcripts(spark, f"{tmp_path}/full").count() == 3
     assert files.read_textgrids(spark, f"{tmp_path}/g").first().clip_name == "A-1-0000"
     files.write_clip_texts(utts, f"{tmp_path}/clips")
-    assert spark.read.text(f"{tmp_path}/clips").count() == 3
+    assert tree(f"{tmp_path}/clips") == {"A/1/A-1-0000.txt": "X", "A/1/A-1-0001.txt": "Y Z", "B/2/B-2-0000.txt": "W"}
+    files.write_clip_texts(utts.select("clip_name", "text"), f"{tmp_path}/flat")
+    assert set(tree(f"{tmp_path}/flat")) == {"A-1-0000.txt", "A-1-0001.txt", "B-2-0000.txt"}
+    files.write_clips(utts.selectExpr("speaker", "clip_name", "binary(text) as wav"), f"{tmp_path}/clips")
+    assert tree(f"{tmp_path}/clips")["B/B-2-0000.wav"] == "W"
     files.write_alignments(utts.selectExpr("speaker", "video_id", "clip_name as line"), f"{tmp_path}/al")
-    assert spark.read.text(f"{tmp_path}/al").count() == 3
+    assert tree(f"{tmp_path}/al") == {"A/1/A-1.alignment.txt": "A-1-0000\nA-1-0001\n", "B/2/B-2.alignment.txt": "B-2-0000\n"}
+
+
+def test_all_files_or_none(spark, tmp_path):
+    rows = spark.range(40, numPartitions=4).selectExpr("concat('d', id % 3, '/', id, '.txt') as name", "concat('text ', id) as content")
+    write_files(rows, f"{tmp_path}/out")
+    assert tree(f"{tmp_path}/out") == {f"d{k % 3}/{k}.txt": f"text {k}" for k in range(40)}
+    before = tree(f"{tmp_path}/out")
+
+    @F.udf("string")
+    def fails(name):
+        if name.endswith("/39.txt"):
+            raise RuntimeError("lost")
+        return "other"
+
+    for bad in (rows.withColumn("content", fails("name")), rows.limit(3), rows.withColumn("name", F.lit("same.txt")), rows.limit(2).withColumn("name", F.lit("../x")), rows.limit(1).withColumn("content", F.lit(None).cast("string")).withColumn("name", F.lit("n"))):
+        with pytest.raises(Exception, match="lost|exist|twice|not a name|null content"):
+            write_files(bad, f"{tmp_path}/out")
+        assert tree(f"{tmp_path}/out") == before and os.listdir(tmp_path) == ["out"]
+    write_files(rows.limit(3).withColumn("content", F.lit("new")), f"{tmp_path}/out", overwrite=True)
+    after = tree(f"{tmp_path}/out")
+    assert set(after) == set(before) and list(after.values()).count("new") == 3
+    write_files(rows.limit(0), f"{tmp_path}/none")
+    assert tree(f"{tmp_path}/none") == {}
 
 
 def test_saved_or_and_report(spark, tmp_path):

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from uttera.config import CATEGORIES, Params
 from uttera.functions.text import first_category, last_part, normal_path
 from uttera.operators.scan import Ordered
+from uttera.sources.named import write_files
 
 P = Params()
 
@@ -78,16 +79,6 @@ def cut_audio(content: bytes, start_ms: int, end_ms: int) -> bytes:
     return out.getvalue()
 
 
-def export_clips(audio: DataFrame, clips: DataFrame) -> DataFrame:
-    """(clip_name, wav): audio (video_id, content) joined with clips (video_id, clip_name, start_ms, end_ms)."""
-
-    @F.pandas_udf("binary")
-    def cut(content: pd.Series, start: pd.Series, end: pd.Series) -> pd.Series:
-        return pd.Series([cut_audio(c, int(a), int(b)) for c, a, b in zip(content, start, end, strict=True)])
-
-    return clips.join(audio, "video_id").select("clip_name", cut("content", "start_ms", "end_ms").alias("wav"))
-
-
 def extract_audio(videos: DataFrame, extract: Callable[[str], bytes], done: DataFrame | None = None) -> DataFrame:
     """(video_id, content) through an external extractor; videos already in ``done`` are left out."""
     todo = videos if done is None else videos.join(done.select("video_id"), "video_id", "left_anti")
@@ -122,20 +113,40 @@ def saved_or(spark: SparkSession, folder: str, make: Callable[[], DataFrame]) ->
     return spark.read.parquet(folder)
 
 
-def write_transcripts(utts: DataFrame, folder: str) -> None:
-    """Lines ``clip text`` in order, by speaker and video."""
-    lines = utts.select("speaker", "video_id", "utt_idx", F.concat_ws(" ", "clip_name", "text").alias("value"))
-    lines.repartition("speaker", "video_id").sortWithinPartitions("speaker", "video_id", "utt_idx").select("speaker", "video_id", "value").write.mode("overwrite").partitionBy("speaker", "video_id").text(folder)
+def _text_file(rows: DataFrame, keys: Sequence[str], order: str, line: Column, name: Column) -> DataFrame:
+    """(name, content): the lines of each key in order, each ended."""
+    held = rows.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), line.alias("line")))).alias("lines"))
+    return held.select(name.alias("name"), F.array_join(F.transform("lines", lambda x: F.concat(x["line"], F.lit("\n"))), "").alias("content"))
+
+
+def _directory(speaker: Column, video: Column, suffix: str) -> Column:
+    """SPEAKER/VID/SPEAKER-VID with a suffix."""
+    return F.concat_ws("/", speaker, video.cast("string"), F.concat(speaker, F.lit("-"), video.cast("string"), F.lit(suffix)))
+
+
+def write_transcripts(utts: DataFrame, folder: str, overwrite: bool = False) -> None:
+    """Lines ``clip text`` in order, one file a speaker and video: SPEAKER/VID/SPEAKER-VID.trans.txt. All files appear, or none."""
+    name = _directory(F.col("speaker"), F.col("video_id"), ".trans.txt")
+    write_files(_text_file(utts, ["speaker", "video_id"], "utt_idx", F.concat_ws(" ", "clip_name", "text"), name), folder, overwrite)
+
+
+def write_clip_texts(entries: DataFrame, folder: str, overwrite: bool = False) -> None:
+    """A text a clip, without a folder of its own: CLIP.txt, below the columns speaker and video_id if there are such. All files appear, or none."""
+    above = [F.col(c).cast("string") for c in ("speaker", "video_id") if c in entries.columns]
+    name = F.concat_ws("/", *above, F.concat("clip_name", F.lit(".txt")))
+    write_files(entries.select(name.alias("name"), F.coalesce("text", F.lit("")).alias("content")), folder, overwrite)
 
 
-def write_clip_texts(entries: DataFrame, folder: str) -> None:
-    """A text per clip, in a folder per clip name."""
-    entries.select("clip_name", F.col("text").alias("value")).write.mode("overwrite").partitionBy("clip_name").text(folder)
+def write_clips(clips: DataFrame, folder: str, overwrite: bool = False) -> None:
+    """Clips (clip_name, wav), and perhaps speaker and video_id, as CLIP.wav in the same places."""
+    above = [F.col(c).cast("string") for c in ("speaker", "video_id") if c in clips.columns]
+    write_files(clips.select(F.concat_ws("/", *above, F.concat("clip_name", F.lit(".wav"))).alias("name"), F.col("wav").alias("content")), folder, overwrite)
 
 
-def write_alignments(lines: DataFrame, folder: str) -> None:
-    rows = lines.repartition("speaker", "video_id").sortWithinPartitions("speaker", "video_id", "line")
-    rows.select("speaker", "video_id", F.col("line").alias("value")).write.mode("overwrite").partitionBy("speaker", "video_id").text(folder)
+def write_alignments(lines: DataFrame, folder: str, overwrite: bool = False) -> None:
+    """Alignment lines in order, one file a speaker and video: SPEAKER/VID/SPEAKER-VID.alignment.txt. All files appear, or none."""
+    name = _directory(F.col("speaker"), F.col("video_id"), ".alignment.txt")
+    write_files(_text_file(lines, ["speaker", "video_id"], "line", F.col("line"), name), folder, overwrite)
 
 
 #: Counters in the order in which they are reported.

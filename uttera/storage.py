@@ -31,28 +31,26 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(at)
 
 
-def _system(uri: str):
+def file_system(uri: str):
+    """The file system of a place, and its path there."""
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(uri)
+    if "://" in uri:
+        return fs.FileSystem.from_uri(uri)
+    return fs.LocalFileSystem(), uri.removeprefix("file:")
 
 
 def open_input(uri: str):
-    """A seekable file: a local path, or whatever pyarrow's file systems open."""
-    if "://" in uri:
-        system, path = _system(uri)
-        return system.open_input_file(path)
-    return open(uri[5:] if uri.startswith("file:") else uri, "rb")
+    """A seekable file."""
+    system, path = file_system(uri)
+    return system.open_input_file(path)
 
 
 def list_files(folder: str, suffix: str) -> list[tuple[str, int]]:
     """(path, bytes) of the files with a suffix at any depth, by path."""
     from pyarrow import fs
 
-    if "://" in folder:
-        system, at = _system(folder)
-        scheme = folder.split("://", 1)[0] + "://"
-    else:
-        system, at, scheme = fs.LocalFileSystem(), folder[5:] if folder.startswith("file:") else folder, ""
+    system, at = file_system(folder)
+    scheme = folder.split("://", 1)[0] + "://" if "://" in folder else ""
     found = system.get_file_info(fs.FileSelector(at, recursive=True))
     return sorted((scheme + f.path, f.size) for f in found if f.type == fs.FileType.File and f.path.endswith(suffix))
