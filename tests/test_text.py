@@ -8,7 +8,7 @@ from uttera.functions import text as T
 GOLDENS = [
     ("Vel|vet\n", None, "VELIVET", False), ("R-right, let's go!", None, "RRIGHT LET'S GO", True), ("*sigh* Fine.", None, "SIGH FINE", True), ("Well-known", None, "WELLKNOWN", True), ("Wait...what?!", None, "WAITWHAT", False),
     ("L'm sure you dont know", None, "I'M SURE YOU DON'T KNOW", False), ("1 think so", "zestiria", "I THINK SO", False), ("1 think so", "vesperia", "1 THINK SO", False), ("snake_case, 3.14", None, "SNAKECASE 314", False), ("  \n ", None, "", False),
-    ("Größe", None, "GROSSE", False), ("‘it’s’ “so”", None, "'IT'S' SO", False), (None, None, None, None),
+    ("Größe", None, "GROSSE", False), ("Щука, объём и соль", None, "SHCHUKA OBIOM I SOL'", False), ("Ψυχή θέλω Ώρα", None, "PSUKHE THELO ORA", False), ("Ἀθῆναι", None, "ATHENAI", False), ("Їжак - це Ґава", None, "YIZHAK TSE GAVA", False), ("日本 ok", None, "OK", False), ("‘it’s’ “so”", None, "'IT'S' SO", False), (None, None, None, None),
 ]
 
 

@@ -22,6 +22,12 @@ SPECIAL = {
     "‐": "-", "‑": "-", "‒": "-", "–": "-", "—": "--", "―": "--", "…": "...", "¡": "!", "¿": "?", " ": " ",
 }
 
+#: Letters of other scripts whose usual spelling does not follow from their names.
+_NAMED = {
+    "ALPHA": "a", "BETA": "b", "GAMMA": "g", "DELTA": "d", "EPSILON": "e", "ZETA": "z", "ETA": "e", "THETA": "th", "IOTA": "i", "KAPPA": "k", "LAMDA": "l", "MU": "m", "NU": "n", "XI": "x", "OMICRON": "o", "PI": "p", "RHO": "r", "SIGMA": "s", "FINAL SIGMA": "s", "TAU": "t", "UPSILON": "u", "PHI": "ph", "CHI": "kh", "PSI": "ps", "OMEGA": "o",
+    "GHE": "g", "GHE WITH UPTURN": "g", "IE": "e", "SHORT I": "i", "BYELORUSSIAN-UKRAINIAN I": "i", "UKRAINIAN IE": "e", "HA": "kh", "HARD SIGN": '"', "SOFT SIGN": "'", "YERU": "y", "YU": "iu", "YA": "ia", "SHCHA": "shch", "SHORT U": "u", "JE": "j", "TSHE": "ch",
+}
+
 #: Confusions of letters that are put right last, in order.
 FIXES = (("L'M", "I'M"), ("L'D", "I'D"), ("T'M", "I'M"), ("T'D", "I'D"), ("DONT", "DON'T"))
 
@@ -41,11 +47,43 @@ def _accents() -> tuple[str, str]:
 ACCENTED, PLAIN = _accents()
 
 
+def _letter(char: str) -> str | None:
+    """Greek or Cyrillic letter in ASCII, from its name: its consonants, or the whole name of a vowel; None for other characters."""
+    base = unicodedata.normalize("NFD", char)[0]
+    for c in (char, base):
+        script, _, rest = unicodedata.name(c, "").partition(" ")
+        size, _, name = rest.partition(" LETTER ")
+        if script in ("GREEK", "CYRILLIC") and size in ("CAPITAL", "SMALL") and name:
+            plain = _NAMED.get(name)
+            if plain is None and script == "CYRILLIC" and name.isalpha() and len(name) <= 4:
+                consonants = name.strip("AEIOUY")
+                plain = (consonants or name).lower()
+            if plain is not None:
+                return plain.capitalize() if size == "CAPITAL" else plain
+    return None
+
+
+def _scripts() -> dict[str, str]:
+    """Greek and Cyrillic letters, with marks too, and how they are written in ASCII."""
+    found = {chr(c): _letter(chr(c)) for c in [*range(0x370, 0x400), *range(0x400, 0x460), 0x490, 0x491, *range(0x1F00, 0x2000)]}
+    return {k: v for k, v in found.items() if v is not None}
+
+
+SCRIPTS = _scripts()
+#: Texts without a character of these ranges are left alone by the longer map.
+SCRIPT_RANGE = "[\\x{370}-\\x{4FF}\\x{1F00}-\\x{1FFF}]"
+
+
 def transliterate(c: Column) -> Column:
-    """Closest ASCII for Latin letters, quotes, dashes and the like; one translate and a replace for each longer form."""
-    single = {k: v for k, v in SPECIAL.items() if len(v) == 1}
-    c = F.translate(c, ACCENTED + "".join(single), PLAIN + "".join(single.values()))
-    return reduce(lambda x, kv: F.replace(x, F.lit(kv[0]), F.lit(kv[1])), [(k, v) for k, v in SPECIAL.items() if len(v) > 1], c)
+    """Closest ASCII for Latin, Greek and Cyrillic letters, quotes, dashes and the like; one translate and a replace for each longer form."""
+    c = F.when(c.rlike(SCRIPT_RANGE), _written(c, SCRIPTS)).otherwise(c)
+    return _written(c, {**dict(zip(ACCENTED, PLAIN, strict=True)), **SPECIAL})
+
+
+def _written(c: Column, letters: dict[str, str]) -> Column:
+    single = {k: v for k, v in letters.items() if len(v) == 1}
+    c = F.translate(c, "".join(single), "".join(single.values()))
+    return reduce(lambda x, kv: F.replace(x, F.lit(kv[0]), F.lit(kv[1])), [(k, v) for k, v in letters.items() if len(v) > 1], c)
 
 
 def has_star(c: Column) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from uttera.config import Params
+from uttera.operators.scan import Ordered
 
 P = Params()
 
@@ -49,6 +50,27 @@ def silence_ranges(samples: DataFrame, key: str, k: int, db: float) -> DataFrame
     return new.withColumn("silence_idx", F.sum("new").over(w) - 1).groupBy(key, "silence_idx").agg(F.min("idx").alias("start"), (F.max("idx") + k).alias("end"))
 
 
+def silence_ranges_in_blocks(samples: DataFrame, key: str, k: int, db: float, size: int = 1 << 16) -> DataFrame:
+    """``silence_ranges`` without a task for a whole signal.
+
+    The level comes from sums by key. Samples go to blocks of ``size``, and to the blocks before them whose last windows reach them (a halo of
+    ``k`` - 1 samples); each block finds its own stretches of quiet windows. Stretches, not samples, are then put in order (see ``scan``) and
+    joined where one begins within ``k`` of the end of the one before.
+    """
+    level = samples.groupBy(key).agg(F.count(F.lit(1)).alias("n"), (F.sqrt(F.avg(F.col("value") * F.col("value"))) * 10 ** (-db / 20)).alias("limit"))
+    first, own = F.floor(F.greatest(F.col("idx") - (k - 1), F.lit(0)) / size), F.floor(F.col("idx") / size)
+    dealt = samples.select(key, "idx", "value", F.explode(F.sequence(first, own)).alias("block"))
+    w = Window.partitionBy(key, "block").orderBy("idx")
+    rms = dealt.withColumn("rms", F.sqrt(F.avg(F.col("value") * F.col("value")).over(w.rowsBetween(0, k - 1)))).where(own == F.col("block"))
+    quiet = rms.join(level, key).where((F.col("idx") <= F.col("n") - k) & (F.col("rms") <= F.col("limit")))
+    new = F.coalesce((F.col("idx") > F.lag("idx").over(w) + k).cast("long"), F.lit(1))
+    parts = quiet.withColumn("new", new).withColumn("part", F.sum("new").over(w)).groupBy(key, "block", "part").agg(F.min("idx").alias("first"), F.max("idx").alias("last"))
+    stitched = Ordered(parts.select(key, "first", "last"), [key], ["first"]).scan(before={"before": F.col("last")})
+    begins = stitched.withColumn("new", F.coalesce((F.col("first") > F.col("before") + k).cast("long"), F.lit(1)))
+    numbered = Ordered(begins.select(key, "first", "last", "new"), [key], ["first"]).scan(sums={"number": F.col("new")})
+    return numbered.groupBy(key, (F.col("number") - 1).alias("silence_idx")).agg(F.min("first").alias("start"), (F.max("last") + k).alias("end"))
+
+
 def activity_segments(samples: DataFrame, key: str, k: int, db: float) -> DataFrame:
     """The complement of silence: (key, seg_idx, start, end). All silent gives none, nothing silent the whole."""
     silent = silence_ranges(samples, key, k, db)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from uttera.config import Params
@@ -275,9 +275,13 @@ def utterances(decided: DataFrame, flush_tail: bool = False) -> DataFrame:
     return kept.select("video_id", "speaker", "utt_idx", "start_ms", "end_ms", "text", clip_name(F.col("speaker"), F.col("video_id"), F.col("utt_idx")).alias("clip_name"))
 
 
+def _counted_runs(decided: DataFrame) -> DataFrame:
+    return runs(decided, F.count(F.lit(1)).alias("potential"), *[F.sum(c).alias(n) for c, n in COUNTERS.items()])
+
+
 def statistics(decided: DataFrame, rejected: DataFrame | None = None, flush_tail: bool = False) -> DataFrame:
     """The nine counters of each video in one pass, runs first; ``rejected`` (video_id, ...) are clips that verification took out."""
-    by_run = runs(decided, F.count(F.lit(1)).alias("potential"), *[F.sum(c).alias(n) for c, n in COUNTERS.items()])
+    by_run = _counted_runs(decided)
     ended = F.lit(flush_tail) | ~F.col("is_last")
     totals = [F.sum(n).cast("long").alias(n) for n in ("potential", *COUNTERS.values())]
     out = by_run.groupBy("video_id").agg(*totals, F.count_if(ended & ~F.col("dropped")).alias("emitted"), F.count_if(ended & F.col("dropped")).alias("lost"))
@@ -289,6 +293,21 @@ def statistics(decided: DataFrame, rejected: DataFrame | None = None, flush_tail
     return out.select("video_id", "potential", (z("emitted") - z("failed")).alias("successful"), (z("lost") + z("failed")).alias("total_dropped"), "cleaner", "no_speaker", "no_transcript", "discrepancies", "blacklisted", z("failed").alias("verification_failed"))
 
 
+def save_runs(decided: DataFrame, folder: str, flush_tail: bool = False) -> dict[str, int]:
+    """Writes the runs with their counters as Parquet and returns the totals, observed while they are written: no second pass."""
+    by_run = _counted_runs(decided)
+    ended = F.lit(flush_tail) | ~F.col("is_last")
+    seen = Observation("fold")
+    totals = [F.coalesce(F.sum(n), F.lit(0)).cast("long").alias(n) for n in ("potential", *COUNTERS.values())]
+    by_run.observe(seen, *totals, F.count_if(ended & ~F.col("dropped")).alias("successful"), F.count_if(ended & F.col("dropped")).alias("total_dropped")).write.mode("overwrite").parquet(folder)
+    return dict(seen.get)
+
+
+def summary(totals: dict[str, int]) -> str:
+    """Totals as lines of text, in the order of the counters."""
+    return "\n".join(f"{n}: {totals[n]}" for n in ("potential", "successful", "total_dropped", *COUNTERS.values()))
+
+
 def islands(rows: DataFrame, key: str, order: list[str], value: str) -> DataFrame:
     """Run-length islands of equal values: (key, island, value, n, first, last) with first and last of ``order[-1]``."""
     w = Window.partitionBy(key).orderBy(*order)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from uttera.functions.text import ACCENTED, FIXES, PLAIN, SPECIAL, transliterate
+from uttera.functions.text import ACCENTED, FIXES, PLAIN, SCRIPT_RANGE, SCRIPTS, SPECIAL, transliterate
 from uttera.operators.utterance import with_allowed
 
 
@@ -24,15 +24,20 @@ def q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-def sql_transliterate(c: str) -> str:
-    single = {k: v for k, v in SPECIAL.items() if len(v) == 1}
-    c = f"translate({c}, {q(ACCENTED + ''.join(single))}, {q(PLAIN + ''.join(single.values()))})"
-    for k, v in SPECIAL.items():
+def _sql_written(c: str, letters: dict[str, str]) -> str:
+    single = {k: v for k, v in letters.items() if len(v) == 1}
+    c = f"translate({c}, {q(''.join(single))}, {q(''.join(single.values()))})"
+    for k, v in letters.items():
         if len(v) > 1:
             c = f"replace({c}, {q(k)}, {q(v)})"
     return c
 
 
+def sql_transliterate(c: str) -> str:
+    c = f"CASE WHEN regexp_matches({c}, '{SCRIPT_RANGE}') THEN {_sql_written(c, SCRIPTS)} ELSE {c} END"
+    return _sql_written(c, {**dict(zip(ACCENTED, PLAIN, strict=True)), **SPECIAL})
+
+
 def sql_clean(c: str, category: str | None = None) -> str:
     c = f"replace(replace({c}, '|', 'I'), chr(10), ' ')"
     c = f"regexp_replace({sql_transliterate(c)}, '[,!?|]', '.', 'g')"

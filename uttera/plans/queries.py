@@ -44,6 +44,17 @@ def clean_text_documents(spark, sf):
     return D.spread(D.table(spark, sf, "documents").select("doc_id", "text")).select("doc_id", T.clean_text(F.col("text"), category).alias("clean"))
 
 
+#: Letters of the same sound, to write given texts in other scripts.
+_LATIN, _CYRILLIC, _GREEK = "abvgdzijklmnoprstufhcyeABVGDZ", "абвгджийклмнопрстуфхцыяЩЮЬЪЁЖ", "αβγδεζηθικλμνξοπρςστυφψΩΆΐΘΧ "
+
+
+@query(f"SELECT doc_id, {D.sql_clean('text')} AS clean FROM (SELECT doc_id, CASE doc_id % 3 WHEN 1 THEN translate(text, '{_LATIN}', '{_CYRILLIC}') WHEN 2 THEN translate(text, '{_LATIN}', '{_GREEK}') ELSE text END AS text FROM documents)")
+def clean_text_scripts(spark, sf):
+    """Documents written in Cyrillic and Greek letters, cleaned."""
+    script = F.when(F.col("doc_id") % 3 == 1, F.translate("text", _LATIN, _CYRILLIC)).when(F.col("doc_id") % 3 == 2, F.translate("text", _LATIN, _GREEK)).otherwise(F.col("text"))
+    return D.spread(D.table(spark, sf, "documents").select("doc_id", script.alias("text"))).select("doc_id", T.clean_text(F.col("text")).alias("clean"))
+
+
 @query(f"SELECT conv_id, turn, {D.sql_clean('role')} AS speaker, {D.sql_clean('text')} AS clean FROM conversations")
 def clean_text_conversations(spark, sf):
     return D.table(spark, sf, "conversations").select("conv_id", "turn", T.clean_text(F.col("role")).alias("speaker"), T.clean_text(F.col("text")).alias("clean"))
@@ -157,6 +168,12 @@ def silence_islands(spark, sf):
     return intervals.silence_ranges(D.samples(spark, sf), "user_id", 4, 3.0)
 
 
+@query(_SQL["silence_islands"])
+def silence_blocks(spark, sf):
+    """Silence found in blocks of 64 samples that are stitched."""
+    return intervals.silence_ranges_in_blocks(D.samples(spark, sf), "user_id", 4, 3.0, 64)
+
+
 @query(f"""WITH {_SQL_SILENCE}, ends AS (SELECT user_id, s, e FROM silence UNION ALL SELECT user_id, count(*), count(*) FROM samples GROUP BY user_id),
 gaps AS (SELECT user_id, coalesce(max(e) OVER (PARTITION BY user_id ORDER BY e, s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS a, s AS b FROM ends)
 SELECT user_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY a) - 1 AS INTEGER) AS seg_idx, a AS "start", b AS "end" FROM gaps WHERE a < b""")
