@@ -140,7 +140,8 @@ def fit(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> tuple[list[str], np.nd
     able = docs.where(~held_out() & F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").rlike("\\p{L}")).select("doc_id", "lang")
     sample = able.orderBy(F.xxhash64("doc_id"), "doc_id", "lang").limit(train_rows)
     texts = docs.select("doc_id", "lang", "text").join(F.broadcast(sample), ["doc_id", "lang"], "left_semi")  # train_rows bounds the broadcast
-    got = texts.mapInArrow(packed_rows, "doc_id long, lang string, packed binary").toPandas().sort_values(["doc_id", "lang"])
+    one = texts.mapInArrow(packed_rows, "doc_id long, lang string, packed binary").groupBy("doc_id", "lang").agg(F.min("packed").alias("packed"))  # one of several texts, always the same
+    got = one.toPandas().sort_values(["doc_id", "lang"])
     rows, langs = [], []
     for lang, p in zip(got["lang"], got["packed"], strict=True):
         n = len(p) // 4
