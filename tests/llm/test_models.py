@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -135,7 +136,7 @@ def test_toxic_found_in_each_language(spark):
     rows = out.mapInArrow(quality.judge(weights), "doc_id long, text string" + quality.JUDGED).where("not base_failed").join(docs.select("doc_id", "lang"), "doc_id").join(labels, "doc_id")
     found = {r.lang: r.f for r in rows.where("toxic = 1").groupBy("lang").agg(F.avg((F.col("toxic_score") >= quality.MAX_TOXIC).cast("double")).alias("f")).collect()}
     kept = {r.lang: r.k for r in rows.where("toxic = 0 and quality = 1").groupBy("lang").agg(F.avg(F.col("kept").cast("double")).alias("k")).collect()}
-    assert found["en"] > 0.85 and found["fr"] > 0.85 and found["de"] > 0.6 and found["es"] > 0.35, found
+    assert min(found.values()) >= 0.9 and set(found) == {"de", "en", "es", "fr"}, found
     assert min(kept.values()) > 0.95, kept
 
 
@@ -178,3 +179,50 @@ def test_registry():
     names = queries()
     assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10 and "pipeline" in names
     assert set(oracle_sql()) <= set(names)
+
+
+def test_language_trains_on_one_text_of_a_repeated_id(spark):
+    rows = [(k, f"palabra{k} del texto numero {k}" if k % 2 else f"words of the text number {k}", "es" if k % 2 else "en") for k in range(60)]
+    once = language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    twice = language.fit(spark.createDataFrame(rows + [(k, t + " z", x) for k, t, x in rows[:20]] * 3 + rows, "doc_id long, text string, lang string"))
+    again = language.fit(spark.createDataFrame(rows[::-1] + [(k, t + " z", x) for k, t, x in rows[:20]], "doc_id long, text string, lang string"))
+    assert once[0] == twice[0] == ["en", "es"] and (twice[1] == again[1]).all() and twice[1].shape == once[1].shape
+
+
+def test_logistic_gradient_and_calibration():
+    """The loss falls, its finite differences are the gradient that the fit follows, and Platt's line beats its neighbours on a grid."""
+    rng = np.random.default_rng(0)
+    y = (np.arange(60) % 3 == 0).astype(float)
+    rows = []
+    for label in y:
+        idx = np.unique(np.concatenate([rng.integers(0, 40, 6), rng.integers(100, 106, 2) + 10 * int(label)])).astype(np.int32)
+        rows.append((idx, np.ones(len(idx), np.float16)))
+    share = np.where(y > 0, 0.5 / y.sum(), 0.5 / (1 - y).sum())
+    loss = lambda w: float((share * np.logaddexp(0, np.where(y > 0, -1, 1) * quality.linear(w.astype(np.float64), rows))).sum())
+    few, many = (quality.logistic(rows, y, steps=n, caution=0.0) for n in (1, 200))
+    assert loss(many) < loss(few) < np.log(2)
+    w, used = many.astype(np.float64), np.flatnonzero(many)[:-1]
+    slopes = [(loss(w + 1e-4 * (np.arange(len(w)) == k)) - loss(w - 1e-4 * (np.arange(len(w)) == k))) / 2e-4 for k in used[:10]]
+    z = quality.linear(w, rows)
+    p = 1 / (1 + np.exp(-z))
+    by_hand = [sum(share[r] * (p[r] - y[r]) for r, (idx, _) in enumerate(rows) if k in idx) for k in used[:10]]
+    assert slopes == pytest.approx(by_hand, abs=1e-6)
+    z = np.concatenate([rng.normal(1, 2, 200), rng.normal(-1, 2, 300)])
+    t = np.concatenate([np.ones(200), np.zeros(300)])
+    a, b = quality.platt(z, t)
+    target = np.where(t > 0, 201 / 202, 1 / 302)
+    cost = lambda a, b: float((np.logaddexp(0, a * z + b) - target * (a * z + b)).sum())
+    assert all(cost(a, b) <= cost(a + da, b + db) for da in (-0.05, 0, 0.05) for db in (-0.05, 0, 0.05))
+
+
+def test_folds_in_tasks_equal_folds_in_place(spark):
+    docs, labels = spark.read.parquet("/root/testdata/sf0.001/documents.parquet"), spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    texts = docs.join(labels, "doc_id").select("doc_id", "text", "quality").orderBy("doc_id")
+    packed = texts.select("doc_id", "text").mapInArrow(quality.sparse_rows, "doc_id long, packed binary").toPandas().sort_values("doc_id")["packed"].tolist()
+    sample = quality.Sample(packed, [texts.toPandas()["quality"].to_numpy(float)])
+    shared = spark.sparkContext.broadcast(sample)
+    got = quality.fitted(spark, shared, [(0, 1, 0), (0, 1, -1)])
+    for job, (at, value) in got.items():
+        want = sample.fit(*job)
+        assert (at == want[0]).all() and (value == want[1]).all()
+    assert max(len(p) for p in packed) <= 6 * quality.MOST_FEATURES

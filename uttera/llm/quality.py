@@ -1,10 +1,10 @@
 """Quality rules: base counts plus hashed n-gram logistic regressions, scored in Arrow batches.
 
-Two linear models share one hashed feature space of word unigrams, word bigrams and character
-4-grams: one is trained on the label ``quality``, one on ``toxic``. Both are fitted by full-batch
+Two linear models share one hashed feature space of word unigrams, word bigrams, character
+4-grams and the first ``PREFIX`` bytes of words (inflected families of words have no frequent member, but a common beginning): one is trained on the label ``quality``, one on ``toxic``. Both are fitted by full-batch
 adaptive gradient steps on a bounded sample of labelled rows (``TRAIN_ROWS``, the smallest hashes
 of doc_id, so the choice does not depend on input order). How much evidence a feature needs is
-chosen for each model by cross-validation (``CAUTIONS``), whose scores of left-out rows also give
+chosen for each model by cross-validation (``CAUTIONS``), a task a fold, whose scores of left-out rows also give
 the Platt calibration. A document is kept if it passes the base rules, its calibrated quality is
 at least ``MIN_QUALITY`` and its calibrated toxicity below ``MAX_TOXIC``.
 
@@ -29,8 +29,11 @@ from uttera.llm.columns import shielded
 
 TRAIN_ROWS = 4000
 BITS = 18
+PREFIX = 6  # bytes of a word's beginning
 CAUTIONS = (4.0, 3.0, 2.0, 1.0, 0.0)  # tried in this order until the loss grows
 FOLDS = 4
+WAVES = ((0, 1, 2), (3,), (4,))  # numbers of the cautions that are tried at once
+MOST_FEATURES = 20_000  # distinct features of a training row that count: those that it has most often
 CHUNK = 500_000  # features that a training step looks at at once
 MIN_QUALITY = 0.5
 MAX_TOXIC = 0.3
@@ -76,7 +79,7 @@ def base_counts(data: np.ndarray, off: np.ndarray) -> dict[str, np.ndarray]:
 
 
 def features(data: np.ndarray, off: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Hashed features of each row as (indices, bounds): word unigrams, word bigrams, character 4-grams."""
+    """Hashed features of each row as (indices, bounds): word unigrams, word bigrams, character 4-grams, beginnings of words."""
     low = B.LOWER[data]
     starts, ends, bounds = B.words(low, off, B.ALNUM_WORD)
     h = B.range_hash(B.prefix_hash(low), starts, ends)
@@ -93,6 +96,9 @@ def features(data: np.ndarray, off: np.ndarray) -> list[tuple[np.ndarray, np.nda
     char_bounds = np.concatenate([[0], np.cumsum(counts)])
     keep = np.repeat(off[:-1] - char_bounds[:-1], counts) + np.arange(char_bounds[-1])
     groups.append((idx[keep], char_bounds))
+    long = ends - starts >= PREFIX
+    stems = B.range_hash(B.prefix_hash(low), starts[long], starts[long] + PREFIX)
+    groups.append((((stems * _U(0x165667B19E3779F9)) >> down).astype(np.int32), np.searchsorted(np.flatnonzero(long), bounds)))
     return groups
 
 
@@ -118,7 +124,11 @@ def sparse_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packed = []
         for r in range(rows.num_rows):
             part = [(u, c * scale(b[r + 1 : r + 2] - b[r])[0]) for idx, b in groups for u, c in [np.unique(idx[b[r] : b[r + 1]], return_counts=True)]]
-            packed.append(np.concatenate([p[0] for p in part]).astype(np.int32).tobytes() + np.concatenate([p[1] for p in part]).astype(np.float16).tobytes())
+            idx, value = np.concatenate([p[0] for p in part]).astype(np.int32), np.concatenate([p[1] for p in part]).astype(np.float16)
+            if len(idx) > MOST_FEATURES:  # bounds what a long text can add to the sample
+                top = np.sort(np.argsort(-value, kind="stable")[:MOST_FEATURES])
+                idx, value = idx[top], value[top]
+            packed.append(idx.tobytes() + value.tobytes())
         yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(packed, pa.binary())], ["doc_id", "packed"])
 
 
@@ -186,57 +196,112 @@ def linear(w: np.ndarray, rows: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarr
     return np.array([(w[i] * v.astype(np.float32)).sum() + w[-1] for i, v in rows])
 
 
-def validate(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray) -> tuple[float, float, float]:
-    """The caution of least calibrated log loss on rows left out in turn, and the slope and offset there.
-
-    If a class has fewer rows than there are folds, the first caution, uncalibrated.
-    """
+def folds_of(y: np.ndarray) -> np.ndarray | None:
+    """The fold of each row, classes spread evenly; None if a class has fewer rows than there are folds."""
     fold = np.zeros(len(y), np.int64)
     for label in (0, 1):
         of = np.flatnonzero(y == label)
         if len(of) < FOLDS:
-            return CAUTIONS[0], 1.0, 0.0
+            return None
         fold[of] = np.arange(len(of)) % FOLDS
-    best, least = (CAUTIONS[0], 1.0, 0.0), np.inf
-    for caution in CAUTIONS:
-        z = np.zeros(len(y))
-        for f in range(FOLDS):
-            rest, out = np.flatnonzero(fold != f), np.flatnonzero(fold == f)
-            z[out] = linear(logistic([rows[i] for i in rest], y[rest], caution=caution), [rows[i] for i in out])
-        a, b = platt(z, y)
-        loss = np.logaddexp(0, np.where(y > 0, -1, 1) * (a * z + b)).mean()
-        if not loss < least:
-            break
-        best, least = (caution, a, b), loss
+    return fold
+
+
+class Sample:
+    """The training rows, packed, and the labels of each model: sent to the tasks that fit."""
+
+    def __init__(self, packed: list[bytes], labels: list[np.ndarray]):
+        self.packed = packed
+        self.known = [np.flatnonzero(np.isfinite(y)) for y in labels]
+        self.y = [(y[k] >= 0.5).astype(np.float64) for y, k in zip(labels, self.known, strict=True)]
+
+    def rows(self, model: int, which: np.ndarray | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+        out = []
+        for i in self.known[model] if which is None else self.known[model][which]:
+            p = self.packed[i]
+            n = len(p) // 6
+            out.append((np.frombuffer(p, np.int32, n), np.frombuffer(p, np.float16, n, 4 * n)))
+        return out
+
+    def fit(self, model: int, caution: int, fold: int) -> tuple[np.ndarray, np.ndarray]:
+        """Scores of the rows of a fold under a model of the others, as (rows, scores); without a fold (-1) the weights, as (places, weights)."""
+        y = self.y[model]
+        if fold < 0:
+            w = logistic(self.rows(model), y, caution=CAUTIONS[caution])
+            used = np.flatnonzero(w)
+            return used, w[used].astype(np.float64)
+        of = folds_of(y)
+        rest, out = np.flatnonzero(of != fold), np.flatnonzero(of == fold)
+        w = logistic(self.rows(model, rest), y[rest], caution=CAUTIONS[caution])
+        return out, linear(w, self.rows(model, out)).astype(np.float64)
+
+
+def fitted(spark: SparkSession, shared, jobs: list[tuple[int, int, int]]) -> dict[tuple[int, int, int], tuple[np.ndarray, np.ndarray]]:
+    """The results of ``Sample.fit`` for (model, caution, fold), a task each. shared: a broadcast sample."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for job in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                at, value = shared.value.fit(*job)
+                yield pa.RecordBatch.from_arrays([*(pa.array([k], pa.int32()) for k in job), pa.array([at.astype(np.int64).tobytes()]), pa.array([value.tobytes()])], ["model", "caution", "fold", "at", "value"])
+
+    todo = spark.createDataFrame(spark.sparkContext.parallelize(jobs, max(len(jobs), 1)), "model int, caution int, fold int")
+    got = todo.mapInArrow(run, "model int, caution int, fold int, at binary, value binary").collect()
+    return {(r.model, r.caution, r.fold): (np.frombuffer(r.at, np.int64), np.frombuffer(r.value)) for r in got}
+
+
+def validate(spark: SparkSession, sample: Sample, shared) -> list[tuple[int, float, float]]:
+    """For each model the caution (its number) of least calibrated log loss on rows left out in turn, and the slope and offset there.
+
+    Cautions are tried in waves, each fold a task, and count in their order until the loss grows. If a class has fewer rows than there
+    are folds, the first caution, uncalibrated.
+    """
+    best = [(0, 1.0, 0.0)] * len(sample.y)
+    least, todo = [np.inf] * len(best), [folds_of(y) is not None for y in sample.y]
+    for wave in WAVES:
+        got = fitted(spark, shared, [(m, c, f) for m, ok in enumerate(todo) if ok for c in wave for f in range(FOLDS)]) if any(todo) else {}
+        for m, y in enumerate(sample.y):
+            for c in wave if todo[m] else ():
+                z = np.zeros(len(y))
+                for f in range(FOLDS):
+                    out, values = got[m, c, f]
+                    z[out] = values
+                a, b = platt(z, y)
+                loss = np.logaddexp(0, np.where(y > 0, -1, 1) * (a * z + b)).mean()
+                if not loss < least[m]:
+                    todo[m] = False
+                    break
+                best[m], least[m] = (c, a, b), loss
     return best
 
 
 def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> np.ndarray:
-    """Calibrated weights (2**BITS + 1, 2) of the quality and toxicity models."""
-    neutral = np.zeros(((1 << BITS) + 1, 2), np.float32)
-    neutral[-1] = 5.0, -5.0
+    """Calibrated weights (2**BITS + 1, 2) of the quality and toxicity models, fitted in tasks."""
+    out = np.zeros(((1 << BITS) + 1, 2), np.float32)
+    out[-1] = 5.0, -5.0
+    spark = docs.sparkSession
     marked = labels.where("doc_id is not null").groupBy("doc_id").agg(F.avg("quality").alias("quality"), F.avg("toxic").alias("toxic"))
     sample = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_rows)
     texts = docs.select("doc_id", "text").join(F.broadcast(sample.select("doc_id")), "doc_id", "left_semi")  # train_rows bounds the broadcast
     packed = texts.mapInArrow(sparse_rows, "doc_id long, packed binary").groupBy("doc_id").agg(F.min("packed").alias("packed")).toPandas()  # one of several texts, always the same
     truth = sample.toPandas().set_index("doc_id")
     packed = packed.sort_values("doc_id")
-    rows = []
-    for p in packed["packed"]:
-        n = len(p) // 6
-        rows.append((np.frombuffer(p, np.int32, n), np.frombuffer(p, np.float16, n, 4 * n)))
-    out = neutral.copy()
-    for m, name in enumerate(("quality", "toxic")):
-        y = truth[name].reindex(packed["doc_id"]).to_numpy(float) if len(rows) else np.zeros(0)
-        known = np.flatnonzero(np.isfinite(y))
-        y = (y[known] >= 0.5).astype(np.float64)
-        if not (0 < y.sum() < len(y)):
-            continue
-        learn = [rows[i] for i in known]
-        caution, a, b = validate(learn, y)
-        w = logistic(learn, y, caution=caution)
-        out[:, m] = w * a
-        out[-1, m] += b
+    if not len(packed):
+        return out
+    learn = Sample(packed["packed"].tolist(), [truth[name].reindex(packed["doc_id"]).to_numpy(float) for name in ("quality", "toxic")])
+    del packed
+    shared = spark.sparkContext.broadcast(learn)  # the packed sample: train_rows of at most MOST_FEATURES features
+    try:
+        able = [m for m, y in enumerate(learn.y) if 0 < y.sum() < len(y)]
+        best = validate(spark, learn, shared)
+        for (m, _, _), (at, w) in fitted(spark, shared, [(m, best[m][0], -1) for m in able]).items():
+            _, a, b = best[m]
+            out[:, m] = 0
+            out[at, m] = w.astype(np.float32)
+            out[:, m] *= a
+            out[-1, m] += b
+    finally:
+        shared.destroy()
     return out
 
 
