@@ -72,6 +72,23 @@ def test_suffix_dedup_query(spark):
     assert sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == [r[:5] for r in kept_by_brute_force(rows)]
 
 
+def test_shared_lines_do_not_fill_a_bucket():
+    """What a block sends of a line does not grow with the documents that have it, nor with the places in a document of one letter."""
+
+    def sent(texts):
+        table = pa.table({"doc_id": pa.array(range(len(texts)), pa.int64()), "text": texts, "block": pa.array([0] * len(texts), pa.int64())})
+        anchors = substrings.send_anchors(3)(table)
+        answers = [substrings.answer_anchors(anchors.slice(k, 1)) for k in range(anchors.num_rows)]
+        rows = substrings.send_contexts(3, 2)(table, pa.concat_tables(answers))
+        sizes = [len(x) for x in rows.column("payload").to_pylist()]
+        return sum(n for b, n in zip(rows.column("bucket").to_pylist(), sizes, strict=True) if b < 6), sum(sizes)
+
+    line = "a line of boilerplate that very many documents have in common, word by word"
+    few, many = (sent([line] * n) for n in (100, 1000))
+    assert many[0] == few[0] < 1_000 < many[1]
+    assert sent(["x" * 100_000] * 2)[0] < 200
+
+
 def test_filters_lose_no_row(spark, monkeypatch):
     rows = spark.range(2000).selectExpr("if(id % 50 = 7, null, id) as key", "id as own")
     keys = spark.range(0, 2000, 3).selectExpr("id as key")

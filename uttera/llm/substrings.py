@@ -8,14 +8,14 @@ A. Documents are dealt to blocks of about ``BLOCK_BYTES``. A block sends 40 bits
    once to hash buckets, however many documents have it; a bucket answers with one bit for each: whether another
    document may have the same anchor.
 B. For the anchors that repeat, a block sends the bytes of all strings that chose it (their
-   *context*, under 2 * LENGTH bytes), equal contexts once, to the bucket. There the contexts are
+   *context*, under 2 * LENGTH bytes), equal contexts once with the least doc_id that has them, to the bucket, however often the block has them. There the contexts are
    sorted into a suffix array (prefix doubling from packed 8-byte keys), and their
    longest-previous-factor array is read off it: the common prefix with the previous or next smaller
    document in suffix order, whichever is longer. A string with a factor of ``LENGTH`` or more repeats an earlier document.
-C. The answers, a bit for each string, go back to the blocks, which mark, count and cut the bytes.
+C. The answers, a bit for each string of a context, go back to the blocks, which know where their contexts stand and mark, count and cut the bytes.
 
-Contexts are told apart by 64-bit hashes. Hot groups: copies in a block are sent once, so an anchor or context that a third of all documents share
-comes to its bucket once a block. Payloads travel through ``exchange``, so rows grow with the bytes, not with
+Contexts are told apart by 64-bit hashes. Hot groups: what a block sends of an anchor or context does not grow with the documents or places that have it, so
+one that a third of all documents share comes to its bucket once a block. Payloads travel through ``exchange``, so rows grow with the bytes, not with
 blocks times buckets. Nothing is collected on the driver.
 
 Defined results: null text is empty; texts shorter than ``LENGTH`` are kept whole; rows with equal
@@ -194,24 +194,29 @@ def send_contexts(buckets: int, parts: int):
             lo, hi = np.searchsorted(row, [a, b])
             s = first[lo:hi] - block.off[a]
             key[lo:hi] = B.range_hash(B.prefix_hash(data), s, s + size[lo:hi])
-        order = np.lexsort((row, key, owner))
+        order = np.lexsort((block.ids[row], key, owner))
         k, o = key[order], owner[order]
         new = np.concatenate([[True], (k[1:] != k[:-1]) | (o[1:] != o[:-1])])[: len(k)]
         number = np.cumsum(new) - 1
-        lead = order[new]
-        out_bucket, out = [], []
+        lead = order[new]  # of each context the occurrence in the least document
+        out_bucket, out, first_of = [], [], np.zeros(buckets * parts + 1, np.int64)
         cut = np.searchsorted(o, np.arange(buckets * parts + 1))
         for b in np.flatnonzero(np.diff(cut)).tolist():
-            mine = order[cut[b] : cut[b + 1]]
-            num = number[cut[b] : cut[b + 1]]
-            heads = lead[num[0] : num[-1] + 1]
+            first_of[b] = number[cut[b]]
+            heads = lead[number[cut[b]] : number[cut[b + 1] - 1] + 1]
             sizes = size[heads]
             at = np.repeat(first[heads] - np.concatenate([[0], np.cumsum(sizes)])[:-1], sizes) + np.arange(sizes.sum())
-            head = np.array([len(heads), len(mine), len(at)], np.int64)
-            places = first[mine] - block.off[row[mine]]
-            out.append(b"".join(x.tobytes() for x in (head, sizes.astype(np.uint8), block.data[at], (num - num[0]).astype(np.uint32), block.ids[row[mine]], row[mine].astype(np.uint32), places.astype(np.uint32))))
+            head = np.array([len(heads), len(at)], np.int64)
+            out.append(b"".join(x.tobytes() for x in (head, block.ids[row[heads]], sizes.astype(np.uint8), block.data[at])))
             out_bucket.append(b)
-        return pa.table({"bucket": pa.array(out_bucket, pa.int32()), "block": pa.array([docs.column("block")[0].as_py()] * len(out), pa.int64()), "payload": pa.array(out, pa.binary())})
+        me = docs.column("block")[0].as_py()
+        if len(order):  # where the contexts stand comes back to this block as it is, past the buckets
+            ids = block.ids[row[order]]
+            least = ids == ids[np.flatnonzero(new)][number]
+            own = (o.astype(np.uint32), ((number - first_of[o]).astype(np.uint32) << np.uint32(1)) | least.astype(np.uint32), row[order].astype(np.uint32), (first[order] - block.off[row[order]]).astype(np.uint32))
+            out.append(b"".join(x.tobytes() for x in own))
+            out_bucket.append(buckets * parts + me)
+        return pa.table({"bucket": pa.array(out_bucket, pa.int32()), "block": pa.array([me] * len(out), pa.int64()), "payload": pa.array(out, pa.binary())})
 
     return run
 
@@ -303,50 +308,75 @@ def previous_factors(text: np.ndarray, starts: np.ndarray, ends: np.ndarray, doc
     return out
 
 
-def answer_contexts(table: pa.Table) -> pa.Table:
-    """For each block, which strings of its contexts repeat an earlier document: row, place of the first string, a bit for each."""
-    sizes, texts, number, docs, rows, places, blocks = ([] for _ in range(7))
-    count = 0
-    for block, x in zip(table.column("block").to_pylist(), table.column("payload"), strict=True):
-        raw = x.as_buffer()
-        heads, own, total = np.frombuffer(raw, np.int64, 3).tolist()
-        at = 24
-        for into, kind, n in ((sizes, np.uint8, heads), (texts, np.uint8, total), (number, np.uint32, own), (docs, np.int64, own), (rows, np.uint32, own), (places, np.uint32, own)):
-            into.append(np.frombuffer(raw, np.uint8, n * np.dtype(kind).itemsize, at).view(kind) if at % 8 == 0 else np.frombuffer(bytes(raw[at : at + n * np.dtype(kind).itemsize]), kind))
-            at += n * np.dtype(kind).itemsize
-        number[-1] = number[-1].astype(np.int64) + count
-        blocks.append(np.full(own, block, np.int64))
-        count += heads
-    size, text = np.concatenate(sizes).astype(np.int64), np.concatenate(texts)
-    number, doc, row, place, block = (np.concatenate(x) for x in (number, docs, rows, places, blocks))
-    begin = np.concatenate([[0], np.cumsum(size)])
-    which = dense(B.range_hash(B.prefix_hash(text), begin[:-1], begin[1:])).astype(np.int64)  # the same context of several blocks
-    context = which[number]
-    distinct = int(which.max()) + 1
-    least = np.full(distinct, np.iinfo(np.int64).max)
-    np.minimum.at(least, context, doc)
-    seen = np.empty(distinct, np.int64)
-    seen[which[::-1]] = np.arange(count)[::-1]
-    by_doc = np.argsort(least, kind="stable")
-    lead = seen[by_doc]
-    strings = size[lead] - LENGTH + 1
-    new = np.concatenate([[0], np.cumsum(size[lead])])
-    text = text[np.repeat(begin[:-1][lead] - new[:-1], size[lead]) + np.arange(new[-1])]
-    edge = np.concatenate([[0], np.cumsum(strings)])
-    starts = np.repeat(new[:-1] - edge[:-1], strings) + np.arange(edge[-1])
-    factor = previous_factors(text, starts, np.repeat(new[1:], strings), np.repeat(least[by_doc], strings))
-    hit = factor >= LENGTH
-    mask = np.zeros(distinct, np.uint32)
-    offset = np.arange(edge[-1]) - np.repeat(edge[:-1], strings)
-    np.bitwise_or.at(mask, np.repeat(by_doc, strings)[hit], np.uint32(1) << offset[hit].astype(np.uint32))
-    whole = np.zeros(distinct, np.uint32)
-    whole[by_doc] = ((np.int64(1) << strings) - 1).astype(np.uint32)
-    found = np.where(doc == least[context], mask[context], whole[context])
-    some = np.flatnonzero(found)
-    some = some[np.argsort(block[some], kind="stable")]
-    cut = np.append(np.flatnonzero(np.concatenate([[True], block[some][1:] != block[some][:-1]]))[: len(some)], len(some))
-    out = [b"".join(x[some[a:b]].astype(np.uint32).tobytes() for x in (row, place, found)) for a, b in zip(cut[:-1], cut[1:], strict=True)]
-    return pa.table({"block": pa.array(block[some[cut[:-1]]]), "payload": pa.array(out, pa.binary())})
+LEAST_BIT = np.uint32(1 << 31)
+
+
+def answer_contexts(buckets: int):
+    """For each block, what of its contexts repeats an earlier document: for each a bit a string, and how many strings there are.
+
+    The bits hold for the least document with the context, if the block has it (``LEAST_BIT``); every other one repeats the whole of it.
+    What a block sends to itself goes back as it is.
+    """
+
+    def run(table: pa.Table) -> pa.Table:
+        bucket = table.column("bucket")[0].as_py()
+        if bucket >= buckets:
+            return pa.table({"block": table.column("block"), "bucket": pa.array([-1] * table.num_rows, pa.int32()), "payload": table.column("payload")})
+        sizes, texts, docs = [], [], []
+        for x in table.column("payload"):
+            raw = x.as_buffer()
+            heads, total = np.frombuffer(raw, np.int64, 2).tolist()
+            docs.append(np.frombuffer(raw, np.int64, heads, 16))
+            sizes.append(np.frombuffer(raw, np.uint8, heads, 16 + 8 * heads))
+            texts.append(np.frombuffer(raw, np.uint8, total, 16 + 9 * heads))
+        size, text, doc = np.concatenate(sizes).astype(np.int64), np.concatenate(texts), np.concatenate(docs)
+        begin = np.concatenate([[0], np.cumsum(size)])
+        which = dense(B.range_hash(B.prefix_hash(text), begin[:-1], begin[1:])).astype(np.int64)  # the same context of several blocks
+        distinct = int(which.max()) + 1
+        least = np.full(distinct, np.iinfo(np.int64).max)
+        np.minimum.at(least, which, doc)
+        seen = np.empty(distinct, np.int64)
+        seen[which[::-1]] = np.arange(len(which))[::-1]
+        by_doc = np.argsort(least, kind="stable")
+        lead = seen[by_doc]
+        strings = size[lead] - LENGTH + 1
+        new = np.concatenate([[0], np.cumsum(size[lead])])
+        text = text[np.repeat(begin[:-1][lead] - new[:-1], size[lead]) + np.arange(new[-1])]
+        edge = np.concatenate([[0], np.cumsum(strings)])
+        starts = np.repeat(new[:-1] - edge[:-1], strings) + np.arange(edge[-1])
+        factor = previous_factors(text, starts, np.repeat(new[1:], strings), np.repeat(least[by_doc], strings))
+        hit = factor >= LENGTH
+        mask = np.zeros(distinct, np.uint32)
+        offset = np.arange(edge[-1]) - np.repeat(edge[:-1], strings)
+        np.bitwise_or.at(mask, np.repeat(by_doc, strings)[hit], np.uint32(1) << offset[hit].astype(np.uint32))
+        answer = np.where(doc == least[which], mask[which] | LEAST_BIT, np.uint32(0)).astype(np.uint32)
+        cut = np.cumsum([0, *map(len, docs)])
+        out = [answer[a:b].tobytes() + (size[a:b] - LENGTH + 1).astype(np.uint8).tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)]
+        return pa.table({"block": table.column("block"), "bucket": table.column("bucket"), "payload": pa.array(out, pa.binary())})
+
+    return run
+
+
+def repeats_of(answers: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, place of the first string and bits of the strings that repeat an earlier document, for each place of a context in a block."""
+    none = np.zeros(0, np.uint32)
+    bucket = answers.column("bucket").to_numpy()
+    own = np.flatnonzero(bucket < 0)
+    if not len(own):
+        return none, none, none
+    o, number, row, place = np.frombuffer(answers.column("payload")[int(own[0])].as_buffer(), np.uint32).reshape(4, -1)
+    found = np.zeros(len(o), np.uint32)
+    for b, x in zip(bucket.tolist(), answers.column("payload"), strict=True):
+        if b >= 0:
+            raw = x.as_buffer()
+            n = len(raw) // 5
+            answer, strings = np.frombuffer(raw, np.uint32, n), np.frombuffer(raw, np.uint8, n, 4 * n)
+            mine = slice(*np.searchsorted(o, [b, b + 1]).tolist())  # ascending by bucket
+            at, least = number[mine] >> np.uint32(1), (number[mine] & np.uint32(1)).astype(bool)
+            whole = ((np.int64(1) << strings.astype(np.int64)) - 1).astype(np.uint32)
+            found[mine] = np.where(least & ((answer[at] & LEAST_BIT) != 0), answer[at] & ~LEAST_BIT, whole[at])
+    some = found != 0
+    return row[some], place[some], found[some]
 
 
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
@@ -356,11 +386,10 @@ def cut_bytes(with_bytes: bool):
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
         block = Block(docs)
         found = np.zeros(len(block.data) + 1, bool)
-        for raw in answers.column("payload").to_pylist():
-            row, place, mask = np.frombuffer(raw, np.uint32).reshape(3, -1)
-            at = block.off[row] + place
-            for j in range(LENGTH - GRAM + 1):
-                found[at[(mask >> np.uint32(j)) & np.uint32(1) != 0] + j] = True
+        row, place, mask = repeats_of(answers)
+        at = block.off[row] + place
+        for j in range(LENGTH - GRAM + 1):
+            found[at[(mask >> np.uint32(j)) & np.uint32(1) != 0] + j] = True
         n = docs.num_rows
         removed, spans, digests, kept = np.zeros(n, np.int64), np.zeros(n, np.int64), [], []
         for a, b, data, off in block.slices():
@@ -390,13 +419,14 @@ def deduplicate(docs: DataFrame, scratch: Scratch, with_bytes: bool = False) ->
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks, buckets = max(LEAST, -(-size // BLOCK_BYTES)), max(LEAST, -(-size // BUCKET_BYTES))
-    texts = texts.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)))
+    texts = texts.withColumn("block", F.pmod(F.xxhash64("doc_id", F.when(F.col("doc_id").isNull(), F.col("text"))), F.lit(blocks)))  # rows without a doc_id may lie anywhere
     block = texts.groupBy("block")
     sent = block.applyInArrow(send_anchors(buckets), "bucket int, block long, payload binary")
     answers = exchanged(sent, "bucket", buckets, size).groupBy("bucket").applyInArrow(flat(answer_anchors), "block long, bucket int, bits binary")
     answers = scratch.save(exchanged(answers, "block", blocks, size // 8), "anchors")
     contexts = block.cogroup(answers.groupBy("block")).applyInArrow(flat_second(send_contexts(buckets, PARTS)), "bucket int, block long, payload binary")
-    repeats = exchanged(contexts, "bucket", buckets * PARTS, size).groupBy("bucket").applyInArrow(flat(answer_contexts), "block long, payload binary")
+    receivers = buckets * PARTS
+    repeats = exchanged(contexts, "bucket", receivers + blocks, size).groupBy("bucket").applyInArrow(flat(answer_contexts(receivers)), "block long, bucket int, payload binary")
     repeats = scratch.save(exchanged(repeats, "block", blocks, size), "repeats")
     scratch.keep("repeats")
     return block.cogroup(repeats.groupBy("block")).applyInArrow(flat_second(cut_bytes(with_bytes)), RESULT)
