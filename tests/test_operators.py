@@ -243,3 +243,13 @@ def test_level_and_first_silence(spark):
     assert {r.k: (r.start, r.end) for r in intervals.first_silence(samples, "k", 2, 3.0).collect()} == {"a": (1, 3), "b": (None, None), "c": (None, None)}
     level = {r.k: (r.n, r.rms, r.db) for r in intervals.signal_level(samples, "k").collect()}
     assert level["b"] == (4, 5.0, pytest.approx(13.979400)) and level["c"] == (1, 0.0, None)
+
+
+def test_pairwise_distances():
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(50, 16)) + 1000
+    y = np.concatenate([x[:20], x[20:30] + 1e-7, rng.normal(size=(25, 16))])
+    want = np.sqrt(((x[:, None, :] - y[None, :, :]) ** 2).sum(-1))
+    for step in (1, 300, 1_000_000):
+        assert np.allclose(outliers.pairwise(x, y, step), want, rtol=1e-9, atol=1e-12)
+    assert outliers.pairwise(x[:0], y).shape == (0, 55)

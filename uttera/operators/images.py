@@ -21,10 +21,10 @@ def roi_table(spark) -> DataFrame:
 
 
 def roi_boxes(sizes: DataFrame, roi: DataFrame) -> DataFrame:
-    """Pixel boxes for (category, width, height) rows: the dimension has ten rows."""
+    """Pixel boxes of every region for rows (category, width, height, ...), such as frames: the dimension has ten rows. Rows of other categories go."""
     box = sizes.join(F.broadcast(roi), "category")  # fixed size
     x, y = F.col("width"), F.col("height")
-    return box.select("category", "region", "width", "height", F.floor(F.col("fx1") * x).alias("x1"), F.floor(F.col("fy1") * y).alias("y1"), (x - F.floor(F.col("fx2") * x)).alias("x2"), (y - F.floor(F.col("fy2") * y)).alias("y2"))
+    return box.select(*[F.col(f"`{c}`") for c in sizes.columns], "region", F.floor(F.col("fx1") * x).alias("x1"), F.floor(F.col("fy1") * y).alias("y1"), (x - F.floor(F.col("fx2") * x)).alias("x2"), (y - F.floor(F.col("fy2") * y)).alias("y2"))
 
 
 def crop(image: np.ndarray, box: tuple[int, int, int, int]) -> np.ndarray:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from uttera.config import Params
 
 PAIR_ROWS = 2000
+CANCELS = 1e-4  # squares below this share of the norms come from differences
 
 
 def _l2(a, b):
@@ -42,8 +43,7 @@ def member_scores(members: DataFrame, group: str, member: str, embedding: str, c
         flat = table.column("e").combine_chunks()
         e = flat.flatten().to_numpy(zero_copy_only=False).reshape(len(flat), -1)
         x, y = e[asks], e[~asks]
-        step = max(1, 4_000_000 // max(1, y.size))  # rows at a time, so that the differences stay small in memory
-        d = np.concatenate([np.sqrt(((x[k : k + step, None, :] - y[None, :, :]) ** 2).sum(-1)) for k in range(0, len(x), step)])
+        d = pairwise(x, y)
         mine = table.filter(pa.array(asks))
         return pa.table({group: mine.column(group), member: mine.column(member), "total": d.sum(1), "most": d.max(1), "n": np.full(len(x), len(y), np.int64)})
 
@@ -53,6 +53,22 @@ def member_scores(members: DataFrame, group: str, member: str, embedding: str, c
     return parts.groupBy(group, member).agg(score.alias("score"))
 
 
+def pairwise(x: np.ndarray, y: np.ndarray, step: int = 1_000_000) -> np.ndarray:
+    """Distances of all rows of x to all of y: squares from one matrix product a block, and from differences where these cancel out."""
+    xx, yy = (x * x).sum(1), (y * y).sum(1)
+    rows = max(1, step // max(1, len(y)))
+    out = []
+    for k in range(0, len(x), rows):
+        size = xx[k : k + rows, None] + yy[None, :]
+        square = size - 2 * (x[k : k + rows] @ y.T)
+        i, j = np.nonzero(square < CANCELS * size)
+        for a in range(0, len(i), step // max(1, x.shape[1]) + 1):
+            some = slice(a, a + step // max(1, x.shape[1]) + 1)
+            square[i[some], j[some]] = ((x[k + i[some]] - y[j[some]]) ** 2).sum(1)
+        out.append(np.sqrt(square))
+    return np.concatenate(out) if out else np.zeros((0, len(y)))
+
+
 def rejected(scores: DataFrame, tolerance: float = Params().l2_tolerance) -> DataFrame:
     return scores.where(F.col("score") > tolerance)
 

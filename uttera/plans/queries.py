@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from uttera.config import ALLOWED, ROI
+from uttera.config import ALLOWED, CATEGORIES, ROI
 from uttera.functions import text as T
 from uttera.operators import align, asof, audio, images, intervals, outliers, split, utterance
 from uttera.plans import dataset
@@ -473,6 +473,17 @@ def roi_boxes(spark, sf):
     return images.roi_boxes(spark.createDataFrame(rows, "category string, width int, height int"), images.roi_table(spark))
 
 
+_FRAMES = "SELECT doc_id AS video_id, ['" + "', '".join(CATEGORIES) + "', 'other'][doc_id % 6 + 1] AS category, 320 + n_chars % 1601 AS width, 180 + n_chars % 901 AS height FROM documents"
+
+
+@query(f"WITH roi AS (SELECT * FROM (VALUES {', '.join(f'({D.q(c)}, {D.q(r)}, {a}::DOUBLE, {b}::DOUBLE, {x}::DOUBLE, {y}::DOUBLE)' for c, r, a, b, x, y in ROI)}) v(category, region, a, b, x, y)) SELECT video_id, f.category, width, height, region, CAST(floor(a * width) AS BIGINT) AS x1, CAST(floor(b * height) AS BIGINT) AS y1, CAST(width - floor(x * width) AS BIGINT) AS x2, CAST(height - floor(y * height) AS BIGINT) AS y2 FROM ({_FRAMES}) f JOIN roi ON f.category = roi.category")
+def frame_regions(spark, sf):
+    """Every document as a frame of a size of its own: the boxes of its category's regions."""
+    category = F.element_at(F.array(*[F.lit(c) for c in (*CATEGORIES, "other")]), (F.col("doc_id") % 6 + 1).cast("int"))
+    frames = D.table(spark, sf, "documents").select(F.col("doc_id").alias("video_id"), category.alias("category"), (F.col("n_chars") % 1601 + 320).alias("width"), (F.col("n_chars") % 901 + 180).alias("height"))
+    return images.roi_boxes(frames, images.roi_table(spark))
+
+
 @query()
 def frame_preprocessing(spark, sf):
     """Every text's bytes as frames, the last one padded with zeros, through crop, preprocessing and a stand-in for recognition."""
