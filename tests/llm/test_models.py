@@ -226,3 +226,47 @@ def test_folds_in_tasks_equal_folds_in_place(spark):
         want = sample.fit(*job)
         assert (at == want[0]).all() and (value == want[1]).all()
     assert max(len(p) for p in packed) <= 6 * quality.MOST_FEATURES
+
+
+class Field:
+    """A field as ``beliefs`` reads it: features and evidence of nodes, edges by kind, the document of each node."""
+
+    def __init__(self, feats, evidence, edges, docs):
+        self.feats, self.evidence, self.edges, self.spans = np.array(feats), evidence, [np.array(e, np.int64).reshape(-1, 2) for e in edges], [(k, 0, 1) for k in docs]
+
+    def arrays(self):
+        return self.feats, None, self.edges
+
+
+def marginals(model, field):
+    """By enumeration of all labellings."""
+    w, tables = model
+    theta = w[field.feats].sum(1)
+    n, k = theta.shape
+    out = np.zeros((n, k))
+    for labels in np.ndindex(*[k] * n):
+        if all(not e or labels[i] == e for i, e in enumerate(field.evidence)):
+            score = sum(theta[i, x] for i, x in enumerate(labels)) + sum(t[labels[i], labels[j]] for t, e in zip(tables, field.edges, strict=True) for i, j in e)
+            out[range(n), labels] += np.exp(score)
+    return out / out.sum(1, keepdims=True)
+
+
+def test_beliefs_on_trees_and_loops():
+    rng = np.random.default_rng(1)
+    for edges, close in (([[(0, 1), (1, 2), (1, 3)], [(3, 4)]], 1e-4), ([[(0, 1), (1, 2), (2, 3)], [(0, 3), (3, 4)]], 0.05)):
+        for _ in range(5):
+            model = rng.normal(0, 1, (6, 3)), [rng.normal(0, 0.4, (3, 3)) for _ in edges]
+            field = Field(rng.integers(0, 6, (5, 2)), [0] * 5, edges, [0] * 5)
+            got = privacy.beliefs(model, field, rounds=200)
+            assert np.abs(got - marginals(model, field)).max() < close
+
+
+def test_beliefs_do_not_depend_on_neighbours():
+    rng = np.random.default_rng(2)
+    model = rng.normal(0, 1, (6, 3)), [rng.normal(0, 1, (3, 3)) for _ in range(2)]
+    feats = rng.integers(0, 6, (4, 2))
+    edges = [[(0, 1), (1, 2)], [(0, 3), (2, 3)]]
+    alone = privacy.beliefs(model, Field(feats, [0] * 4, edges, [0] * 4))
+    more = rng.integers(0, 6, (4, 2))
+    both = privacy.beliefs(model, Field(np.concatenate([more, feats, feats]), [0] * 12, [[(a + d, b + d) for d in (0, 4, 8) for a, b in e] for e in edges], [0] * 4 + [1] * 4 + [2] * 4))
+    assert (both[4:8] == alone).all() and (both[8:] == alone).all()

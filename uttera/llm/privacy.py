@@ -343,16 +343,20 @@ def beliefs(model, graph: Graph, rounds: int = ROUNDS, damping: float = 0.3) ->
     psi = np.concatenate([psi, psi.transpose(0, 2, 1)])
     back = np.concatenate([np.arange(len(pairs)) + len(pairs), np.arange(len(pairs))])
     m = np.zeros((len(src), theta.shape[1]))
+    of = np.array([span[0] for span in graph.spans])[src]  # the document of each edge
+    live = np.arange(len(src))
     for _ in range(rounds):
         total = theta.copy()
         np.add.at(total, dst, m)
-        z = (total[src] - m[back])[:, :, None] + psi
+        z = (total[src[live]] - m[back[live]])[:, :, None] + psi[live]
         top = z.max(1, keepdims=True)
         new = (top + np.log(np.exp(z - top).sum(1, keepdims=True)))[:, 0]
         new -= new.max(1, keepdims=True)
-        change = np.abs(new - m).max()
-        m = damping * m + (1 - damping) * new
-        if change < TOLERANCE:
+        change = np.zeros(int(of.max()) + 1)
+        np.maximum.at(change, of[live], np.abs(new - m[live]).max(1))
+        m[live] = damping * m[live] + (1 - damping) * new
+        live = live[change[of[live]] >= TOLERANCE]  # each document stops by itself, whatever stands beside it
+        if not len(live):
             break
     total = theta.copy()
     np.add.at(total, dst, m)
