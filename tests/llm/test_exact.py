@@ -201,6 +201,58 @@ def test_jaccard(spark, near_copies, monkeypatch, most, docs, block):
     assert got == components_by_brute_force(near_copies)
 
 
+def shared_by_tasks(texts, buckets, tasks):
+    """(size, shared) of every class from what tasks send, and the bytes that each bucket gets."""
+    counts, sent = collections.Counter(), collections.defaultdict(list)
+    for part in np.array_split(np.arange(len(texts)), tasks):
+        batch = pa.RecordBatch.from_arrays([pa.array([texts[i] for i in part], pa.string())], ["text"])
+        for rows in jaccard.send_documents(buckets)(iter([batch])):
+            for b, x in zip(rows.column("bucket").to_pylist(), rows.column("payload").to_pylist(), strict=True):
+                sent[b].append(x)
+    sizes = {}
+    for b, payloads in sent.items():
+        out = jaccard.count_shared(buckets)(pa.table({"bucket": pa.array([b] * len(payloads), pa.int32()), "payload": payloads}))
+        for k, n, c in zip(*(out.column(x).to_pylist() for x in ("k1", "n", "shared")), strict=True):
+            counts[k] += c
+            sizes[k] = n
+    return {k: (sizes[k], c) for k, c in counts.items()}, {b: sum(map(len, x)) for b, x in sent.items() if b < buckets}
+
+
+@pytest.mark.parametrize("tasks", [1, 3, 12])
+def test_counts_of_shared_hashes(monkeypatch, tasks):
+    """Counted in tasks or buckets, by witnesses or asked for: as by comparing all classes, and never less where copies lie in several tasks."""
+    monkeypatch.setattr(jaccard, "SEND", 4000)
+    rng = random.Random(8)
+    common = " ".join(f"w{k}" for k in range(40))
+    texts = [common[: rng.randint(30, 160)] + " " + " ".join(f"v{rng.randrange(90)}" for _ in range(rng.choice([0, 3, 12, 60, 300]))) for _ in range(150)]
+    key_of = lambda t: int(jaccard.keys_of(*jaccard.shingle_sets(*B.column(pa.array([t]))))[0][0])
+    texts = list({key_of(t): t for t in texts}.values())
+    data, off = B.column(pa.array(texts))
+    tokens, bounds = jaccard.shingle_sets(data, off)
+    keys, n = jaccard.keys_of(tokens, bounds)[0].view(np.int64), np.diff(bounds)
+    sent, edges = jaccard.heads(tokens, bounds)
+    have = collections.defaultdict(set)
+    for i in range(len(texts)):
+        for t in sent[edges[i] : edges[i + 1]].tolist():
+            have[t].add((int(keys[i]), int(n[i])))
+    want = collections.Counter()
+    for i in range(len(texts)):
+        for t in sent[edges[i] : edges[i + 1]].tolist():
+            if any(k != keys[i] and 5 * min(m, n[i]) >= 4 * max(m, n[i]) for k, m in have[t]):
+                want[int(keys[i])] += 1
+    got, _ = shared_by_tasks(texts, 5, tasks)
+    assert {k: c for k, (_, c) in got.items()} == dict(want)
+    more, _ = shared_by_tasks(texts + texts[::3], 5, tasks)
+    assert all(more[k][1] >= c for k, c in want.items())
+
+
+def test_common_passages_do_not_fill_a_bucket():
+    passage = "a passage of twelve words that a great many documents have in common"
+    texts = [f"{passage} " + " ".join(f"{k}x{j}" for j in range(9)) for k in range(5000)]
+    few, many = (shared_by_tasks(texts[:n], 7919, 1)[1] for n in (500, 5000))
+    assert max(many.values()) < 3 * max(few.values()) < 1500
+
+
 def test_prefix_tree():
     rng = np.random.default_rng(8)
     base = rng.choice(2**60, 40, replace=False).astype(np.uint64)

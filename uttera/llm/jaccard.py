@@ -4,8 +4,9 @@ A document's set holds 64-bit hashes of its distinct five-word shingles. Two set
 100 * intersection >= 80 * union. Documents of equal sets form a class at once; classes are linked:
 
 1. Every class sends the smallest hashes of its set, enough that two linked classes must share
-   ``need`` of them (overlap bound plus ``1 + alpha // 5``), to hash buckets. A class survives if as
-   many of them occur in another class of fitting size. This drops all but near duplicates and texts
+   ``need`` of them (overlap bound plus ``1 + alpha // 5``), to hash buckets. What classes of one task share is counted there, and only
+   witnesses of it are sent, so a passage that very many have does not fill a bucket. A class survives if as
+   many of its hashes occur in another class of fitting size (copies in several tasks may be counted more than once, which only lets more through). This drops all but near duplicates and texts
    that are mostly shared passages, without building a pair.
 2. Survivors learn from the buckets how many of them have each of their hashes. In the global order
    (rare first, then by hash) the first ``n - alpha + 1`` hashes of two linked sets share one; survivors
@@ -150,15 +151,97 @@ def heads(tokens: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return tokens[np.repeat(bounds[:-1] - new[:-1], count) + np.arange(new[-1])], new
 
 
+def fitting(tokens: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order by (token, size), and which of the ordered stand beside one with the same token and a fitting size."""
+    order = np.lexsort((sizes, tokens))
+    t, s = tokens[order], sizes[order]
+    joined = (t[1:] == t[:-1]) & (5 * s[:-1] >= 4 * s[1:])
+    hit = np.zeros(len(order), bool)
+    hit[1:] |= joined
+    hit[:-1] |= joined
+    return order, hit
+
+
+def witnesses(tokens: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Places, of (token, size) in order, of enough that whatever size fits one of a token fits one of these.
+
+    The least and greatest of each token's sizes within a factor of 1.2: the sizes that fit either leave none out that fits one between.
+    """
+    step = np.floor(np.log(np.maximum(sizes, 1)) / np.log(1.2)).astype(np.int64)
+    edge = (tokens[1:] != tokens[:-1]) | (step[1:] != step[:-1])
+    return np.flatnonzero(np.concatenate([[True], edge]) | np.concatenate([edge, [True]]))[: 2 * len(tokens)]
+
+
+def forty(tokens: np.ndarray) -> np.ndarray:
+    """The upper 40 bits of tokens as bytes; the lower ones choose the bucket."""
+    return (tokens >> _U(24)).view(np.uint8).reshape(-1, 8)[:, :5]
+
+
+def from_forty(raw: np.ndarray) -> np.ndarray:
+    wide = np.zeros((len(raw) // 5, 8), np.uint8)
+    wide[:, :5] = raw.reshape(-1, 5)
+    return wide.view(_U).ravel()
+
+
 def send_documents(buckets: int):
-    def sets(batches):
+    """What the classes of about ``SEND`` bytes of text need to know of others, one row a bucket.
+
+    Classes that share a hash among themselves count it at once and send the count, to a receiver by their key; of these the buckets get only
+    ``witnesses`` of the hash, which other tasks' classes can meet. The rest, a few sizes far apart, ask for the hash. So however
+    many classes have a hash, a bucket gets a bounded number of rows of it from each task.
+    """
+
+    def out(held: list[tuple]) -> pa.RecordBatch:
+        key, size = np.concatenate([x[0] for x in held]), np.concatenate([x[1] for x in held]).astype(np.int64)
+        count = np.concatenate([np.diff(x[3]) for x in held])
+        _, first = np.unique(key, return_index=True)  # copies are sent once
+        once = np.zeros(len(key), bool)
+        once[first] = True
+        owner = np.repeat(np.arange(len(key)), count)
+        tokens, owner = np.concatenate([x[2] for x in held])[once[owner]], owner[once[owner]]
+        order, hit = fitting(tokens, size[owner])
+        tokens, owner = tokens[order], owner[order]
+        credit = np.bincount(owner[hit], minlength=len(key))
+        seen = np.flatnonzero(hit)
+        seen = seen[witnesses(tokens[seen], size[owner[seen]])] if len(seen) else seen
+        ask = np.flatnonzero(~hit)
+        ask = ask[np.argsort(owner[ask], kind="stable")]
+        bucket = lambda t: ((t & _U(0xFFFFFF)) % _U(buckets)).astype(np.int64)
+        ids, payloads = [], []
+        a_bucket, w_bucket = bucket(tokens[ask]), bucket(tokens[seen])
+        ask, seen = ask[np.argsort(a_bucket, kind="stable")], seen[np.argsort(w_bucket, kind="stable")]
+        a_edge, w_edge = np.searchsorted(np.sort(a_bucket), np.arange(buckets + 1)), np.searchsorted(np.sort(w_bucket), np.arange(buckets + 1))
+        for b in np.flatnonzero(np.diff(a_edge) + np.diff(w_edge)).tolist():
+            mine, theirs = ask[a_edge[b] : a_edge[b + 1]], seen[w_edge[b] : w_edge[b + 1]]
+            o = owner[mine]
+            cut = np.flatnonzero(np.diff(o, prepend=-1))
+            head = np.empty((len(cut), 3), np.int64)
+            head[:, 0], head[:, 1], head[:, 2] = key[o[cut]].view(np.int64), size[o[cut]], np.diff(np.append(cut, len(o)))
+            ids.append(b)
+            payloads.append(np.array([len(cut), len(mine), len(theirs)], np.int64).tobytes() + head.tobytes() + forty(tokens[mine]).tobytes() + forty(tokens[theirs]).tobytes() + size[owner[theirs]].astype(np.uint32).tobytes())
+        known = np.flatnonzero(credit)
+        to = (B.mix(key[known]) % _U(buckets)).astype(np.int64)
+        for r in np.unique(to).tolist():
+            some = known[to == r]
+            ids.append(buckets + r)
+            payloads.append(np.stack([key[some].view(np.int64), size[some], credit[some]]).astype(np.int64).tobytes())
+        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), pa.array(payloads, pa.binary())], ["bucket", "payload"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         B.keep_heap()
+        held: list[tuple] = []
+        weight = 0
         for _, data, off in B.blocks(batches):
             tokens, bounds = shingle_sets(data, off)
-            k1, _ = keys_of(tokens, bounds)
-            yield (k1, np.diff(bounds), *heads(tokens, bounds), len(data))
+            held.append((keys_of(tokens, bounds)[0], np.diff(bounds), *heads(tokens, bounds)))
+            weight += len(data)
+            if weight >= SEND:
+                yield out(held)
+                held, weight = [], 0
+        if held:
+            yield out(held)
 
-    return lambda batches: to_buckets(sets(batches), buckets)
+    return run
 
 
 def send_sets(buckets: int):
@@ -203,17 +286,38 @@ def by_token(tokens: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndar
     return order, (t[1:] == t[:-1]) & (5 * s[:-1] >= 4 * s[1:])
 
 
-def count_shared(table: pa.Table) -> pa.Table:
-    """Per bucket: for each class, how many of its hashes another class of fitting size has."""
-    key, size, tokens, owner = received(table)
-    order, joined = by_token(tokens, size[owner])
-    hit = np.zeros(len(order), bool)
-    hit[1:] |= joined
-    hit[:-1] |= joined
-    o = owner[order]
-    shared = np.bincount(o[hit], minlength=len(key))
-    some = np.flatnonzero(shared)
-    return pa.table({"k1": key[some], "n": size[some], "shared": shared[some]})
+def count_shared(buckets: int):
+    """Per bucket: for each class that asks, how many of its hashes another class of fitting size has; and the counts that tasks made themselves."""
+
+    def run(table: pa.Table) -> pa.Table:
+        if table.column("bucket")[0].as_py() >= buckets:
+            k1, n, shared = np.concatenate([np.frombuffer(x.as_buffer(), np.int64).reshape(3, -1) for x in table.column("payload")], axis=1)
+            return pa.table({"k1": k1, "n": n, "shared": shared})
+        heads_, asked, seen, seen_size = [], [], [], []
+        for x in table.column("payload"):
+            raw = x.as_buffer()
+            n, m, w = np.frombuffer(raw, np.int64, 3).tolist()
+            heads_.append(np.frombuffer(raw, np.int64, 3 * n, 24).reshape(n, 3))
+            at = 24 + 24 * n
+            asked.append(np.frombuffer(raw, np.uint8, 5 * m, at))
+            seen.append(np.frombuffer(raw, np.uint8, 5 * w, at + 5 * m))
+            seen_size.append(np.frombuffer(bytes(raw[at + 5 * m + 5 * w :]), np.uint32))
+        head = np.concatenate(heads_)
+        _, first = np.unique(head[:, 0], return_index=True)  # a class of several tasks asks once
+        once = np.zeros(len(head), bool)
+        once[first] = True
+        owner = np.repeat(np.arange(len(head)), head[:, 2])
+        keep = once[owner]
+        tokens, owner = from_forty(np.concatenate(asked))[keep], owner[keep]
+        every = np.concatenate([tokens, from_forty(np.concatenate(seen))])
+        sizes = np.concatenate([head[owner, 1], np.concatenate(seen_size).astype(np.int64)])
+        order, hit = fitting(every, sizes)
+        place = order[hit]
+        shared = np.bincount(owner[place[place < len(owner)]], minlength=len(head))
+        some = np.flatnonzero(shared)
+        return pa.table({"k1": head[some, 0], "n": head[some, 1], "shared": shared[some]})
+
+    return run
 
 
 def frequencies(groups: int):
@@ -493,8 +597,8 @@ def components(docs: DataFrame, scratch: Scratch) -> DataFrame:
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(LEAST_BUCKETS, -(-size // BUCKET_BYTES))
     need = F.expr("1 + ((4 * ((4 * n + 4) div 5) + 4) div 5) div 5")
-    sent = exchanged(texts.mapInArrow(send_documents(buckets), "bucket int, payload binary"), "bucket", buckets, size)
-    shared = sent.groupBy("bucket").applyInArrow(flat(count_shared), "k1 long, n long, shared long")
+    sent = exchanged(texts.mapInArrow(send_documents(buckets), "bucket int, payload binary"), "bucket", 2 * buckets, size)
+    shared = sent.groupBy("bucket").applyInArrow(flat(count_shared(buckets)), "k1 long, n long, shared long")
     alive = shared.groupBy("k1", "n").agg(F.sum("shared").alias("shared")).where(F.col("shared") >= need).select("k1")
     alive = scratch.save(alive.join(classes.select("k1", "least"), "k1").where("least is not null"), "alive")
     # a document that the filter lets through by chance is one more set to compare
