@@ -504,6 +504,21 @@ def test_warc(spark):
         assert sorted(got, key=repr) == sorted(want, key=repr)
 
 
+def test_text_writer_keeps_bytes(spark, tmp_path):
+    """Archives and shards pass binary through the text writer as strings: what is on disk is byte for byte what was made."""
+    rng = np.random.default_rng(0)
+    rows = [(k, f"http://h/{k}", "".join(chr(c) for c in rng.integers(32, 500, 400)), None, False) for k in range(50)]
+    made = [warc.member(*r) for r in rows]
+    assert all(any(b >= 0x80 for b in m) for m in made)
+    pages = spark.createDataFrame([r[:3] for r in rows], "page_id long, url string, html string").coalesce(1)
+    warc.write_archives(pages, f"{tmp_path}/a", Scratch(spark, "t"))
+    written = b"".join(p.read_bytes() for p in sorted((tmp_path / "a").glob("part-*")))
+    assert len(written) == sum(len(m) + 1 for m in made) and all(m + b"\0" in written for m in made)
+    raw = [bytes(rng.integers(0, 256, 1000).astype(np.uint8)).replace(b"\0", b"\1") for _ in range(20)] + [bytes(range(1, 256)), b"\xff\xfe\x80", b"\xc3"]
+    spark.createDataFrame([(x,) for x in raw], "b binary").coalesce(1).select(F.col("b").cast("string").alias("value")).write.option("lineSep", "\0").text(f"{tmp_path}/b")
+    assert b"".join(p.read_bytes() for p in (tmp_path / "b").glob("part-*")) == b"".join(x + b"\0" for x in raw)
+
+
 def test_url_rules(spark):
     cases = [
         ("https://EXAMPLE.com/en/1?x", "example.com", "/en/1", "example.com/en/", "block"), ("http://www.example.com/en/", "www.example.com", "/en/", "www.example.com/en/", "allow"), ("http://example.com/fr/", "example.com", "/fr/", "com/", "allow"),
