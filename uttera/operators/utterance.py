@@ -264,7 +264,9 @@ def runs(decided: DataFrame, *counts: Column) -> DataFrame:
     grouped = numbered.groupBy("video_id", "run_idx").agg(
         F.min_by("speaker", "seg_idx").alias("speaker"), F.min_by("text", "seg_idx").alias("text"), F.min_by("start_ms", "seg_idx").alias("start_ms"), F.max_by("end_ms", "seg_idx").alias("end_ms"), F.bool_or("bad").alias("dropped"), *counts
     )
-    return grouped.withColumn("is_last", F.lead("run_idx").over(Window.partitionBy("video_id").orderBy("run_idx")).isNull())
+    last = grouped.groupBy(F.col("video_id").alias("__video")).agg(F.max("run_idx").alias("__last"))  # of the same exchange; a video's runs never meet
+    joined = grouped.join(last, F.col("video_id").eqNullSafe(F.col("__video")))
+    return joined.withColumn("is_last", F.col("run_idx") == F.col("__last")).drop("__video", "__last")
 
 
 def utterances(decided: DataFrame, flush_tail: bool = False) -> DataFrame:
