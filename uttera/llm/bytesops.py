@@ -7,6 +7,7 @@ rows), so that temporary arrays stay small whatever the batch size is.
 from __future__ import annotations
 
 import ctypes
+import sys
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -22,8 +23,19 @@ _GRAM = np.random.default_rng(5).integers(1, 2**63, 64, dtype=np.int64).astype(_
 _powers: list[np.ndarray] = []
 
 
-def keep_heap() -> None:
-    """Let glibc reuse freed arrays instead of returning them to the system page by page; what an earlier task left behind goes back first."""
+def forget_encoders() -> None:
+    """Drop the vocabularies and pieces that earlier tasks of this worker encoded with."""
+    if tokens := sys.modules.get("uttera.llm.tokens"):
+        tokens._loaded.clear()
+
+
+def keep_heap(encoders: bool = False) -> None:
+    """Let glibc reuse freed arrays instead of returning them to the system page by page; what an earlier task left behind goes back first.
+
+    ``encoders``: those of earlier tasks stay.
+    """
+    if not encoders:
+        forget_encoders()
     pa.default_memory_pool().release_unused()
     try:
         libc = ctypes.CDLL(None)
@@ -36,6 +48,7 @@ def keep_heap() -> None:
 
 def give_back() -> None:
     """Let glibc return freed arrays of a megabyte or more to the system at once: slower, but a worker holds no more than it uses."""
+    forget_encoders()
     pa.default_memory_pool().release_unused()
     try:
         libc = ctypes.CDLL(None)

@@ -137,7 +137,7 @@ def pack_rows(path: str):
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        B.keep_heap()
+        B.keep_heap(encoders=True)
         encoder, packer = Encoder.of(path), Packer(TaskContext.get().partitionId())
         for rows, data, off in B.blocks(batches):
             ids, bounds = with_end(*encoder.encode(data, off))

@@ -240,6 +240,7 @@ def fitted(spark: SparkSession, shared, jobs: list[tuple[int, int, int]]) -> dic
     """The results of ``Sample.fit`` for (model, caution, fold), a task each. shared: a broadcast sample."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        B.give_back()
         for batch in batches:
             for job in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 at, value = shared.value.fit(*job)

@@ -138,7 +138,7 @@ def encode_shards(path: str, shard: int, fold: bool):
     """mapInArrow function: sorted documents in, shards out, of about ``shard`` ids (a longer text is not divided)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        B.keep_heap()
+        B.keep_heap(encoders=True)
         encoder = Encoder.of(path, fold)
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         count = 0
@@ -180,7 +180,7 @@ def files_of(spark: SparkSession, folder: str) -> DataFrame:
 
 def decode_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents of each file: position in the file, size and crc32 of the ids, from the shards alone."""
-    B.keep_heap()
+    B.keep_heap(encoders=True)
     for batch in batches:
         for path in batch.column("path").to_pylist():
             base = 0
