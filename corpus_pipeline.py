@@ -33,4 +33,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark, "pipeline")
     for k, (_, stage) in enumerate(STAGES):
         docs = scratch.save(stage(spark, docs, sf_dir), f"stage{k}")
+        scratch.keep(f"stage{k}")  # the next stage reads this one alone
     return docs
