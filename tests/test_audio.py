@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from uttera.operators import audio
-from uttera.sources.files import cut_audio
+from uttera.sources.files import cut_audio, read_audio
 from uttera.sources.wav import read_blocks
 
 
@@ -110,3 +110,18 @@ def test_clips_of_files(spark, tmp_path):
     clips = [(f"{tmp_path}/{n}", f"{n}-{k}", 40 * k - 7, 40 * k + 33 * (k % 4)) for n in signals for k in range(9)]
     got = audio.export_clips(blocks, spark.createDataFrame(clips, "path string, clip_name string, start_ms long, end_ms long"), "path", 16_000, 300)
     assert {r.clip_name: bytes(r.wav) for r in got.collect()} == {c: cut_audio(wav(signals[p.rsplit("/", 1)[1]]), a, b) for p, c, a, b in clips}
+
+
+@pytest.mark.parametrize("frame_ms, step", [(1, 700), (10, 5000), (30, 1 << 20)])
+def test_levels_of_files(spark, tmp_path, frame_ms, step):
+    """Root mean squares by range equal those of the whole file; silence follows from them."""
+    rng = np.random.default_rng(frame_ms)
+    signals = {f"{v}.wav": np.where(np.arange(n) // 1600 % 2, rng.integers(-9, 9, n), rng.integers(-9000, 9000, n)) for v, n in ((1, 50_000), (2, 15_999), (3, 7))}
+    for n, s in signals.items():
+        put(tmp_path, n, wav(s))
+    got = {}
+    for r in read_audio(spark, str(tmp_path), frame_ms=frame_ms, range_bytes=step).collect():
+        got.setdefault(r.path.rsplit("/", 1)[1], {})[r.idx] = r.value
+    for n, s in signals.items():
+        x = s[: len(s) - len(s) % (16 * frame_ms)].reshape(-1, 16 * frame_ms).astype(float)
+        assert sorted(got.get(n, {}).items()) == [(k, pytest.approx(v)) for k, v in enumerate(np.sqrt((x * x).mean(1)))]

@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +16,7 @@ from uttera.config import CATEGORIES, Params
 from uttera.functions.text import first_category, last_part, normal_path
 from uttera.operators.scan import Ordered
 from uttera.sources.named import write_files
+from uttera.sources.wav import read_blocks
 
 P = Params()
 
@@ -46,25 +48,24 @@ def read_textgrids(spark: SparkSession, folder: str) -> DataFrame:
     return read.text(folder).select(F.col("_metadata.file_path").alias("path"), F.regexp_extract(F.col("_metadata.file_path"), r"([^/]*)\.TextGrid$", 1).alias("clip_name"), F.col("value").alias("content"))
 
 
-def read_audio(spark: SparkSession, folder: str, rate: int = P.sample_rate, frame_ms: int = 1) -> DataFrame:
-    """(path, idx, value): root mean square of each ``frame_ms`` of mono 16-bit audio. Another rate is an error."""
+def read_audio(spark: SparkSession, folder: str, rate: int = P.sample_rate, frame_ms: int = 1, **options) -> DataFrame:
+    """(path, idx, value): root mean square of each ``frame_ms`` of 16-bit audio, channels averaged. Another rate is an error.
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for path, content in zip(pdf["path"], pdf["content"], strict=True):
-                with wave.open(io.BytesIO(content)) as w:
-                    if w.getframerate() != rate:
-                        raise ValueError(f"{path}: {w.getframerate()} Hz, not {rate}")
-                    step = rate * frame_ms // 1000
-                    idx = 0
-                    while len(raw := w.readframes(step * 60_000)):
-                        x = np.frombuffer(raw, "<i2").astype(np.float64).reshape(-1, w.getnchannels()).mean(1)
-                        x = x[: len(x) - len(x) % step].reshape(-1, step)
-                        yield pd.DataFrame({"path": path, "idx": np.arange(idx, idx + len(x)), "value": np.sqrt((x * x).mean(1))})
-                        idx += len(x)
-
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.wav").option("recursiveFileLookup", "true").load(folder)
-    return files.select("path", "content").mapInPandas(run, "path string, idx bigint, value double")
+    Read as blocks of whole frames by byte range (see ``wav``), so no row or task holds a recording; a last part of a frame is left out.
+    """
+    step = rate * frame_ms // 1000
+    size = step * max(1, 1000 // frame_ms)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, block, channels, pcm in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
+                x = np.frombuffer(pcm, "<i2").astype(np.float64).reshape(-1, channels).mean(1)
+                x = x[: len(x) - len(x) % step].reshape(-1, step)
+                at = block * (size // step) + np.arange(len(x))
+                yield pa.RecordBatch.from_arrays([pa.array([path] * len(x), pa.string()), pa.array(at, pa.int64()), pa.array(np.sqrt((x * x).mean(1)), pa.float64())], ["path", "idx", "value"])
+
+    blocks = read_blocks(spark, folder, block=size, rate=rate, **options).where("error is null")
+    return blocks.select("path", "block", "channels", "pcm").mapInArrow(run, "path string, idx bigint, value double")
 
 
 def cut_audio(content: bytes, start_ms: int, end_ms: int) -> bytes:
