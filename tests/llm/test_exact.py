@@ -197,6 +197,8 @@ def test_jaccard(spark, near_copies, monkeypatch, most, docs, block):
     for k, v in (("MOST", most), ("CLUSTER_DOCS", docs), ("BLOCK_DOCS", block), ("LEAST_BUCKETS", 4)):
         monkeypatch.setattr(jaccard, k, v)
     monkeypatch.setattr(exchange, "FAN", 2 if docs == 1 else 1024)
+    monkeypatch.setattr(jaccard, "SEND", 600 if docs == 4 else 8 << 20)  # many tasks' worth of classes
+    monkeypatch.setattr(B, "BLOCK", 300 if docs == 4 else B.BLOCK)
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.components(documents(spark, near_copies), Scratch(spark, "t")).collect()}
     assert got == components_by_brute_force(near_copies)
 

@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow.parquet as pq
 import pytest
 
-from uttera.llm import context_tree, periodic, spelling
+from uttera.llm import context_tree, exchange, periodic, spelling
 from uttera.llm.queries import queries
 from uttera.llm.scratch import Scratch
 
@@ -93,6 +93,15 @@ def test_scores(spark, worded):
     assert len(twice) >= 2 and len(set(twice)) == 1
 
 
+def test_scores_by_the_longer_way(spark, worded, monkeypatch):
+    """Payloads in two steps, as for very many blocks and buckets, and slices of a few rows."""
+    monkeypatch.setattr(exchange, "FAN", 2)
+    monkeypatch.setattr(context_tree, "LEAST_BUCKETS", 5)
+    monkeypatch.setattr(context_tree, "MIDDLES", 3)
+    got = context_tree.score(spark.createDataFrame(worded, "doc_id long, text string"), Scratch(spark, "t")).collect()
+    assert_scores(got, weighted_tree(worded))
+
+
 def test_scores_of_a_whole_table(spark):
     rows = queries()["op11_lm_scoring"](spark, SMALL).collect()
     docs = small_documents()
