@@ -297,3 +297,14 @@ def test_variants_of_chains(spark):
     docs = [(1000 + k, " ".join([w] * (3 << k))) for k, w in enumerate(chain)]
     got = {r.word: r.root for r in spelling.variants(spark.createDataFrame(docs, "doc_id long, text string"), Scratch(spark, "t")).collect()}
     assert {r[0]: r[2] for r in variants_by_brute_force(docs)} == got and len(set(got.values())) < len(got)
+
+
+def test_spelling_builds_no_side_in_the_driver(spark, monkeypatch):
+    plans = []
+    save = Scratch.save
+    monkeypatch.setattr(Scratch, "save", lambda self, df, name: plans.append(df._jdf.queryExecution().executedPlan().toString()) or save(self, df, name))
+    docs = [(i, f"{w} {w} {w}") for i, w in enumerate(("recieve recieve receive", "receive receive receive", "received"))]
+    got = spelling.variants(spark.createDataFrame(docs, "doc_id long, text string"), Scratch(spark, "t"))
+    plans.append(got._jdf.queryExecution().executedPlan().toString())
+    assert sum("SortMergeJoin" in p for p in plans) >= 3
+    assert not any("Broadcast" in p for p in plans)

@@ -11,7 +11,8 @@
 4. Each word takes its best near word; roots follow from joins that double their reach, in rounds as deep as a logarithm of a chain that itself is no
    longer than the logarithm of the largest count.
 
-Nothing is collected, and no group's pairs are made in one task: the join is Spark's own, which splits skewed keys.
+Nothing is collected, and no group's pairs are made in one task: the join is Spark's own, which splits skewed keys. The joins are hinted to
+merge: Spark takes a small table of words for a small side, whatever the lists that come of it, and would build these in the driver.
 
 Defined results: null text has no words; a null doc_id counts as the empty string before the colon; each row counts, repeated rows too.
 Columns other than doc_id and text are not looked at.
@@ -105,7 +106,7 @@ def near_words(words: DataFrame) -> DataFrame:
     """(word, other, other_n) of all ordered pairs that differ by exactly one inserted, deleted or replaced letter."""
     a = listed(words).withColumnRenamed("n", "own_n").alias("a")
     b = listed(words).select(F.col("word").alias("other"), F.col("n").alias("other_n"), F.col("key").alias("other_key"), "less", "rest", "side", "half")
-    met = a.join(b, ["less", "rest", "side", "half"]).where(F.col("key") != F.col("other_key"))
+    met = a.join(b.hint("merge"), ["less", "rest", "side", "half"]).where(F.col("key") != F.col("other_key"))
     once = (F.col("side") == "first") | (F.expr("left(word, int(floor(rest / 2)))") != F.expr("left(other, int(floor(rest / 2)))"))
     return met.where(once & (F.levenshtein("word", "other", 1) == 1)).select("word", "other", "other_n")
 
@@ -114,20 +115,20 @@ def variants(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """(word, form, root, n, n_near, form_n) of every word."""
     words = scratch.save(vocabulary(docs), "words")
     best = near_words(words).groupBy("word").agg(F.count(F.lit(1)).alias("n_near"), F.min(F.struct((-F.col("other_n")).alias("n"), F.col("other").alias("form"))).alias("best"))
-    joined = words.join(best, "word", "left")
+    joined = words.join(best.hint("merge"), "word", "left")
     takes = -F.col("best.n") >= RATIO * F.col("n")
     forms = scratch.save(joined.select("word", "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"), F.when(takes, F.col("best.form")).alias("form"), F.when(takes, -F.col("best.n")).alias("form_n")), "forms")
     roots, k = scratch.save(forms.where("form is not null").select("word", F.col("form").alias("root")), "roots-0"), 0
     while True:
         k += 1
         far = roots.select(F.col("word").alias("root"), F.col("root").alias("far"))
-        new = scratch.save(roots.join(far, "root", "left").select("word", F.coalesce("far", "root").alias("root"), F.col("far").isNotNull().alias("moved")), f"roots-{k}")
+        new = scratch.save(roots.join(far.hint("merge"), "root", "left").select("word", F.coalesce("far", "root").alias("root"), F.col("far").isNotNull().alias("moved")), f"roots-{k}")
         scratch.drop(f"roots-{k - 1}")
         roots = new.select("word", "root")
         if new.where("moved").isEmpty():
             break
     scratch.keep("forms", f"roots-{k}")
-    return forms.join(roots, "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
+    return forms.join(roots.hint("merge"), "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
 
 
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
