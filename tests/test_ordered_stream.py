@@ -1,6 +1,7 @@
 """The streaming fold: rows out of order, rows too late, time that ends."""
 
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -45,3 +46,43 @@ def test_late_rows_are_counted(spark, tmp_path):
 def test_levenshtein_text(spark, a, b, want):
     assert levenshtein_text(a, b) == levenshtein_text(b, a) == pytest.approx(want)
     assert spark.range(1).select(F.levenshtein(F.lit(a), F.lit(b))).first()[0] == round((1 - levenshtein_text(a, b)) * max(len(a), len(b)))
+
+
+def test_short_videos_share_keys(spark, tmp_path, monkeypatch):
+    """Videos of one bucket keep apart, wait and wake up together, over messages and frames of few rows."""
+    monkeypatch.setattr(ordered, "SENT", 7)
+    rng = random.Random(5)
+    rows = [(v, *r[1:]) for v in range(60) for r in observations(6, v)[:6]]
+    df = spark.createDataFrame([(*r, min((r[1] + rng.randint(0, 2)) // 3, 1)) for r in rows], SCHEMA + ", step int").withColumn("ts", F.timestamp_seconds(F.col("seg_idx") * 10 + 10**6))
+    stream = ordered.replayed(df, "step", f"{tmp_path}/in", 2, 1)
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ordered.ROCKS)
+    q = ordered.decide_ordered(stream, "40 seconds", levenshtein_text, buckets=3).writeStream.format("memory").queryName("shared").option("checkpointLocation", f"{tmp_path}/cp").trigger(availableNow=True).start()
+    q.awaitTermination(120)
+    spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+    want = utterance.decide_exact(spark.createDataFrame(rows, SCHEMA), levenshtein_text)
+    assert sorted(map(tuple, spark.table("shared").where("video_id >= 0").collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_levenshtein_text_against_the_table():
+    def plain(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            old, row = row, [i, *row[1:]]
+            for j, y in enumerate(b, 1):
+                row[j] = min(old[j] + 1, row[j - 1] + 1, old[j - 1] + (x != y))
+        return row[-1]
+
+    rng = random.Random(7)
+    for _ in range(400):
+        a, b = ("".join(rng.choice("ABÀ😀") for _ in range(rng.randint(1, 80))) for _ in range(2))
+        b = b if rng.random() < 0.5 else a[: rng.randint(0, 5)] + b[:4] + a[rng.randint(1, 9) :]
+        assert levenshtein_text(a, b) == 1 - plain(a, b) / max(len(a), len(b))
+
+
+def test_a_long_cut_text_is_compared_at_once():
+    """Texts that one edit at the end or in the middle tells apart need no table: 20,000 letters had 4e8 cells before."""
+    a = "HELLO THERE " * 1700
+    began = time.perf_counter()
+    assert levenshtein_text(a, a[:-3]) == 1 - 3 / len(a)
+    assert levenshtein_text(a, a[:9000] + "X" + a[9001:]) == 1 - 1 / len(a)
+    assert time.perf_counter() - began < 0.5

@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import difflib
+import os
 import unicodedata
 from collections.abc import Iterator, Sequence
 from functools import reduce
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -158,16 +158,30 @@ def matching_decided(current: Column, anchor: Column, threshold: float) -> Colum
 
 
 def levenshtein_text(a: str, b: str) -> float:
-    """``levenshtein_ratio`` of two Python strings, a row of the distance table at a time."""
+    """``levenshtein_ratio`` of two Python strings: what they begin and end with alike goes, then a column of the distance table at a time as bits."""
+    longest = max(len(a), len(b))
     if not a or not b:
         return 1.0 if a == b else 0.0
-    x, y = (np.array([ord(c) for c in s]) for s in (a, b))
-    at = np.arange(len(y) + 1)
-    row = at.copy()
-    for k, c in enumerate(x):
-        step = np.minimum(row[1:] + 1, row[:-1] + (y != c))
-        row = np.minimum.accumulate(np.concatenate([[k + 1], step]) - at) + at
-    return 1.0 - int(row[-1]) / max(len(a), len(b))
+    first = len(os.path.commonprefix((a, b)))
+    a, b = a[first:], b[first:]
+    last = len(os.path.commonprefix((a[::-1], b[::-1])))
+    a, b = a[: len(a) - last], b[: len(b) - last]
+    if not a or not b:
+        return 1.0 - max(len(a), len(b)) / longest
+    places: dict[str, int] = {}
+    for k, c in enumerate(a):
+        places[c] = places.get(c, 0) | 1 << k
+    every, top = (1 << len(a)) - 1, len(a) - 1
+    up, down, distance = every, 0, len(a)  # where a column's value is one more, or one less, than the value above it
+    for c in b:
+        same = places.get(c, 0)
+        x = same | down
+        level = (((same & up) + up) ^ up) | same
+        right, left = down | ~(level | up) & every, up & level
+        distance += (right >> top & 1) - (left >> top & 1)
+        right = right << 1 | 1
+        up, down = (left << 1 | ~(x | right)) & every, right & x & every
+    return 1.0 - distance / longest
 
 
 @F.pandas_udf(DoubleType())

@@ -53,7 +53,8 @@ def sql_clean(c: str, category: str | None = None) -> str:
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four reads of every turn, some with the speaker or text blank or the end cut off."""
     turns = spread(table(spark, sf_dir, "conversations").where("text is not null").select("conv_id", "turn", "role", "text"))
-    t = turns.select("conv_id", "turn", F.upper("role").alias("role"), F.upper(transliterate(F.col("text"))).alias("t"), F.explode(F.sequence(F.lit(0), F.lit(3))).alias("r"))
+    upper = turns.select("conv_id", "turn", F.upper("role").alias("role"), F.upper(transliterate(F.col("text"))).alias("t"))  # before the reads are made: once a turn
+    t = upper.select("*", F.explode(F.sequence(F.lit(0), F.lit(3))).alias("r"))
     seq = F.col("turn") * 4 + F.col("r")
     cut = F.when((F.col("conv_id") * 7 + F.col("turn") + F.col("r")) % 11 == 0, F.expr("left(t, length(t) - 3)")).otherwise(F.col("t"))
     rows = t.select(

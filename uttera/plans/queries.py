@@ -279,10 +279,10 @@ def utterance_fold_stream(spark, sf):
     """The fold as a stream: observations replayed out of order, a slice of 32 segments after the other and half of each with the next one."""
     late = F.pmod(F.xxhash64("video_id", "seg_idx"), F.lit(2))
     rows = D.observations(spark, sf).withColumn("ts", F.timestamp_seconds(F.col("seg_idx") + 10**6)).withColumn("slice", F.least(F.floor(F.col("seg_idx") / 32) + late, F.lit(15)))
-    rows = written(rows.select("video_id", "seg_idx", "ts", "start_ms", "end_ms", "speaker", "text", F.lit(False).alias("speaker_invalid"), F.lit(False).alias("text_invalid"), "allowed", "slice"), "observations")
+    rows = written(rows.select("video_id", "seg_idx", "ts", "start_ms", "end_ms", "speaker", "text", F.lit(False).alias("speaker_invalid"), F.lit(False).alias("text_invalid"), "allowed", "slice"), "observations", by="slice")
     folder = f"{shared_folder(spark)}/replay-{uuid.uuid4().hex}"
     slices = rows.agg(F.max("slice")).first()[0]
-    stream = ordered.replayed(rows, "slice", f"{folder}/in", 0 if slices is None else slices + 1, 8)
+    stream = ordered.replayed(rows, "slice", f"{folder}/in", 0 if slices is None else slices + 1, max(8, spark.sparkContext.defaultParallelism))
     similar = lambda a, b: T.levenshtein_text(a, b) if 5 * min(len(a), len(b)) > 3 * max(len(a), len(b)) else 0.0  # noqa: E731  no similarity exceeds the ratio of lengths
     done = ordered.run_to_end(ordered.decide_ordered(stream, "96 seconds" if slices is None or slices < 15 else "100 days", similar), folder)
     return done.where("video_id >= 0").select("video_id", "seg_idx", "is_new", "bad", "status")

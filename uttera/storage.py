@@ -24,10 +24,13 @@ def shared_folder(spark: SparkSession) -> str:
     return shared_folder.own
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """The rows of a DataFrame as a table in the shared folder: its lineage is a plain scan, and what it read is not read again."""
+def written(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
+    """The rows of a DataFrame as a table in the shared folder: its lineage is a plain scan, and what it read is not read again.
+
+    ``by``: the last column, which few values make up; a filter on it then reads only the files that it asks for.
+    """
     at = f"{shared_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(at)
+    df.write.option("compression", "zstd").parquet(at, partitionBy=by)
     return df.sparkSession.read.schema(df.schema).parquet(at)
 
 
