@@ -2,6 +2,8 @@
 
 from pyspark.sql import functions as F
 
+from uttera.functions.text import levenshtein_ratio
+from uttera.operators import asof, utterance
 from uttera.plans import dataset
 from uttera.plans.queries import queries
 
@@ -47,3 +49,41 @@ def test_each_directory_is_split_by_itself(spark):
         clips, cut = [f"{name}-{video}-{k:04d}" for k in range(n)], int(n * 0.9)
         want[video, name] = {split: part for split, part in (("train", clips[:cut]), ("test", clips[cut:])) if part}
     assert got == want
+
+
+def test_fold_reads_observations_that_are_made_once(spark):
+    """The fold draws its ranges from its input, which is read twice by that: it must be a table, not the joins and the cleaning."""
+    seen = []
+
+    def decide(obs):
+        seen.append(obs._jdf.queryExecution().optimizedPlan().toString())
+        return utterance.decide_native(obs)
+
+    segments = spark.createDataFrame([(1, 0, 0, 200), (1, 1, 300, 600)], "video_id long, seg_idx long, start_ms long, end_ms long")
+    frames = spark.createDataFrame([(1, 0, 50, "A", "x"), (1, 1, 150, "A", "hello"), (1, 2, 500, "A", "HELLO"), (1, 3, 700, "A", "z")], "video_id long, frame_idx long, ts long, raw_speaker string, raw_text string")
+    allowed = spark.createDataFrame([("A",)], "speaker string")
+    dataset.build(segments, frames, allowed, lambda u: F.lit(False), decide=decide)
+    assert seen and "Window" not in seen[0] and "regexp_replace" not in seen[0]
+
+
+def test_asof_reads_each_row_once(spark):
+    """No window frame reaches to the end of a key, which would read what is left of it for every row."""
+    frames = spark.range(3000).select(F.lit(1).alias("k"), F.col("id").alias("frame_idx"), (F.col("id") * 10).alias("ts"))
+    middles = spark.range(900).select(F.lit(1).alias("k"), F.col("id").alias("seg_idx"), (F.col("id") * 33 + 1).alias("middle"))
+    got = asof.greedy_asof(frames, middles, "k")
+    assert "unboundedfollowing" not in got._jdf.queryExecution().optimizedPlan().toString().lower()
+    want, at = [], -1
+    for j in range(900):
+        at = max(at + 1, -(-(j * 33 + 1) // 10))
+        if at >= 3000:
+            break
+        want.append((1, j, at))
+    assert sorted(map(tuple, got.collect())) == want
+
+
+def test_levenshtein_ratio_of_cut_texts(spark):
+    pairs = [("ABCDEF", "ABC"), ("ABC", "ABCDEF"), ("", "ABC"), ("ABC", ""), ("", ""), ("ÀB", "ÀBC😀"), ("XABC", "ABC"), (None, "A"), ("A", None)]
+    got = spark.createDataFrame(pairs, "a string, b string").select(levenshtein_ratio(F.col("a"), F.col("b"))).collect()
+    assert [r[0] for r in got] == [0.5, 0.5, 0.0, 0.0, 1.0, 0.5, 0.75, None, None]
+    plan = spark.createDataFrame([("A", "B")], "a string, b string").select(levenshtein_ratio(F.col("a"), F.col("b")))._jdf.queryExecution().analyzed().toString()
+    assert "startswith" in plan.lower()

@@ -76,8 +76,8 @@ SCRIPT_RANGE = "[\\x{370}-\\x{4FF}\\x{1F00}-\\x{1FFF}]"
 
 def transliterate(c: Column) -> Column:
     """Closest ASCII for Latin, Greek and Cyrillic letters, quotes, dashes and the like; one translate and a replace for each longer form."""
-    c = F.when(c.rlike(SCRIPT_RANGE), _written(c, SCRIPTS)).otherwise(c)
-    return _written(c, {**dict(zip(ACCENTED, PLAIN, strict=True)), **SPECIAL})
+    scripts = F.when(c.rlike(SCRIPT_RANGE), _written(c, SCRIPTS)).otherwise(c)
+    return F.when(F.octet_length(c) == F.length(c), c).otherwise(_written(scripts, {**dict(zip(ACCENTED, PLAIN, strict=True)), **SPECIAL}))  # ASCII stays as it is
 
 
 def _written(c: Column, letters: dict[str, str]) -> Column:
@@ -126,7 +126,8 @@ def first_category(name: Column, keys: Sequence[str]) -> Column:
 def levenshtein_ratio(a: Column, b: Column) -> Column:
     """1 - distance / longer length; 1 for two empty texts. JVM-side stand-in for ``matching_ratio``."""
     longest = F.greatest(F.length(a), F.length(b))
-    return F.when(longest == 0, F.lit(1.0)).otherwise(F.lit(1.0) - F.levenshtein(a, b) / longest)
+    cut = a.startswith(b) | b.startswith(a)  # the distance is what is missing, without the table
+    return F.when(longest == 0, F.lit(1.0)).when(cut, F.lit(1.0) - F.abs(F.length(a) - F.length(b)) / longest).otherwise(F.lit(1.0) - F.levenshtein(a, b) / longest)
 
 
 def ratio(current: str, anchor: str) -> float:

@@ -16,8 +16,9 @@ def greedy_asof(frames: DataFrame, middles: DataFrame, key: str) -> DataFrame:
     both = frames.select(key, F.col("ts").cast("double").alias("at"), F.lit(1).alias("side"), F.col("frame_idx").cast("long").alias("frame_idx"), F.lit(None).cast("long").alias("seg_idx")).unionByName(
         middles.select(key, F.col("middle").cast("double").alias("at"), F.lit(0).alias("side"), F.lit(None).cast("long").alias("frame_idx"), F.col("seg_idx").cast("long").alias("seg_idx"))
     )
-    ahead = Window.partitionBy(key).orderBy("at", "side", "seg_idx", "frame_idx").rowsBetween(0, Window.unboundedFollowing)
-    seg = both.withColumn("g", F.first("frame_idx", ignorenulls=True).over(ahead)).where("side = 0")
+    back = [F.col(c).desc() for c in ("at", "side", "seg_idx", "frame_idx")]  # backwards: a frame that reaches to the end is read anew for every row
+    ahead = Window.partitionBy(key).orderBy(*back).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    seg = both.withColumn("g", F.last("frame_idx", ignorenulls=True).over(ahead)).where("side = 0")
     so_far = Window.partitionBy(key).orderBy("seg_idx").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     total = frames.groupBy(key).agg(F.count(F.lit(1)).alias("frames"))
     lost = F.max(F.col("g").isNull().cast("int")).over(so_far)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from uttera.functions import text as T
 from uttera.operators import asof, intervals, outliers, split, utterance
+from uttera.storage import written
 
 
 @dataclass(frozen=True)
@@ -44,7 +45,8 @@ def build(segments: DataFrame, frames: DataFrame, allowed: DataFrame, fails: Cal
     allowed: (speaker). ``fails`` says which utterances verification takes out, as a condition over their columns; only
     utterances of allowed speakers are put to it. Each speaker's utterances of each video are a directory, which is split by itself.
     """
-    decided = decide(utterance.with_allowed(observations(segments, frames, min_ms), allowed, []))
+    seen = written(observations(segments, frames, min_ms), "observations")  # the fold's ranges are drawn by reading its input once more
+    decided = decide(utterance.with_allowed(seen, allowed, []))
     every = utterance.utterances(decided)
     verified = every.join(allowed.select("speaker").distinct(), "speaker", "left_semi")
     rejected = verified.where(fails(verified)).select("video_id", "speaker", "utt_idx", "clip_name")
