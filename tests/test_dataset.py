@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from uttera.functions import text
 from uttera.functions.text import levenshtein_ratio
 from uttera.operators import asof, utterance
 from uttera.plans import dataset
@@ -87,3 +88,9 @@ def test_levenshtein_ratio_of_cut_texts(spark):
     assert [r[0] for r in got] == [0.5, 0.5, 0.0, 0.0, 1.0, 0.5, 0.75, None, None]
     plan = spark.createDataFrame([("A", "B")], "a string, b string").select(levenshtein_ratio(F.col("a"), F.col("b")))._jdf.queryExecution().analyzed().toString()
     assert "startswith" in plan.lower()
+
+
+def test_dropped_letters_are_those_of_the_negated_class(spark):
+    letters = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x11000), 0x1F600, 0x10FFFF]))
+    got = spark.createDataFrame([(letters,)], "c string").select(F.regexp_replace("c", text._OTHER, ""), F.regexp_replace("c", "[^A-Za-z0-9 \\t\\n\\x0B\\f\\r'.]", "")).first()
+    assert got[0] == got[1] and len(got[0]) == 70

@@ -104,6 +104,10 @@ def collapse_repeats(c: Column, char: str = ".", most: int = 10) -> Column:
     return reduce(lambda x, n: F.replace(x, F.lit(char * n), F.lit(char)), range(most, 1, -1), c)
 
 
+#: All but ASCII letters and digits, white space, apostrophes and dots: as ranges, which are matched several times faster than the class negated.
+_OTHER = r"[\x00-\x08\x0E-\x1F!-&(-\-/:-@\[-`{-\x{10FFFF}]"
+
+
 def clean_text(c: Column, category: Column | None = None) -> Column:
     """Upper-case ASCII words, apostrophes kept, sentence marks dropped.
 
@@ -111,7 +115,7 @@ def clean_text(c: Column, category: Column | None = None) -> Column:
     """
     c = F.replace(F.replace(c, F.lit("|"), F.lit("I")), F.lit("\n"), F.lit(" "))
     c = F.regexp_replace(transliterate(c), "[,!?|]", ".")
-    c = F.regexp_replace(c, "[^A-Za-z0-9 \\t\\n\\x0B\\f\\r'.]", "")
+    c = F.regexp_replace(c, _OTHER, "")
     c = F.trim(F.upper(F.regexp_replace(F.replace(c, F.lit("."), F.lit("")), _SPACE, " ")))
     if category is not None:
         c = F.when(category.isin(*ONE_IS_I), F.replace(c, F.lit("1"), F.lit("I"))).otherwise(c)
